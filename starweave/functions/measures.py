@@ -28,6 +28,7 @@ class Part:
     alias: str                      # column name at the base grain
     line: Callable[[], Column]      # value at fact-line grain
     kind: str                       # SUM / MIN / MAX: pre-aggregated; KEY: kept as grouping column
+    source: str | None = None       # column read at line grain (fact or dimension attribute)
 
 
 @dataclass(frozen=True)
@@ -42,10 +43,6 @@ class Measure:
         return self.final(cond).alias(alias or self.name)
 
 
-def _sum_part(alias: str, expr: Callable[[], Column]) -> Part:
-    return Part(alias, expr, SUM)
-
-
 def _sum_measure(name: str, line_col: str) -> Measure:
     alias = f"{name}__s"
 
@@ -53,7 +50,7 @@ def _sum_measure(name: str, line_col: str) -> Measure:
         c = F.col(alias)
         return F.sum(c if cond is None else F.when(cond, c).otherwise(F.lit(0)))
 
-    return Measure(name, (_sum_part(alias, lambda: F.col(line_col)),), final)
+    return Measure(name, (Part(alias, lambda: F.col(line_col), SUM, line_col),), final)
 
 
 def _distinct_measure(name: str, key_col: str) -> Measure:
@@ -61,7 +58,7 @@ def _distinct_measure(name: str, key_col: str) -> Measure:
         c = F.col(key_col)
         return F.count_distinct(c if cond is None else F.when(cond, c))
 
-    return Measure(name, (Part(key_col, lambda: F.col(key_col), KEY),), final)
+    return Measure(name, (Part(key_col, lambda: F.col(key_col), KEY, key_col),), final)
 
 
 def _count_measure(name: str) -> Measure:
@@ -76,7 +73,7 @@ def _count_measure(name: str) -> Measure:
 
 def _min_measure(name: str, line_col: str) -> Measure:
     alias = f"{name}__m"
-    return Measure(name, (Part(alias, lambda: F.col(line_col), MIN),),
+    return Measure(name, (Part(alias, lambda: F.col(line_col), MIN, line_col),),
                    lambda cond: F.min(F.col(alias) if cond is None else F.when(cond, F.col(alias))))
 
 

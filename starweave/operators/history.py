@@ -58,25 +58,31 @@ def running_total(value: str, partition: Sequence[str], order: Sequence[str]) ->
 
 
 def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "rank",
-              num_partitions: int | None = None) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """RANK() OVER (PARTITION BY partition ORDER BY value DESC), distributed.
 
-    A per-period window sends a whole period to one task.  Instead the rows
-    are range-partitioned on (partition, value desc), so one period spreads
-    over many tasks and equal values always land in the same task; each task
-    ranks locally, and the number of rows of the same period in earlier
-    tasks (a table of tasks x periods rows) is added as an offset."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    A per-period window would send a whole period to one task.  Instead each
+    period is cut into ``buckets`` value ranges at approximate quantiles
+    (equal values always fall in the same bucket, so ties stay exact); rows
+    are ranked inside (period, bucket), and the number of rows of the same
+    period in higher buckets (a table of periods x buckets rows) is added.
+    Bucket numbers are a function of the data, so a recomputed task gets
+    the same answer."""
+    k = buckets or max(2, min(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keys = list(partition)
-    s = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], F.col(value).desc_nulls_last())
-           .withColumn("__pid", F.spark_partition_id()))
-    local = F.rank().over(Window.partitionBy("__pid", *keys).orderBy(F.col(value).desc_nulls_last()))
-    s = s.withColumn("__lr", local)
-    counts = s.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", *keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    joined = s.join(offsets, ["__pid", *keys], "inner")
-    return joined.withColumn(out, (F.col("__lr") + F.col("__off")).cast("long")).drop("__pid", "__lr", "__off")
+    probs = [i / k for i in range(1, k)]
+    bounds = df.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, 10_000).alias("__b"))
+    v = F.col(value)
+    x = (df.join(bounds, keys, "inner")
+           .withColumn("__bk", F.size(F.filter(F.col("__b"), lambda b: b > v)))
+           .drop("__b"))
+    x = x.withColumn("__lr", F.rank().over(
+        Window.partitionBy(*keys, "__bk").orderBy(v.desc_nulls_last())))
+    counts = x.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*keys, "__bk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    joined = x.join(offsets, [*keys, "__bk"], "inner")
+    return joined.withColumn(out, (F.col("__lr") + F.col("__off")).cast("long")).drop("__bk", "__lr", "__off")
 
 
 def share_of_total(df: DataFrame, value: str, out: str, places: int = 2,

@@ -152,10 +152,10 @@ class Star:
         line_parts: dict[str, Column] = {}
         fact_cols = set(self.fact.columns)
         for p in parts:
-            if p.kind == KEY and p.alias not in fact_cols:
-                a = self.resolve(p.alias)
+            if p.source and p.source not in fact_cols:
+                a = self.resolve(p.source)
                 need.setdefault(a.dim, {})[a.column] = a.out
-            elif p.kind != KEY:
+            if p.kind != KEY:
                 line_parts[p.alias] = p.line()
 
         def dim_side(dim: str) -> DataFrame:
