@@ -63,6 +63,7 @@ class Star:
     bounds: dict[str, int | None] = field(default_factory=dict)
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     location: str | None = None
+    join_mode: str | None = None   # None: per dimension; "broadcast" / "preagg": force one plan
 
     # ------------------------------------------------------------ access
     def table(self, name: str) -> DataFrame:
@@ -136,6 +137,7 @@ class Star:
         ``force`` = "broadcast" | "preagg" overrides the per-dimension choice
         (tests use it to check both plans give the same answer)."""
         where = dict(where or {})
+        force = force or self.join_mode
         ms = [measure(m) if isinstance(m, str) else m for m in measures]
         out_attrs = [self.resolve(a) for a in dict.fromkeys(attrs)]
         parts = list({p.alias: p for m in ms for p in m.parts}.values())
@@ -189,20 +191,30 @@ class Star:
 
         # Pre-aggregate by (small attrs, large keys, distinct keys) before the shuffle join.
         large_keys = [DIMENSIONS[d][1] for d in large]
+        large_cols = {o for d in large for o in need[d].values()}
         fact_side_keys = [k for k in key_parts if k in fact_cols or k in small_outs]
         grain = list(dict.fromkeys(small_outs + large_keys + fact_side_keys))
-        aggs = []
-        for n, c in line_parts.items():
-            kind = next(p.kind for p in parts if p.alias == n)
-            fn = {SUM: F.sum, MIN: F.min, MAX: F.max}[kind]
-            aggs.append(fn(c).alias(n))
+        aggs, late = [], {}
+        for p in parts:
+            if p.kind == KEY:
+                continue
+            src = self.resolve(p.source).out if p.source and p.source not in fact_cols else p.source
+            if src in large_cols:
+                # An attribute of a large dimension depends only on its key,
+                # which is in the grain: MIN/MAX of it is the value itself.
+                if p.kind == SUM:
+                    raise ValueError(f"cannot pre-aggregate SUM over dimension attribute {p.source}")
+                late[p.alias] = F.col(src)
+                continue
+            fn = {SUM: F.sum, MIN: F.min, MAX: F.max}[p.kind]
+            aggs.append(fn(line_parts[p.alias]).alias(p.alias))
         if not aggs:
             aggs = [F.count(F.lit(1)).alias("__rows")]
         g = f.groupBy(*grain).agg(*aggs)
         for d in large:
             g = g.join(dim_side(d), DIMENSIONS[d][1], "inner")
         cols = list(dict.fromkeys([a.out for a in out_attrs] + key_parts))
-        return g.select(*cols, *line_parts.keys())
+        return g.select(*cols, *[F.col(n) if n not in late else late[n].alias(n) for n in line_parts])
 
     # ------------------------------------------------------------ aggregate
     def aggregate(self, by: Iterable[str], measures: Iterable[str], where: Mapping | None = None,
