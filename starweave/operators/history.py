@@ -116,3 +116,16 @@ def ratio_to_mean(df: DataFrame, value: str, out: str, mean_out: str | None = No
     if mean_out:
         df = df.withColumn(mean_out, round_half_away(mean, mean_places))
     return df
+
+
+def densify(df: DataFrame, periods: DataFrame, keys: Sequence[str], fill: Sequence[str],
+            order_key: Column) -> DataFrame:
+    """T10 dense mode: periods of the calendar inside the span of ``df`` that
+    have no rows appear with 0 in ``fill`` columns, so LAG / moving averages
+    step over calendar periods instead of present ones.  ``periods`` is the
+    calendar (bounded), ``order_key`` a sortable expression over ``keys``."""
+    lo = df.agg(F.min(order_key)).scalar()
+    hi = df.agg(F.max(order_key)).scalar()
+    span = periods.filter(order_key.between(lo, hi))
+    out = span.join(df, list(keys), "left")
+    return out.fillna(0, subset=list(fill))

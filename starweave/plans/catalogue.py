@@ -55,6 +55,7 @@ class CatalogueParams:
     pivot_genders: tuple = ("Male", "Female")
     top_n: int = 10
     no_promo: str = "NO_PROMO"
+    dense: bool = False          # T10: months without sales count as 0 in growth / moving averages
 
 
 RETAIL = CatalogueParams()
@@ -380,12 +381,19 @@ def pivot_age_gender(s: Star, p: CatalogueParams) -> DataFrame:
 _YM = ["year", "month"]
 
 
-def _monthly(s: Star, measures, where=None, names=None) -> DataFrame:
-    return O.aggregate(s, ["year", "month", "month_name"], measures, where, names)
+def _monthly(s: Star, measures, where=None, names=None, dense: bool = False) -> DataFrame:
+    df = O.aggregate(s, ["year", "month", "month_name"], measures, where, names)
+    if dense:
+        periods = s.dims["time"].select("year", "month", "month_name").distinct()
+        fill = [(names or {}).get(m, m) for m in measures]
+        df = H.densify(df, periods, ["year", "month", "month_name"], fill,
+                       F.col("year") * 100 + F.col("month"))
+    return df
 
 
 def trend_ma3(s: Star, p: CatalogueParams) -> DataFrame:
-    df = _monthly(s, ["revenue", "profit"], names={"revenue": "monthly_revenue", "profit": "monthly_profit"})
+    df = _monthly(s, ["revenue", "profit"], names={"revenue": "monthly_revenue", "profit": "monthly_profit"},
+                  dense=p.dense)
     df = (df.withColumn("moving_avg_3m", H.moving_average("monthly_revenue", _YM))
             .withColumn("profit_moving_avg_3m", H.moving_average("monthly_profit", _YM)))
     return edge(df.select("year", "month", "month_name", "monthly_revenue", "moving_avg_3m",
@@ -401,7 +409,7 @@ def weekly_trend(s: Star, p: CatalogueParams) -> DataFrame:
 
 
 def mom_growth(s: Star, p: CatalogueParams) -> DataFrame:
-    df = _monthly(s, ["revenue"], names={"revenue": "current_revenue"})
+    df = _monthly(s, ["revenue"], names={"revenue": "current_revenue"}, dense=p.dense)
     df = H.with_growth(df, "current_revenue", _YM, "prev_month_revenue", "mom_growth_pct")
     return edge(df.orderBy(*_YM))
 
@@ -489,7 +497,7 @@ def seasonality_index(s: Star, p: CatalogueParams) -> DataFrame:
 
 def margin_trend(s: Star, p: CatalogueParams) -> DataFrame:
     df = _monthly(s, ["revenue", "cost", "profit"],
-                  names={"revenue": "revenue", "cost": "total_cost", "profit": "gross_profit"})
+                  names={"revenue": "revenue", "cost": "total_cost", "profit": "gross_profit"}, dense=p.dense)
     df = (df.withColumn("gross_margin_pct", margin_pct("gross_profit", "revenue"))
             .withColumn("margin_moving_avg_3m", H.moving_average(
                 as_double("gross_profit") / F.nullif(as_double("revenue"), F.lit(0.0)) * F.lit(100), _YM)))
