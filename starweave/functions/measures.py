@@ -61,6 +61,16 @@ def _distinct_measure(name: str, key_col: str) -> Measure:
     return Measure(name, (Part(key_col, lambda: F.col(key_col), KEY, key_col),), final)
 
 
+def _approx_distinct_measure(name: str, key_col: str, rsd: float = 0.01) -> Measure:
+    """Opt-in approximate distinct count (HyperLogLog++): the shuffle then
+    carries one sketch per group instead of one row per (group, key)."""
+    def final(cond):
+        c = F.col(key_col)
+        return F.approx_count_distinct(c if cond is None else F.when(cond, c), rsd)
+
+    return Measure(name, (Part(key_col, lambda: F.col(key_col), KEY, key_col),), final)
+
+
 def _count_measure(name: str) -> Measure:
     alias = f"{name}__c"
 
@@ -87,6 +97,7 @@ MEASURES: dict[str, Measure] = {m.name: m for m in (
     _sum_measure("gross_sales", "total_sales"),
     _count_measure("lines"),
     _distinct_measure("trx", "transaction_id"),
+    _approx_distinct_measure("trx_approx", "transaction_id"),
     _distinct_measure("customers", "customer_key"),
     _distinct_measure("days", "full_date"),
     _min_measure("first_date", "full_date"),

@@ -109,9 +109,7 @@ def ratio_to_mean(df: DataFrame, value: str, out: str, mean_out: str | None = No
                   places: int = 4, mean_places: int = 2) -> DataFrame:
     """Value / AVG(value) over all rows (seasonality index), with the
     mean itself as a scalar subquery over the grouped rows."""
-    total = df.agg(F.sum(value)).scalar()
-    count = df.agg(F.count(value)).scalar()
-    mean = as_double(total) / count
+    mean = df.agg(as_double(F.sum(value)) / F.count(value)).scalar()
     df = df.withColumn(out, round_half_away(as_double(value) / F.nullif(mean, F.lit(0.0)), places))
     if mean_out:
         df = df.withColumn(mean_out, round_half_away(mean, mean_places))

@@ -177,3 +177,20 @@ def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start
     bounds = {"time": calendar_rows(calendar_start, calendar_days, calendar_end),
               "payment": len(PAYMENT_TYPES)}
     return Star(fact(src, dims, promo_policy), dims, bounds)
+
+
+def load_warehouse(spark: SparkSession, src: Mapping[str, DataFrame], out: str | None = None,
+                   params=None, promo_policy: str = "fanout", **calendar) -> tuple[Star, list, dict]:
+    """The whole job of the reference's daily run (S15): build the star,
+    write every table to a fresh folder (switch only when all are written,
+    T15), refresh the five summaries with a status each (S14), and return
+    the load counts (Q12)."""
+    from ..operators.quality import load_counts
+    from .catalogue import RETAIL
+    from .materialize import materialize
+    from .summaries import refresh_summaries
+
+    star = materialize(build_star(spark, src, promo_policy=promo_policy, **calendar), spark, out)
+    statuses = refresh_summaries(star, spark, params or RETAIL,
+                                 root=f"{out.rstrip('/')}/summaries" if out else None)
+    return star, statuses, load_counts(star.tables())

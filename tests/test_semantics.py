@@ -128,3 +128,9 @@ def test_iso_week_with_calendar_year(star):
     # first days of January 2025 (T9); week_start is the first *sale* date.
     wk1 = [g for g in got if g[:2] == (2025, 1)]
     assert len(wk1) == 1 and str(wk1[0][2]) == "2025-12-29"
+
+
+def test_approx_trx_close_to_exact(tpch_star):
+    r = O.aggregate(tpch_star, ["year"], ["trx", "trx_approx"]).collect()
+    for x in r:
+        assert abs(x.trx_approx - x.trx) <= max(3, 0.05 * x.trx)
