@@ -145,6 +145,12 @@ def avg_line_value(revenue="revenue", lines="lines", places: int = 2) -> Column:
     return round_half_away(safe_div(as_double(revenue), as_double(lines)), places)
 
 
+def avg_transaction_value(revenue="revenue", trx="trx", places: int = 2) -> Column:
+    """The true mean per transaction, revenue / COUNT(DISTINCT transaction_id)
+    (T6: the reference's "avg per transaction" is a per-line mean)."""
+    return round_half_away(safe_div(as_double(revenue), as_double(trx)), places)
+
+
 def pct_of(part: Column, whole: Column, places: int = 2) -> Column:
     """ROUND(100.0 * part / NULLIF(whole, 0), places)."""
     return round_half_away(F.lit(100.0) * as_double(part) / F.nullif(as_double(whole), F.lit(0.0)), places)

@@ -56,6 +56,8 @@ class CatalogueParams:
     top_n: int = 10
     no_promo: str = "NO_PROMO"
     dense: bool = False          # T10: months without sales count as 0 in growth / moving averages
+    week_basis: str = "calendar"  # T9: "calendar" (year, ISO week) as the reference, or "iso" (ISO year, week)
+    by_key: bool = False         # T18: group stores / products by surrogate key, not by name
 
 
 RETAIL = CatalogueParams()
@@ -116,13 +118,19 @@ def monthly_recap(s: Star, p: CatalogueParams) -> DataFrame:
 
 
 def top_products(s: Star, p: CatalogueParams) -> DataFrame:
-    df = O.aggregate(s, ["product_name", "category", "brand"], ["qty", "revenue", "profit"],
+    df = O.aggregate(s, _ident(p, "product.product_key", ["product_name", "category", "brand"]),
+                     ["qty", "revenue", "profit"],
                      names={"qty": "total_sold", "revenue": "total_revenue", "profit": "total_profit"})
     return edge(df.orderBy(_d("total_sold"), _a("product_name"), _a("category"), _a("brand")).limit(p.top_n))
 
 
+def _ident(p: CatalogueParams, key: str, names: list[str]) -> list[str]:
+    """Identity by name (reference) or by surrogate key."""
+    return ([key] if p.by_key else []) + names
+
+
 def store_revenue(s: Star, p: CatalogueParams) -> DataFrame:
-    df = O.aggregate(s, ["store_name", "city", "province"], ["trx", "revenue", "profit"],
+    df = O.aggregate(s, _ident(p, "store.store_key", ["store_name", "city", "province"]), ["trx", "revenue", "profit"],
                      names={"trx": "total_trx", "revenue": "total_revenue", "profit": "total_profit"})
     return edge(df.orderBy(_d("total_revenue")))
 
@@ -282,7 +290,7 @@ def drill_city(s: Star, p: CatalogueParams) -> DataFrame:
 
 def drill_store(s: Star, p: CatalogueParams) -> DataFrame:
     # The reference drills to stores of a city without its province.
-    df = O.aggregate(s, ["city", "store_name"], ["revenue"], {"city": p.drill_city})
+    df = O.aggregate(s, _ident(p, "store.store_key", ["city", "store_name"]), ["revenue"], {"city": p.drill_city})
     return edge(df.orderBy(_d("revenue")))
 
 
@@ -402,10 +410,11 @@ def trend_ma3(s: Star, p: CatalogueParams) -> DataFrame:
 
 def weekly_trend(s: Star, p: CatalogueParams) -> DataFrame:
     # (calendar year, ISO week); week_start is the first *sale* date.
-    df = O.aggregate(s, ["year", "week_of_year"], ["first_date", "revenue", "qty", "trx"],
+    year = "iso_year" if p.week_basis == "iso" else "year"
+    df = O.aggregate(s, [year, "week_of_year"], ["first_date", "revenue", "qty", "trx"],
                      names={"first_date": "week_start", "revenue": "weekly_revenue", "qty": "weekly_qty",
                             "trx": "weekly_trx"})
-    return edge(df.orderBy("year", "week_of_year"))
+    return edge(df.withColumnRenamed(year, "year").orderBy("year", "week_of_year"))
 
 
 def mom_growth(s: Star, p: CatalogueParams) -> DataFrame:
@@ -444,18 +453,22 @@ def ytd_transactions(s: Star, p: CatalogueParams) -> DataFrame:
 def product_rank_quarter(s: Star, p: CatalogueParams) -> DataFrame:
     # Rank first, then LAG of the rank by product name (two steps). The
     # grain also has category, so category breaks ties in the LAG order.
-    df = O.aggregate(s, ["year", "quarter", "product_name", "category"], ["revenue"])
+    ident = ["product_key"] if p.by_key else ["product_name"]
+    df = O.aggregate(s, ["year", "quarter"] + _ident(p, "product.product_key", ["product_name", "category"]),
+                     ["revenue"])
     df = H.rank_desc(df, ["year", "quarter"], "revenue", "rank_in_quarter")
     df = df.withColumn("prev_quarter_rank",
-                       H.previous("rank_in_quarter", ["year", "quarter", "category"], partition=["product_name"]))
-    return edge(df.select("year", "quarter", "product_name", "category", "revenue", "rank_in_quarter",
-                          "prev_quarter_rank").orderBy("year", "quarter", _d("revenue")))
+                       H.previous("rank_in_quarter", ["year", "quarter", "category"], partition=ident))
+    return edge(df.select("year", "quarter", *(["product_key"] if p.by_key else []), "product_name", "category",
+                          "revenue", "rank_in_quarter", "prev_quarter_rank").orderBy("year", "quarter", _d("revenue")))
 
 
 def store_rank_month(s: Star, p: CatalogueParams) -> DataFrame:
-    df = O.aggregate(s, ["year", "month", "month_name", "store_name", "city"], ["revenue"])
+    df = O.aggregate(s, ["year", "month", "month_name"] + _ident(p, "store.store_key", ["store_name", "city"]),
+                     ["revenue"])
     df = H.rank_desc(df, ["year", "month"], "revenue", "monthly_rank")
-    return edge(df.select("year", "month", "month_name", "store_name", "city", "revenue", "monthly_rank")
+    return edge(df.select("year", "month", "month_name", *(["store_key"] if p.by_key else []), "store_name",
+                          "city", "revenue", "monthly_rank")
                 .orderBy("year", "month", _d("revenue")))
 
 

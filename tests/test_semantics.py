@@ -134,3 +134,18 @@ def test_approx_trx_close_to_exact(tpch_star):
     r = O.aggregate(tpch_star, ["year"], ["trx", "trx_approx"]).collect()
     for x in r:
         assert abs(x.trx_approx - x.trx) <= max(3, 0.05 * x.trx)
+
+
+def test_iso_week_basis(star):
+    got = rows(CATALOGUE["weekly_trend"](star, replace(RETAIL, week_basis="iso")), "year", "week_of_year")
+    assert (2026, 1) in got and (2025, 1) not in got
+
+
+def test_by_key_identity(tpch_star):
+    from starweave.plans.catalogue import TESTDATA
+    by_name = CATALOGUE["store_rank_month"](tpch_star, TESTDATA).count()
+    by_key = CATALOGUE["store_rank_month"](tpch_star, replace(TESTDATA, by_key=True))
+    assert "store_key" in by_key.columns and by_key.count() >= by_name
+    pr = CATALOGUE["product_rank_quarter"](tpch_star, replace(TESTDATA, by_key=True))
+    # product names repeat across parts (T18): by key there are more rows
+    assert pr.count() > CATALOGUE["product_rank_quarter"](tpch_star, TESTDATA).count()
