@@ -596,6 +596,41 @@ def card_campaign(s: Star, p: CatalogueParams) -> DataFrame:
     return edge(df.orderBy(_d("total_revenue")))
 
 
+# ====================================================== audits on the star (Q1-Q3, Q5)
+def audit_star_integrity(s: Star, p: CatalogueParams) -> DataFrame:
+    """Q1 unique surrogate keys, Q2 NOT NULL full_date, Q3 fact keys present
+    in their dimension, one current row per campaign: violations per check."""
+    from ..operators.quality import star_audits
+    out = None
+    for name, df in sorted(star_audits(s.tables()).items()):
+        one = df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("audit"), "violations")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def audit_product_hierarchy(s: Star, p: CatalogueParams) -> DataFrame:
+    """Q5: brands that sit under more than one category (and product names
+    under more than one brand, T18)."""
+    from ..operators.quality import hierarchy_violations
+    prod = s.dims["product"]
+    a = hierarchy_violations(prod, "brand", "category").select(
+        F.lit("brand->category").alias("level"), F.col("brand").alias("child"), "parents")
+    b = hierarchy_violations(prod, "product_name", "brand").select(
+        F.lit("product_name->brand").alias("level"), F.col("product_name").alias("child"), "parents")
+    return a.unionByName(b)
+
+
+def audit_geo_hierarchy(s: Star, p: CatalogueParams) -> DataFrame:
+    """Q5 on the store geography: city -> province -> region."""
+    from ..operators.quality import hierarchy_violations
+    st = s.dims["store"]
+    a = hierarchy_violations(st, "city", "province").select(
+        F.lit("city->province").alias("level"), F.col("city").alias("child"), "parents")
+    b = hierarchy_violations(st, "province", "region").select(
+        F.lit("province->region").alias("level"), F.col("province").alias("child"), "parents")
+    return a.unionByName(b)
+
+
 CATALOGUE: dict[str, Callable[[Star, CatalogueParams], DataFrame]] = {f.__name__: f for f in (
     monthly_recap, top_products, store_revenue, campaign_effect, customer_segments, payment_share,
     top_suppliers, category_quarter,
@@ -611,4 +646,5 @@ CATALOGUE: dict[str, Callable[[Star, CatalogueParams], DataFrame]] = {f.__name__
     mv_monthly_sales, mv_category_region, mv_customer_segment, mv_store_performance,
     mv_promotion_effectiveness,
     card_total_revenue, card_city_revenue, card_product_qty, card_membership, card_campaign,
+    audit_star_integrity, audit_product_hierarchy, audit_geo_hierarchy,
 )}

@@ -189,32 +189,49 @@ class Star:
             return f.select(*[F.col(c) for c in cols],
                             *[c.alias(n) for n, c in line_parts.items()])
 
-        # Pre-aggregate by (small attrs, large keys, distinct keys) before the shuffle join.
-        large_keys = [DIMENSIONS[d][1] for d in large]
-        large_cols = {o for d in large for o in need[d].values()}
+        # Pre-aggregate by (small attrs, large keys, distinct keys) before the
+        # first shuffle join; after each large join, aggregate again so the key
+        # just resolved leaves the grain and the next shuffle carries fewer rows.
+        # Filtered dimensions go first (they drop the most), then smaller ones.
+        order = sorted(large, key=lambda d: (d not in filters, self.bounds.get(d) or float("inf")))
+        large_keys = [DIMENSIONS[d][1] for d in order]
+        out_names = [a.out for a in out_attrs]
         fact_side_keys = [k for k in key_parts if k in fact_cols or k in small_outs]
         grain = list(dict.fromkeys(small_outs + large_keys + fact_side_keys))
-        aggs, late = [], {}
+        merge = {SUM: F.sum, MIN: F.min, MAX: F.max}
+        partial: dict[str, str] = {}                     # alias -> kind, present in g
+        late: dict[str, list[tuple[str, str, str]]] = {}  # dim -> (alias, column, kind)
+        aggs = []
+        dim_of_out = {o: d for d in large for o in need[d].values()}
         for p in parts:
             if p.kind == KEY:
                 continue
             src = self.resolve(p.source).out if p.source and p.source not in fact_cols else p.source
-            if src in large_cols:
-                # An attribute of a large dimension depends only on its key,
-                # which is in the grain: MIN/MAX of it is the value itself.
+            if src in dim_of_out:
+                # an attribute of a large dimension depends only on its key, which
+                # is in the grain: it becomes a partial once that dimension is joined
                 if p.kind == SUM:
                     raise ValueError(f"cannot pre-aggregate SUM over dimension attribute {p.source}")
-                late[p.alias] = F.col(src)
+                late.setdefault(dim_of_out[src], []).append((p.alias, src, p.kind))
                 continue
-            fn = {SUM: F.sum, MIN: F.min, MAX: F.max}[p.kind]
-            aggs.append(fn(line_parts[p.alias]).alias(p.alias))
+            aggs.append(merge[p.kind](line_parts[p.alias]).alias(p.alias))
+            partial[p.alias] = p.kind
         if not aggs:
-            aggs = [F.count(F.lit(1)).alias("__rows")]
+            aggs, partial = [F.count(F.lit(1)).alias("__rows")], {"__rows": SUM}
         g = f.groupBy(*grain).agg(*aggs)
-        for d in large:
-            g = g.join(dim_side(d), DIMENSIONS[d][1], "inner")
-        cols = list(dict.fromkeys([a.out for a in out_attrs] + key_parts))
-        return g.select(*cols, *[F.col(n) if n not in late else late[n].alias(n) for n in line_parts])
+        for i, d in enumerate(order):
+            key = DIMENSIONS[d][1]
+            g = g.join(dim_side(d), key, "inner")
+            for alias, src, kind in late.get(d, []):
+                g = g.withColumn(alias, F.col(src))
+                partial[alias] = kind
+            keep_key = key in out_names or key in key_parts
+            grain = [c for c in grain if c != key or keep_key]
+            grain += [o for o in need[d].values() if o not in grain]
+            if i < len(order) - 1:
+                g = g.groupBy(*grain).agg(*[merge[k](F.col(a)).alias(a) for a, k in partial.items()])
+        cols = list(dict.fromkeys(out_names + key_parts))
+        return g.select(*cols, *line_parts.keys())
 
     # ------------------------------------------------------------ aggregate
     def aggregate(self, by: Iterable[str], measures: Iterable[str], where: Mapping | None = None,

@@ -3,7 +3,6 @@ materialised tables (read from the session; only set when it is unset)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,15 +48,3 @@ def shared_dir(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused location under the shared folder."""
     return f"{shared_dir(spark)}/starweave/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return is_local_path(path) and os.path.exists(local_fs_path(path))
