@@ -58,6 +58,7 @@ class CatalogueParams:
     dense: bool = False          # T10: months without sales count as 0 in growth / moving averages
     week_basis: str = "calendar"  # T9: "calendar" (year, ISO week) as the reference, or "iso" (ISO year, week)
     by_key: bool = False         # T18: group stores / products by surrogate key, not by name
+    reference_names: bool = False  # output the reference's own column aliases
 
 
 RETAIL = CatalogueParams()
@@ -631,7 +632,44 @@ def audit_geo_hierarchy(s: Star, p: CatalogueParams) -> DataFrame:
     return a.unionByName(b)
 
 
-CATALOGUE: dict[str, Callable[[Star, CatalogueParams], DataFrame]] = {f.__name__: f for f in (
+# The reference's column aliases where they differ from ours
+# (``reference_names=True``), per query.
+REFERENCE_NAMES: dict[str, dict[str, str]] = {
+    "monthly_recap": {"total_trx": "total_transaksi"},
+    "top_products": {"total_sold": "total_terjual"},
+    "store_revenue": {"total_trx": "total_transaksi"},
+    "campaign_effect": {"promo_trx": "pakai_promo", "total_discount": "total_diskon",
+                        "promo_revenue": "revenue_dari_promo"},
+    "customer_segments": {"total_trx": "jumlah_transaksi", "total_spent": "total_belanja",
+                          "avg_line_value": "avg_per_transaksi"},
+    "payment_share": {"total_trx": "jumlah_transaksi"},
+    "top_suppliers": {"total_units": "total_unit_terjual"},
+    "rollup_time": {"total_trx": "total_transaksi"},
+    "rollup_geo": {"total_trx": "total_transaksi"},
+    "cube_cat_region_q": {"total_trx": "total_transaksi", "avg_line_value": "avg_per_transaksi"},
+    "cube_member_payment": {"total_trx": "total_transaksi", "avg_line_value": "avg_transaction"},
+    "gsets_single": {"total_trx": "total_transaksi"},
+    "dice_member_payment": {"avg_line_value": "avg_transaction"},
+    "weekday_pattern": {"total_trx": "avg_daily_trx", "avg_line_value": "avg_transaction_value"},
+    "mv_monthly_sales": {"total_trx": "total_transaksi", "avg_line_value": "avg_transaction"},
+    "mv_customer_segment": {"avg_line_value": "avg_transaction"},
+}
+
+
+def _with_reference_names(fn: Callable[[Star, CatalogueParams], DataFrame]):
+    names = REFERENCE_NAMES.get(fn.__name__)
+    if not names:
+        return fn
+
+    def run(s: Star, p: CatalogueParams) -> DataFrame:
+        df = fn(s, p)
+        return df.withColumnsRenamed(names) if p.reference_names else df
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
+CATALOGUE: dict[str, Callable[[Star, CatalogueParams], DataFrame]] = {f.__name__: _with_reference_names(f) for f in (
     monthly_recap, top_products, store_revenue, campaign_effect, customer_segments, payment_share,
     top_suppliers, category_quarter,
     rollup_time, rollup_geo, rollup_product, cube_cat_region_q, cube_member_payment, gsets_single,

@@ -48,3 +48,24 @@ def shared_dir(spark: SparkSession) -> str:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused location under the shared folder."""
     return f"{shared_dir(spark)}/starweave/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Cluster settings sized to the data: shuffle partitions so that one
+    partition is ~``target_partition_bytes`` (AQE coalesces small ones and
+    splits skewed ones), file splits of 256 MB, at least 2 tasks per core."""
+    slots = executors * cores_per_executor
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.files.maxRecordsPerFile": "50000000",
+    }

@@ -149,3 +149,15 @@ def test_by_key_identity(tpch_star):
     pr = CATALOGUE["product_rank_quarter"](tpch_star, replace(TESTDATA, by_key=True))
     # product names repeat across parts (T18): by key there are more rows
     assert pr.count() > CATALOGUE["product_rank_quarter"](tpch_star, TESTDATA).count()
+
+
+def test_reference_column_names(star):
+    df = CATALOGUE["campaign_effect"](star, replace(RETAIL, reference_names=True))
+    assert df.columns == ["campaign_name", "campaign_type", "channel", "pakai_promo", "total_diskon",
+                          "revenue_dari_promo", "roi_ratio"]
+
+
+def test_scale_conf():
+    from starweave.session import scale_conf
+    c = scale_conf(100 << 40, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
