@@ -75,6 +75,21 @@ TESTDATA = CatalogueParams(
 )
 
 
+# Subtotal labels and report-type names of the reference's
+# cube and OLAP queries, per query, top level first.
+LABELS: dict[str, tuple[str, ...]] = {
+    "rollup_time": ("*** GRAND TOTAL ***", "** Year Subtotal **", "* Quarter Subtotal *"),
+    "rollup_geo": ("*** GRAND TOTAL ***", "** Region Subtotal **", "* Province Subtotal *", "City Subtotal"),
+    "rollup_product": ("*** GRAND TOTAL ***", "** Category Subtotal **", "* Brand Subtotal *"),
+    "cube_cat_region_q": ("(All Categories)", "(All Regions)", "(All Quarters)"),
+    "cube_member_payment": ("(All Membership)", "(All Payment)"),
+    "gsets_single": ("By Category", "By Region", "By Quarter", "Grand Total"),
+    "gsets_pairs": ("Category × Region", "Category × Quarter", "Region × Quarter", "Unknown"),
+    "rollup_geo3": (">> GRAND TOTAL", ">> Region Total", ">> Province Total"),
+    "rollup_prod2": (">> GRAND TOTAL", ">> Category Total"),
+}
+
+
 def edge(df: DataFrame) -> DataFrame:
     """Output types: DECIMAL money -> DOUBLE (after exact summation)."""
     cols = []
@@ -176,11 +191,11 @@ def rollup_time(s: Star, p: CatalogueParams) -> DataFrame:
     df = O.grouped(s, ["year", "quarter", "month"], ["trx", "qty", "revenue", "profit"], "rollup",
                    names={"trx": "total_trx", "qty": "total_qty", "revenue": "total_revenue",
                           "profit": "total_profit"})
-    df = (df.withColumn("year_label", F.when(F.col("g_year") == 1, F.lit("*** GRAND TOTAL ***"))
+    df = (df.withColumn("year_label", F.when(F.col("g_year") == 1, F.lit(LABELS["rollup_time"][0]))
                         .otherwise(F.col("year").cast("string")))
-            .withColumn("quarter_label", F.when(F.col("g_quarter") == 1, F.lit("** Year Subtotal **"))
+            .withColumn("quarter_label", F.when(F.col("g_quarter") == 1, F.lit(LABELS["rollup_time"][1]))
                         .otherwise(F.col("quarter").cast("string")))
-            .withColumn("month_label", F.when(F.col("g_month") == 1, F.lit("* Quarter Subtotal *"))
+            .withColumn("month_label", F.when(F.col("g_month") == 1, F.lit(LABELS["rollup_time"][2]))
                         .otherwise(_month_name(F.col("month"))))
             .withColumn("margin_pct", margin_pct("total_profit", "total_revenue")))
     df = _ordered_labels(df, ["year", "quarter", "month"], ["year", "quarter", "month_name"],
@@ -191,7 +206,7 @@ def rollup_time(s: Star, p: CatalogueParams) -> DataFrame:
 def rollup_geo(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["region", "province", "city", "store_name"]
     df = O.roll_up(s, keys, ["trx", "revenue", "profit"],
-                   ["*** GRAND TOTAL ***", "** Region Subtotal **", "* Province Subtotal *", "City Subtotal"],
+                   LABELS["rollup_geo"],
                    names={"trx": "total_trx", "revenue": "total_revenue", "profit": "total_profit"})
     return edge(_ordered_labels(df, keys, keys, ["total_trx", "total_revenue", "total_profit"]))
 
@@ -199,7 +214,7 @@ def rollup_geo(s: Star, p: CatalogueParams) -> DataFrame:
 def rollup_product(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["category", "brand", "product_name"]
     df = O.roll_up(s, keys, ["qty", "revenue", "profit"],
-                   ["*** GRAND TOTAL ***", "** Category Subtotal **", "* Brand Subtotal *"],
+                   LABELS["rollup_product"],
                    names={"qty": "total_qty", "revenue": "total_revenue", "profit": "total_profit"})
     return edge(_ordered_labels(df, keys, keys, ["total_qty", "total_revenue", "total_profit"],
                                 last_order=_d("total_revenue")))
@@ -208,7 +223,7 @@ def rollup_product(s: Star, p: CatalogueParams) -> DataFrame:
 def cube_cat_region_q(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["category", "region", "quarter"]
     df = O.cube_report(s, keys, ["trx", "qty", "revenue", "profit", "lines"],
-                       ["(All Categories)", "(All Regions)", "(All Quarters)"],
+                       LABELS["cube_cat_region_q"],
                        names={"trx": "total_trx", "qty": "total_qty", "revenue": "total_revenue",
                               "profit": "total_profit"})
     df = df.withColumn("avg_line_value", avg_line_value("total_revenue", "lines"))
@@ -218,7 +233,7 @@ def cube_cat_region_q(s: Star, p: CatalogueParams) -> DataFrame:
 
 def cube_member_payment(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["membership_level", "payment_method"]
-    df = O.cube_report(s, keys, ["trx", "revenue", "lines", "profit"], ["(All Membership)", "(All Payment)"],
+    df = O.cube_report(s, keys, ["trx", "revenue", "lines", "profit"], LABELS["cube_member_payment"],
                        names={"trx": "total_trx", "revenue": "total_revenue", "profit": "total_profit"})
     df = df.withColumn("avg_line_value", avg_line_value("total_revenue", "lines"))
     return edge(_ordered_labels(df, keys, keys, ["total_trx", "total_revenue", "avg_line_value",
@@ -228,8 +243,8 @@ def cube_member_payment(s: Star, p: CatalogueParams) -> DataFrame:
 def gsets_single(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["category", "region", "quarter"]
     df = O.grouping_report(s, keys, [["category"], ["region"], ["quarter"], []], ["trx", "revenue", "profit"],
-                           [(["category"], "By Category"), (["region"], "By Region"),
-                            (["quarter"], "By Quarter")], "Grand Total", "report_type",
+                           list(zip([["category"], ["region"], ["quarter"]], LABELS["gsets_single"])),
+                           LABELS["gsets_single"][3], "report_type",
                            names={"trx": "total_trx", "revenue": "total_revenue", "profit": "total_profit"})
     df = df.orderBy("report_type", _d("total_revenue"))
     return edge(df.select("report_type", *[F.col(f"{k}_label").alias(k) for k in keys],
@@ -240,9 +255,8 @@ def gsets_pairs(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["category", "region", "quarter"]
     df = O.grouping_report(s, keys, [["category", "region"], ["category", "quarter"], ["region", "quarter"]],
                            ["revenue", "profit"],
-                           [(["category", "region"], "Category × Region"),
-                            (["category", "quarter"], "Category × Quarter"),
-                            (["region", "quarter"], "Region × Quarter")], "Unknown", "analysis_type",
+                           list(zip([["category", "region"], ["category", "quarter"], ["region", "quarter"]],
+                                    LABELS["gsets_pairs"])), LABELS["gsets_pairs"][3], "analysis_type",
                            names={"revenue": "total_revenue", "profit": "total_profit"})
     df = df.orderBy("analysis_type", _d("total_revenue"))
     return edge(df.select("analysis_type", *[F.col(f"{k}_label").alias(k) for k in keys],
@@ -298,14 +312,14 @@ def drill_store(s: Star, p: CatalogueParams) -> DataFrame:
 def rollup_geo3(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["region", "province", "city"]
     df = O.roll_up(s, keys, ["revenue", "profit", "trx"],
-                   [">> GRAND TOTAL", ">> Region Total", ">> Province Total"],
+                   LABELS["rollup_geo3"],
                    names={"revenue": "total_revenue", "profit": "total_profit", "trx": "total_trx"})
     return edge(_ordered_labels(df, keys, keys, ["total_revenue", "total_profit", "total_trx"]))
 
 
 def rollup_prod2(s: Star, p: CatalogueParams) -> DataFrame:
     keys = ["category", "brand"]
-    df = O.roll_up(s, keys, ["qty", "revenue", "profit"], [">> GRAND TOTAL", ">> Category Total"],
+    df = O.roll_up(s, keys, ["qty", "revenue", "profit"], LABELS["rollup_prod2"],
                    names={"qty": "total_qty", "revenue": "total_revenue", "profit": "total_profit"})
     return edge(_ordered_labels(df, keys, keys, ["total_qty", "total_revenue", "total_profit"]))
 
