@@ -36,3 +36,22 @@ def test_preagg_when_bound_too_large(tpch_star):
     p = _plan(CATALOGUE["top_products"](s, TESTDATA))
     # product is joined after the fact was reduced by product_key
     assert "partial_sum" in p
+
+
+@pytest.mark.parametrize("name", sorted(CATALOGUE))
+def test_single_partition_only_on_bounded_rows(name, spark, tpch_star):
+    """An Exchange SinglePartition may only carry one partial row per task
+    (global aggregate) or one row per calendar period (series windows)."""
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = _plan(CATALOGUE[name](tpch_star, TESTDATA)).split("\n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    for i, line in enumerate(lines):
+        if "SinglePartition" not in line:
+            continue
+        child = lines[i + 1]
+        global_partial = "HashAggregate(keys=[]" in child and "partial_" in child
+        period_rows = child.strip(" :+-*()0123456789").startswith(("HashAggregate(keys=[year", "Project [year"))
+        assert global_partial or period_rows, (name, child)
