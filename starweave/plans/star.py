@@ -79,6 +79,15 @@ class Star:
         out["fact_sales"] = self.table("fact_sales")
         return out
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Temp views ``fact_sales``, ``dim_time``, ... so the star can be
+        queried with ``spark.sql`` under the warehouse table names."""
+        names = []
+        for name, df in self.tables().items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def with_bounds(self, **bounds) -> "Star":
         return replace(self, bounds={**self.bounds, **bounds})
 

@@ -161,3 +161,13 @@ def test_scale_conf():
     from starweave.session import scale_conf
     c = scale_conf(100 << 40, executors=1000, cores_per_executor=8)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_sql_on_registered_views(spark, star):
+    star.register_views()
+    got = spark.sql("""
+        SELECT t.month, SUM(f.final_sales) AS rev
+        FROM fact_sales f JOIN dim_time t ON f.time_key = t.time_key
+        GROUP BY t.month ORDER BY t.month""").collect()
+    direct = O.aggregate(star, ["month"], ["revenue"]).orderBy("month").collect()
+    assert [(r.month, r.rev) for r in got] == [(r.month, r.revenue) for r in direct]
