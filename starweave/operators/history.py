@@ -57,8 +57,16 @@ def running_total(value: str, partition: Sequence[str], order: Sequence[str]) ->
     return F.sum(F.col(value)).over(w)
 
 
+BROADCAST_ROWS = 5_000_000
+
+
+def _maybe_broadcast(df: DataFrame, rows_bound: int | None) -> DataFrame:
+    """Broadcast only under a proven row bound; otherwise leave it to AQE."""
+    return F.broadcast(df) if rows_bound is not None and rows_bound <= BROADCAST_ROWS else df
+
+
 def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "rank",
-              buckets: int | None = None) -> DataFrame:
+              buckets: int | None = None, groups_bound: int | None = None) -> DataFrame:
     """RANK() OVER (PARTITION BY partition ORDER BY value DESC), distributed.
 
     A per-period window would send a whole period to one task.  Instead each
@@ -67,13 +75,15 @@ def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "r
     are ranked inside (period, bucket), and the number of rows of the same
     period in higher buckets (a table of periods x buckets rows) is added.
     Bucket numbers are a function of the data, so a recomputed task gets
-    the same answer."""
+    the same answer.  ``groups_bound`` (e.g. the calendar size when the
+    partition is a period) lets the per-period tables be broadcast, so no
+    exchange is keyed by the period alone."""
     k = buckets or max(2, min(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keys = list(partition)
     probs = [i / k for i in range(1, k)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, 10_000).alias("__b"))
     v = F.col(value)
-    x = (df.join(bounds, keys, "inner")
+    x = (df.join(_maybe_broadcast(bounds, groups_bound), keys, "inner")
            .withColumn("__bk", F.size(F.filter(F.col("__b"), lambda b: b > v)))
            .drop("__b"))
     x = x.withColumn("__lr", F.rank().over(
@@ -81,12 +91,13 @@ def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "r
     counts = x.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "__bk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    joined = x.join(offsets, [*keys, "__bk"], "inner")
+    joined = x.join(_maybe_broadcast(offsets, groups_bound and groups_bound * k), [*keys, "__bk"], "inner")
     return joined.withColumn(out, (F.col("__lr") + F.col("__off")).cast("long")).drop("__bk", "__lr", "__off")
 
 
 def share_of_total(df: DataFrame, value: str, out: str, places: int = 2,
-                   partition: Sequence[str] = (), total_out: str | None = None) -> DataFrame:
+                   partition: Sequence[str] = (), total_out: str | None = None,
+                   groups_bound: int | None = None) -> DataFrame:
     """ROUND(100.0 * value / SUM(value) OVER (PARTITION BY ...), 2).
 
     Without a partition the grand total is a scalar subquery (computed once,
@@ -97,7 +108,7 @@ def share_of_total(df: DataFrame, value: str, out: str, places: int = 2,
         df = df.withColumn("__total", total)
     else:
         totals = df.groupBy(*partition).agg(F.sum(value).alias("__total"))
-        df = df.join(totals, list(partition), "inner")
+        df = df.join(_maybe_broadcast(totals, groups_bound), list(partition), "inner")
     df = df.withColumn(out, round_half_away(
         F.lit(100.0) * as_double(F.col(value)) / F.nullif(as_double("__total"), F.lit(0.0)), places))
     if total_out:

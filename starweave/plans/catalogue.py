@@ -471,7 +471,7 @@ def product_rank_quarter(s: Star, p: CatalogueParams) -> DataFrame:
     ident = ["product_key"] if p.by_key else ["product_name"]
     df = O.aggregate(s, ["year", "quarter"] + _ident(p, "product.product_key", ["product_name", "category"]),
                      ["revenue"])
-    df = H.rank_desc(df, ["year", "quarter"], "revenue", "rank_in_quarter")
+    df = H.rank_desc(df, ["year", "quarter"], "revenue", "rank_in_quarter", groups_bound=s.bounds.get("time"))
     df = df.withColumn("prev_quarter_rank",
                        H.previous("rank_in_quarter", ["year", "quarter", "category"], partition=ident))
     return edge(df.select("year", "quarter", *(["product_key"] if p.by_key else []), "product_name", "category",
@@ -481,7 +481,7 @@ def product_rank_quarter(s: Star, p: CatalogueParams) -> DataFrame:
 def store_rank_month(s: Star, p: CatalogueParams) -> DataFrame:
     df = O.aggregate(s, ["year", "month", "month_name"] + _ident(p, "store.store_key", ["store_name", "city"]),
                      ["revenue"])
-    df = H.rank_desc(df, ["year", "month"], "revenue", "monthly_rank")
+    df = H.rank_desc(df, ["year", "month"], "revenue", "monthly_rank", groups_bound=s.bounds.get("time"))
     return edge(df.select("year", "month", "month_name", *(["store_key"] if p.by_key else []), "store_name",
                           "city", "revenue", "monthly_rank")
                 .orderBy("year", "month", _d("revenue")))
@@ -491,7 +491,7 @@ def category_contribution(s: Star, p: CatalogueParams) -> DataFrame:
     df = O.aggregate(s, ["year", "month", "month_name", "category"], ["revenue"],
                      names={"revenue": "category_revenue"})
     df = H.share_of_total(df, "category_revenue", "pct_contribution", partition=["year", "month"],
-                          total_out="total_month_revenue")
+                          total_out="total_month_revenue", groups_bound=s.bounds.get("time"))
     return edge(df.select("year", "month", "month_name", "category", "category_revenue",
                           "total_month_revenue", "pct_contribution")
                 .orderBy("year", "month", F.col("pct_contribution").desc_nulls_first()))

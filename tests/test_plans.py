@@ -55,3 +55,25 @@ def test_single_partition_only_on_bounded_rows(name, spark, tpch_star):
         global_partial = "HashAggregate(keys=[]" in child and "partial_" in child
         period_rows = child.strip(" :+-*()0123456789").startswith(("HashAggregate(keys=[year", "Project [year"))
         assert global_partial or period_rows, (name, child)
+
+
+@pytest.mark.parametrize("name", ["store_rank_month", "product_rank_quarter", "category_contribution"])
+def test_no_exchange_keyed_by_period_alone(name, spark, tpch_star):
+    """Per-period side tables are broadcast (calendar-bounded): an exchange
+    keyed by the period alone only carries aggregated rows (partial sketches,
+    partial sums, per-bucket counts), never the ranked rows, even without AQE."""
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = _plan(CATALOGUE[name](tpch_star, TESTDATA))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    import re
+    lines = p.split("\n")
+    for i, line in enumerate(lines):
+        m = re.search(r"Exchange hashpartitioning\(([^)]*)\)", line)
+        if not m:
+            continue
+        cols = [c.split("#")[0].strip() for c in m.group(1).split(",")[:-1]]
+        if not set(cols) - {"year", "month", "quarter"}:
+            assert "Aggregate(keys=[" in lines[i + 1], (name, cols, lines[i + 1])
