@@ -41,13 +41,18 @@ def invalid_values(df: DataFrame, col: str, allowed: Iterable) -> DataFrame:
 
 def hierarchy_violations(df: DataFrame, child: str, parent: str) -> DataFrame:
     """Q5: children that sit under more than one parent (e.g. a city in two
-    provinces), with the parents found."""
-    return (df.groupBy(child)
-              .agg(F.count_distinct(parent).alias("parents"),
-                   F.array_sort(F.collect_set(parent)).alias("parent_values"))
+    provinces), with the number of parents."""
+    return (df.groupBy(child).agg(F.count_distinct(parent).alias("parents"))
               .filter(F.col("parents") > 1))
 
 
+def hierarchy_violation_pairs(df: DataFrame, child: str, parent: str) -> DataFrame:
+    """Q5 detail: one row per (child, parent) of every violating child — rows,
+    not a collected list, so a child with very many parents stays distributed."""
+    bad = hierarchy_violations(df, child, parent).select(child)
+    return df.select(child, parent).distinct().join(bad, child, "left_semi")
+
+
 def line_arithmetic(details: DataFrame) -> DataFrame:
     """Q6: subtotal = (unit_price - discount_per_item) x quantity."""
     expected = (F.col("unit_price") - F.col("discount_per_item")) * F.col("quantity")
@@ -166,15 +171,22 @@ def fact_orphans(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], pr
         ("unknown campaign", "campaign_id", dims["promotion"].filter("is_current").select("campaign_id")),
         ("unknown payment method", "payment_method", dims["payment"].select("payment_method")),
     ]
-    known_product = lines.join(src["products"].select("product_id"), "product_id", "left_semi")
-    out = None
-    for reason, col, keys in checks:
-        # the supplier comes from the product: only ask for it when the product is known
-        base = known_product if col == "supplier_id" else lines
-        bad = orphans(base, col, keys, col).select("transaction_id", "detail_id", F.lit(reason).alias("reason"),
-                                                    F.col(col).cast("string").alias("value"))
-        out = bad if out is None else out.unionByName(bad)
-    return out
+    # One pass: a flag per lookup (left joins on distinct keys), then one row
+    # per failed lookup.  The supplier comes from the product, so it is only
+    # checked when the product is known.
+    x = lines
+    product_flag = f"__ok{[c[1] for c in checks].index('product_id')}"
+    failed = []
+    for i, (reason, col, keys) in enumerate(checks):
+        flag = f"__ok{i}"
+        x = x.join(keys.select(col).distinct().withColumn(flag, F.lit(True)), col, "left")
+        miss = F.col(flag).isNull()
+        if col == "supplier_id":
+            miss = miss & F.col(product_flag).isNotNull()
+        failed.append(F.when(miss, F.struct(F.lit(reason).alias("reason"),
+                                            F.col(col).cast("string").alias("value"))))
+    return (x.select("transaction_id", "detail_id", F.explode(F.filter(F.array(*failed), lambda c: c.isNotNull())).alias("f"))
+             .select("transaction_id", "detail_id", "f.reason", "f.value"))
 
 
 def star_audits(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
