@@ -40,6 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            # a driver-local folder is not visible to the executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="starweave-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
