@@ -64,6 +64,7 @@ class Star:
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     location: str | None = None
     join_mode: str | None = None   # None: per dimension; "broadcast" / "preagg": force one plan
+    scope: dict = field(default_factory=dict)  # filters added to every query, e.g. {"year": 2025} (T12)
 
     # ------------------------------------------------------------ access
     def table(self, name: str) -> DataFrame:
@@ -145,7 +146,7 @@ class Star:
 
         ``force`` = "broadcast" | "preagg" overrides the per-dimension choice
         (tests use it to check both plans give the same answer)."""
-        where = dict(where or {})
+        where = {**self.scope, **(where or {})}
         force = force or self.join_mode
         ms = [measure(m) if isinstance(m, str) else m for m in measures]
         out_attrs = [self.resolve(a) for a in dict.fromkeys(attrs)]

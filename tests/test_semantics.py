@@ -171,3 +171,15 @@ def test_sql_on_registered_views(spark, star):
         GROUP BY t.month ORDER BY t.month""").collect()
     direct = O.aggregate(star, ["month"], ["revenue"]).orderBy("month").collect()
     assert [(r.month, r.rev) for r in got] == [(r.month, r.revenue) for r in direct]
+
+
+def test_scope_limits_every_query_to_a_year(tpch_star):
+    from starweave.plans.catalogue import TESTDATA
+    scoped = replace(tpch_star, scope={"year": 1997})
+    a = {(r.quarter, r.category, r.city): r.total_revenue
+         for r in CATALOGUE["dice_cat_region_q"](scoped, TESTDATA).collect()}
+    b = O.dice(tpch_star, {"category": list(TESTDATA.dice_categories), "region": TESTDATA.dice_region,
+                           "quarter": list(TESTDATA.dice_quarters), "year": 1997},
+               ["quarter", "category", "city"], ["revenue"]).collect()
+    assert a == {(r.quarter, r.category, r.city): float(r.revenue) for r in b}
+    assert {r.year for r in CATALOGUE["drill_year"](scoped, TESTDATA).collect()} == {1997}
