@@ -18,11 +18,18 @@ def _norm(rows):
     return sorted(out, key=lambda r: [str(x) for x in r])
 
 
+SPARK_TO_SQL = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(name, spark, tpch_star, duck):
     sdf = CATALOGUE[name](tpch_star, TESTDATA)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
+    sql_types = dict(zip(rel.columns, map(str, rel.types)))
+    for f in sdf.schema.fields:
+        assert SPARK_TO_SQL.get(f.dataType.simpleString()) == sql_types[f.name], f.name
     idx = [rel.columns.index(c) for c in sdf.columns]
     drows = [tuple(r[i] for i in idx) for r in rel.fetchall()]
     assert _norm([tuple(r) for r in sdf.collect()]) == _norm(drows)
