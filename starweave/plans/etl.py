@@ -185,12 +185,11 @@ def load_warehouse(spark: SparkSession, src: Mapping[str, DataFrame], out: str |
     write every table to a fresh folder (switch only when all are written,
     T15), refresh the five summaries with a status each (S14), and return
     the load counts (Q12)."""
-    from ..operators.quality import load_counts
     from .catalogue import RETAIL
-    from .materialize import materialize
+    from .materialize import load_manifest, read_star, write_star
     from .summaries import refresh_summaries
 
-    star = materialize(build_star(spark, src, promo_policy=promo_policy, **calendar), spark, out)
-    statuses = refresh_summaries(star, spark, params or RETAIL,
-                                 root=f"{out.rstrip('/')}/summaries" if out else None)
-    return star, statuses, load_counts(star.tables())
+    path = write_star(build_star(spark, src, promo_policy=promo_policy, **calendar), spark, out)
+    star = read_star(spark, path)
+    statuses = refresh_summaries(star, spark, params or RETAIL, root=f"{path}/summaries")
+    return star, statuses, load_manifest(spark, path)

@@ -4,41 +4,61 @@ Every build goes to a fresh folder under the cluster-shared directory (T15:
 readers of an older build never see a half-written table; the caller
 switches to the new ``Star`` once every table is written).  The fact is
 partitioned by ``sale_year`` and sorted by ``time_key`` inside each file,
-so a time filter prunes directories and row groups.  Dimension row counts
-are read back from the written files and become the proven bounds that
-``Star.base`` uses to decide on broadcasting.
+so a time filter prunes directories and row groups.
+
+Row counts are observed while the tables are written (``Observation``, no
+extra pass; Q12) and kept in a small ``_manifest`` table.  The dimension
+counts are the proven bounds ``Star.base`` uses to decide on broadcasting.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import new_table_path
 from .star import DIMENSIONS, FACT_PARTITION, Star
 
 # Dimensions whose size is fixed by construction are written as one file.
 SINGLE_FILE = {"time", "payment", "promotion"}
+MANIFEST = "_manifest"
 
 
 def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
     path = path or new_table_path(spark, "star")
+    counts: dict[str, int] = {}
     for dim, (table, _) in DIMENSIONS.items():
         df = star.dims[dim]
         if dim in SINGLE_FILE:
             df = df.coalesce(1)
-        df.write.mode("overwrite").parquet(f"{path}/{table}")
+        obs = Observation(table)
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{path}/{table}")
+        counts[table] = obs.get["rows"]
     f = star.fact
-    w = f.sortWithinPartitions(FACT_PARTITION, "time_key") if FACT_PARTITION in f.columns else f
+    obs = Observation("fact_sales")
+    f = f.observe(obs, F.count(F.lit(1)).alias("rows"))
+    w = f.sortWithinPartitions(FACT_PARTITION, "time_key") if FACT_PARTITION in star.fact.columns else f
     w = w.write.mode("overwrite")
-    if FACT_PARTITION in f.columns:
+    if FACT_PARTITION in star.fact.columns:
         w = w.partitionBy(FACT_PARTITION)
     w.parquet(f"{path}/fact_sales")
+    counts["fact_sales"] = obs.get["rows"]
+    (spark.createDataFrame(sorted(counts.items()), "table string, rows long")
+          .coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}"))
     return path
 
 
+def load_manifest(spark: SparkSession, path: str) -> dict[str, int]:
+    try:
+        return {r["table"]: r["rows"] for r in spark.read.parquet(f"{path}/{MANIFEST}").collect()}
+    except Exception:  # a star written without manifest: count the dimensions
+        return {t: spark.read.parquet(f"{path}/{t}").count() for t, _ in DIMENSIONS.values()}
+
+
 def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None) -> Star:
     dims = {dim: spark.read.parquet(f"{path}/{table}") for dim, (table, _) in DIMENSIONS.items()}
-    bounds = {dim: df.count() for dim, df in dims.items()}
+    counts = load_manifest(spark, path)
+    bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
     fact = spark.read.parquet(f"{path}/fact_sales")
     star = Star(fact, dims, bounds, location=path)
     if broadcast_rows is not None:
