@@ -68,3 +68,53 @@ def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None)
 
 def materialize(star: Star, spark: SparkSession, path: str | None = None) -> Star:
     return read_star(spark, write_star(star, spark, path), star.broadcast_rows)
+
+
+# ---------------------------------------------------------------- catalog layout
+def write_star_tables(star: Star, spark: SparkSession, database: str, path: str | None = None,
+                      colocate: str = "product", buckets: int | None = None) -> str:
+    """The star as catalog tables in ``database`` (external, under the shared
+    folder), with the fact and the ``colocate`` dimension bucketed by that
+    dimension's key into the same number of buckets.
+
+    For that dimension the fact's pre-aggregation by key and the join then
+    run without any exchange (the bucketed scan already provides the hash
+    partitioning); the largest dimension is the one to pick.  The fact stays
+    partitioned by ``sale_year`` and sorted by ``time_key`` in each file."""
+    path = path or new_table_path(spark, f"star-{database}")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = DIMENSIONS[colocate][1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{path}/_db'")
+    counts: dict[str, int] = {}
+
+    def save(df, table, bucket=False, partition=None, sort=None):
+        obs = Observation(f"{database}.{table}")
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        if partition:
+            w = w.partitionBy(partition)
+        if bucket:
+            w = w.bucketBy(buckets, key)
+            if sort:
+                w = w.sortBy(*sort)
+        w.option("path", f"{path}/{table}").saveAsTable(f"{database}.{table}")
+        counts[table] = obs.get["rows"]
+
+    for dim, (table, _) in DIMENSIONS.items():
+        df = star.dims[dim].coalesce(1) if dim in SINGLE_FILE else star.dims[dim]
+        save(df, table, bucket=dim == colocate, sort=[key])
+    part = FACT_PARTITION if FACT_PARTITION in star.fact.columns else None
+    save(star.fact, "fact_sales", bucket=True, partition=part, sort=["time_key"])
+    rows = [(t, n, None) for t, n in sorted(counts.items())] + [("colocated", None, colocate)]
+    (spark.createDataFrame(rows, "table string, rows long, value string").coalesce(1)
+          .write.mode("overwrite").option("path", f"{path}/{MANIFEST}")
+          .saveAsTable(f"{database}.star_manifest"))
+    return path
+
+
+def read_star_tables(spark: SparkSession, database: str) -> Star:
+    meta = spark.table(f"{database}.star_manifest").collect()
+    counts = {r["table"]: r["rows"] for r in meta if r["rows"] is not None}
+    colocated = next((r["value"] for r in meta if r["table"] == "colocated"), None)
+    dims = {dim: spark.table(f"{database}.{table}") for dim, (table, _) in DIMENSIONS.items()}
+    bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
+    return Star(spark.table(f"{database}.fact_sales"), dims, bounds, colocated=colocated)

@@ -65,6 +65,7 @@ class Star:
     location: str | None = None
     join_mode: str | None = None   # None: per dimension; "broadcast" / "preagg": force one plan
     scope: dict = field(default_factory=dict)  # filters added to every query, e.g. {"year": 2025} (T12)
+    colocated: str | None = None   # dimension bucketed together with the fact (joined first, no exchange)
 
     # ------------------------------------------------------------ access
     def table(self, name: str) -> DataFrame:
@@ -203,7 +204,10 @@ class Star:
         # first shuffle join; after each large join, aggregate again so the key
         # just resolved leaves the grain and the next shuffle carries fewer rows.
         # Filtered dimensions go first (they drop the most), then smaller ones.
-        order = sorted(large, key=lambda d: (d not in filters, self.bounds.get(d) or float("inf")))
+        # A dimension bucketed with the fact goes first: the pre-aggregation and
+        # that join then reuse the bucketing instead of shuffling.
+        order = sorted(large, key=lambda d: (d != self.colocated, d not in filters,
+                                             self.bounds.get(d) or float("inf")))
         large_keys = [DIMENSIONS[d][1] for d in order]
         out_names = [a.out for a in out_attrs]
         fact_side_keys = [k for k in key_parts if k in fact_cols or k in small_outs]
