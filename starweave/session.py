@@ -25,7 +25,9 @@ def local_session(cores: int | str = 8, app: str = "starweave", **extra) -> Spar
     for k, v in {**LOCAL_CONF, **extra}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
@@ -37,17 +39,35 @@ def shared_dir(spark: SparkSession) -> str:
     registered, so later ``checkpoint()`` calls use it too.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             # a driver-local folder is not visible to the executors of a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="starweave-")
-        spark.sparkContext.setCheckpointDir(d)
+        if sc is not None:
+            sc.setCheckpointDir(d)
+        else:
+            spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused location under the shared folder."""
     return f"{shared_dir(spark)}/starweave/{name}-{uuid.uuid4().hex[:12]}"
