@@ -9,7 +9,7 @@ BIGINT.  Sort orders follow the reference, with explicit NULL placement
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.calendar import MONTH_NAMES
 from ..functions.labels import weekend_label
-from ..functions.measures import avg_line_value, margin_pct, pct_of, ratio, round_half_away, as_double
+from ..functions.measures import as_double, avg_line_value, margin_pct, ratio
 from ..operators import history as H
 from ..operators import olap as O
 from .star import Star

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import calendar, calendar_rows, time_key
+from ..functions.calendar import calendar, calendar_rows
 from ..functions.keys import surrogate_key
 from ..functions.labels import age_group
 from ..sources.schemas import NO_PROMO, PAYMENT_TYPES
