@@ -183,3 +183,41 @@ def test_scope_limits_every_query_to_a_year(tpch_star):
                ["quarter", "category", "city"], ["revenue"]).collect()
     assert a == {(r.quarter, r.category, r.city): float(r.revenue) for r in b}
     assert {r.year for r in CATALOGUE["drill_year"](scoped, TESTDATA).collect()} == {1997}
+
+
+def test_t6_line_mean_vs_transaction_mean(star):
+    from starweave.functions.measures import avg_transaction_value
+    r = O.aggregate(star, [], ["revenue", "lines", "trx"]).select(
+        F.col("revenue").cast("double").alias("rev"), "lines", "trx",
+        avg_transaction_value("revenue", "trx").alias("per_trx")).first()
+    seg = CATALOGUE["customer_segments"](star, RETAIL).agg(F.sum("total_spent")).first()[0]
+    assert seg == r.rev
+    assert r.per_trx == round(r.rev / r.trx, 2) and r.lines != r.trx
+
+
+def test_t7_null_margin_sorts_first_in_descending_order(star):
+    got = [(r.quarter, r.category, r.margin_pct) for r in CATALOGUE["category_margin"](star, RETAIL).collect()]
+    q2 = [g for g in got if g[0] == 2]
+    assert q2[0][2] is None and all(m is not None for _, _, m in q2[1:])
+
+
+def test_t8_ties_under_limit_are_broken_by_name(star):
+    got = [r.product_name for r in CATALOGUE["card_product_qty"](star, replace(RETAIL, top_n=2)).collect()]
+    assert got == ["Panci", "Kursi"]  # Kursi and Rak tie at 3 units
+
+
+def test_t13_share_of_zero_total_is_null(spark):
+    df = spark.createDataFrame([("a", 0.0), ("b", 0.0)], "k string, v double")
+    assert [r.s for r in H.share_of_total(df, "v", "s").collect()] == [None, None]
+
+
+def test_t15_each_build_goes_to_a_fresh_folder(spark, retail):
+    from starweave.plans.materialize import write_star
+    s = build_star(spark, retail)
+    assert write_star(s, spark) != write_star(s, spark)
+
+
+def test_t17_months_in_calendar_order_inside_rollup(star):
+    got = [r.month_name for r in CATALOGUE["rollup_time"](star, RETAIL).collect()
+           if r.year == "2025" and r.quarter in ("1", "2")]
+    assert got == ["Januari", "Februari", "* Quarter Subtotal *", "April", "Mei", "* Quarter Subtotal *"]
