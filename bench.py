@@ -31,7 +31,10 @@ def timed(fn):
 
 
 def main():
-    spark = local_session(CPUS, app="starweave-bench", **{"spark.sql.shuffle.partitions": CPUS})
+    extra = {"spark.sql.shuffle.partitions": CPUS}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task times for later analysis
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
+    spark = local_session(CPUS, app="starweave-bench", **extra)
     t_build = time.perf_counter()
     star = materialize(star_from_tpch(spark, SF_DIR), spark)
     t_build = time.perf_counter() - t_build

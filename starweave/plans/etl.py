@@ -191,5 +191,6 @@ def load_warehouse(spark: SparkSession, src: Mapping[str, DataFrame], out: str |
 
     path = write_star(build_star(spark, src, promo_policy=promo_policy, **calendar), spark, out)
     star = read_star(spark, path)
+    star.location = path
     statuses = refresh_summaries(star, spark, params or RETAIL, root=f"{path}/summaries")
     return star, statuses, load_manifest(spark, path)
