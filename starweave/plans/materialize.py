@@ -37,7 +37,12 @@ def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
     f = star.fact
     obs = Observation("fact_sales")
     f = f.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = f.sortWithinPartitions(FACT_PARTITION, "time_key") if FACT_PARTITION in star.fact.columns else f
+    # Range-partition by time first: each task then holds a contiguous stretch
+    # of days and writes one or two year folders (not one file per year per
+    # task), files get tight time_key min/max, and transaction_id in the range
+    # key splits a hot day over several tasks.
+    w = (f.repartitionByRange(F.col("time_key"), F.col("transaction_id"))
+          .sortWithinPartitions(FACT_PARTITION, "time_key")) if FACT_PARTITION in star.fact.columns else f
     w = w.write.mode("overwrite")
     if FACT_PARTITION in star.fact.columns:
         w = w.partitionBy(FACT_PARTITION)
@@ -103,7 +108,8 @@ def write_star_tables(star: Star, spark: SparkSession, database: str, path: str
         df = star.dims[dim].coalesce(1) if dim in SINGLE_FILE else star.dims[dim]
         save(df, table, bucket=dim == colocate, sort=[key])
     part = FACT_PARTITION if FACT_PARTITION in star.fact.columns else None
-    save(star.fact, "fact_sales", bucket=True, partition=part, sort=["time_key"])
+    # one task per bucket: one file per bucket and year instead of one per task
+    save(star.fact.repartition(buckets, key), "fact_sales", bucket=True, partition=part, sort=["time_key"])
     rows = [(t, n, None) for t, n in sorted(counts.items())] + [("colocated", None, colocate)]
     (spark.createDataFrame(rows, "table string, rows long, value string").coalesce(1)
           .write.mode("overwrite").option("path", f"{path}/{MANIFEST}")
