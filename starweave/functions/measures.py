@@ -104,7 +104,15 @@ MEASURES: dict[str, Measure] = {m.name: m for m in (
 )}
 
 
-def measure(name: str) -> Measure:
+# Approximate twins of the distinct counts, same output names (SURVEY A3:
+# an opt-in switch; exact stays the default).
+APPROX: dict[str, Measure] = {name: _approx_distinct_measure(name, key) for name, key in (
+    ("trx", "transaction_id"), ("customers", "customer_key"), ("days", "full_date"))}
+
+
+def measure(name: str, approx_distinct: bool = False) -> Measure:
+    if approx_distinct and name in APPROX:
+        return APPROX[name]
     try:
         return MEASURES[name]
     except KeyError:

@@ -19,15 +19,15 @@ from ..plans.star import Star
 Where = Mapping[str, object] | None
 
 
-def _ms(measures: Iterable[str | Measure]) -> list[Measure]:
-    return [measure(m) if isinstance(m, str) else m for m in measures]
+def _ms(star: Star, measures: Iterable[str | Measure]) -> list[Measure]:
+    return [measure(m, star.approx_distinct) if isinstance(m, str) else m for m in measures]
 
 
 def aggregate(star: Star, by: Sequence[str], measures: Iterable[str], where: Where = None,
               names: Mapping[str, str] | None = None) -> DataFrame:
     """GROUP BY ``by`` with measures; ``names`` renames measure columns."""
     names = dict(names or {})
-    ms = _ms(measures)
+    ms = _ms(star, measures)
     base = star.base(by, ms, where)
     outs = [star.resolve(a).out for a in by]
     aggs = [m.agg(alias=names.get(m.name, m.name)) for m in ms]
@@ -62,7 +62,7 @@ def grouped(star: Star, keys: Sequence[str], measures: Iterable[str], mode: str
             names: Mapping[str, str] | None = None) -> DataFrame:
     """ROLLUP / CUBE / GROUPING SETS with a ``g_<key>`` GROUPING() flag per key."""
     names = dict(names or {})
-    ms = _ms(measures)
+    ms = _ms(star, measures)
     base = star.base(keys, ms, where)
     outs = [star.resolve(k).out for k in keys]
     if mode == "rollup":
@@ -132,7 +132,7 @@ def pivot(star: Star, rows: Sequence[str], column: str, values: Sequence, measur
     ``groupBy().pivot(col, values)`` expands to, plus the Total in the same
     single pass; the explicit list keeps the schema stable and avoids the
     extra job that collects the distinct values."""
-    m = measure(measure_name)
+    m = measure(measure_name, star.approx_distinct)
     base = star.base(list(rows) + list(hidden) + [column], [m], where)
     col = F.col(star.resolve(column).out)
     outs = [star.resolve(r).out for r in list(rows) + list(hidden)]

@@ -66,6 +66,7 @@ class Star:
     join_mode: str | None = None   # None: per dimension; "broadcast" / "preagg": force one plan
     scope: dict = field(default_factory=dict)  # filters added to every query, e.g. {"year": 2025} (T12)
     colocated: str | None = None   # dimension bucketed together with the fact (joined first, no exchange)
+    approx_distinct: bool = False  # distinct counts as HyperLogLog++ sketches (opt-in, A3)
 
     # ------------------------------------------------------------ access
     def table(self, name: str) -> DataFrame:
@@ -149,7 +150,7 @@ class Star:
         (tests use it to check both plans give the same answer)."""
         where = {**self.scope, **(where or {})}
         force = force or self.join_mode
-        ms = [measure(m) if isinstance(m, str) else m for m in measures]
+        ms = [measure(m, self.approx_distinct) if isinstance(m, str) else m for m in measures]
         out_attrs = [self.resolve(a) for a in dict.fromkeys(attrs)]
         parts = list({p.alias: p for m in ms for p in m.parts}.values())
 
@@ -252,7 +253,7 @@ class Star:
                   force: str | None = None) -> DataFrame:
         """GROUP BY ``by`` with the named measures (plain star query)."""
         by = list(by)
-        ms = [measure(m) for m in measures]
+        ms = [measure(m, self.approx_distinct) for m in measures]
         base = self.base(by, ms, where, force)
         outs = [self.resolve(a).out for a in by]
         aggs = [m.agg() for m in ms]

@@ -221,3 +221,16 @@ def test_t17_months_in_calendar_order_inside_rollup(star):
     got = [r.month_name for r in CATALOGUE["rollup_time"](star, RETAIL).collect()
            if r.year == "2025" and r.quarter in ("1", "2")]
     assert got == ["Januari", "Februari", "* Quarter Subtotal *", "April", "Mei", "* Quarter Subtotal *"]
+
+
+def test_approx_distinct_switch(tpch_star):
+    from starweave.plans.catalogue import TESTDATA
+    exact = {(r.year, r.month): r.total_trx for r in CATALOGUE["monthly_recap"](tpch_star, TESTDATA).collect()}
+    approx_star = replace(tpch_star, approx_distinct=True)
+    df = CATALOGUE["monthly_recap"](approx_star, TESTDATA)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "approx_count_distinct" in plan
+    for r in df.collect():
+        e = exact[(r.year, r.month)]
+        assert abs(r.total_trx - e) <= max(2, 0.05 * e)
+    assert CATALOGUE["pivot_age_gender"](approx_star, TESTDATA).count() == 4
