@@ -137,9 +137,11 @@ def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_poli
     """J3 + P4: surrogate-key lookups (inner: unmatched lines are reported by
     ``quality.fact_orphans`` instead) and the five measures."""
     df = fact_lines(src, promo_policy)
+    # The product key is a function of product_id and the lines were already
+    # joined to the products table, so no second product lookup (no shuffle).
+    df = df.withColumn("product_key", surrogate_key(df, "product_id"))
     look = {
         "time": (dims["time"].select("time_key", F.col("full_date").alias("transaction_date")), "transaction_date"),
-        "product": (dims["product"].select("product_key", "product_id"), "product_id"),
         "customer": (dims["customer"].select("customer_key", "customer_id"), "customer_id"),
         "store": (dims["store"].select("store_key", "store_id"), "store_id"),
         "supplier": (dims["supplier"].select("supplier_key", "supplier_id"), "supplier_id"),
