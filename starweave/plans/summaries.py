@@ -72,3 +72,14 @@ def read_summary(spark: SparkSession, status: RefreshStatus) -> DataFrame:
     if not status.ok or not status.path:
         raise ValueError(f"summary {status.name} is not available: {status.error}")
     return spark.read.parquet(status.path)
+
+
+def register_summary_views(spark: SparkSession, statuses: list[RefreshStatus]) -> list[str]:
+    """Temp views named like the summaries (``mv_monthly_sales`` ...) over the
+    latest successful refresh, for SQL dashboards."""
+    names = []
+    for st in statuses:
+        if st.ok:
+            read_summary(spark, st).createOrReplaceTempView(st.name)
+            names.append(st.name)
+    return names

@@ -114,6 +114,14 @@ def test_summary_equals_direct_query(spark, star):
         assert a == b, st.name
 
 
+def test_summary_views_for_sql(spark, star):
+    from starweave.plans.summaries import refresh_summaries, register_summary_views
+    names = register_summary_views(spark, refresh_summaries(star, spark, RETAIL, names=("mv_monthly_sales",)))
+    assert names == ["mv_monthly_sales"]
+    r = spark.sql("SELECT SUM(total_revenue) AS r FROM mv_monthly_sales").first()
+    assert r.r == 215.0
+
+
 def test_summary_failure_is_isolated(spark, star):
     from starweave.plans.summaries import refresh_summaries
     broken = replace(star, dims={**star.dims, "promotion": star.dims["promotion"].drop("campaign_name")})
