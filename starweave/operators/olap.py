@@ -1,7 +1,8 @@
 """Drill-down, roll-up, slice, dice, pivot, cube and grouping sets.
 
 All of them are one aggregation over ``Star.base``: map-side partial
-aggregation, one exchange on the grouping keys, final aggregation.
+aggregation before every exchange, then the final aggregation (an exact
+distinct count adds one exchange keyed by group and transaction).
 ROLLUP/CUBE/GROUPING SETS plan as Expand + aggregate; subtotal rows are
 recognised with GROUPING(), never by a NULL attribute (trap T5).
 """

@@ -13,7 +13,12 @@ dimension between
   shuffle join, when the bound is unknown or too large: the shuffle then
   carries one row per key instead of one row per fact line, and a hot key
   (one product with a third of all sales) collapses to one row before the
-  exchange.
+  exchange.  With several large dimensions the fact is re-aggregated after
+  each join (filtered and co-located dimensions first).
+
+``scope`` adds filters to every query, ``approx_distinct`` turns distinct
+counts into HyperLogLog++ sketches, and ``join_mode`` forces one strategy
+(tests use it to check both give the same answer).
 """
 
 from __future__ import annotations
