@@ -83,8 +83,10 @@ def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "r
     probs = [i / k for i in range(1, k)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, 10_000).alias("__b"))
     v = F.col(value)
+    # NULL values rank after every value (DESC NULLS LAST): a bucket of their own.
     x = (df.join(_maybe_broadcast(bounds, groups_bound), keys, "inner")
-           .withColumn("__bk", F.size(F.filter(F.col("__b"), lambda b: b > v)))
+           .withColumn("__bk", F.when(v.isNull(), F.lit(k))
+                       .otherwise(F.size(F.filter(F.col("__b"), lambda b: b > v))))
            .drop("__b"))
     x = x.withColumn("__lr", F.rank().over(
         Window.partitionBy(*keys, "__bk").orderBy(v.desc_nulls_last())))
