@@ -45,11 +45,14 @@ def date_attributes(d: Column, month_names=MONTH_NAMES, day_names=DAY_NAMES) ->
         "day_of_week": wd,
         "day_name": _name_at(day_names, wd + 1),
         "is_weekend": wd >= 5,
-        # year of the ISO week (T9: 2025-12-29 is week 1 of 2026)
-        "iso_year": F.extract(F.lit("YEAROFWEEK"), d).cast("int"),
     }
 
 
+def iso_year(d: Column) -> Column:
+    """Year of the ISO week (T9: 2025-12-29 is week 1 of 2026)."""
+    return F.extract(F.lit("YEAROFWEEK"), d).cast("int")
+
+
 def _as_date(x) -> dt.date:
     return x if isinstance(x, dt.date) else dt.date.fromisoformat(str(x))
 

@@ -24,11 +24,12 @@ counts into HyperLogLog++ sketches, and ``join_mode`` forces one strategy
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from typing import Iterable, Mapping
+from typing import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.calendar import iso_year
 from ..functions.measures import KEY, MAX, MIN, SUM, Measure, measure
 
 # dimension name -> (table name, surrogate key)
@@ -50,6 +51,12 @@ FACT_COLUMNS = ("time_key", "product_key", "customer_key", "store_key", "promoti
 # Unqualified attribute names that exist in two dimensions resolve here.
 PREFERRED = {"city": "store", "unit_price": "product"}
 
+# Attributes computed from a dimension's columns when a query asks for them
+# (the stored dimension keeps the reference's schema).
+DERIVED: dict[str, tuple[str, Callable[[], Column]]] = {
+    "iso_year": ("time", lambda: iso_year(F.col("full_date"))),
+}
+
 DEFAULT_BROADCAST_ROWS = 1_000_000
 FACT_PARTITION = "sale_year"
 
@@ -107,6 +114,8 @@ class Star:
             return Attr(dim, col, f"{dim}_{col}" if col in PREFERRED else col)
         if name in PREFERRED:
             return Attr(PREFERRED[name], name, name)
+        if name in DERIVED and name not in self.dims[DERIVED[name][0]].columns:
+            return Attr(DERIVED[name][0], name, name)
         owners = [d for d in DIMENSIONS if name in self.dims[d].columns]
         if len(owners) != 1:
             raise KeyError(f"attribute {name!r} is {'ambiguous' if owners else 'unknown'}")
@@ -167,7 +176,9 @@ class Star:
         for name, value in where.items():
             a = self.resolve(name)
             need.setdefault(a.dim, {})
-            filters.setdefault(a.dim, []).append(self._predicate(F.col(a.column), value))
+            derived = a.column in DERIVED and a.column not in self.dims[a.dim].columns
+            col = DERIVED[a.column][1]() if derived else F.col(a.column)
+            filters.setdefault(a.dim, []).append(self._predicate(col, value))
         line_parts: dict[str, Column] = {}
         fact_cols = set(self.fact.columns)
         for p in parts:
@@ -182,7 +193,9 @@ class Star:
             d = self.dims[dim]
             for pred in filters.get(dim, []):
                 d = d.filter(pred)
-            cols = [F.col(key)] + [F.col(c).alias(o) for c, o in need[dim].items() if c != key]
+            def column(c):
+                return DERIVED[c][1]() if c in DERIVED and c not in d.columns else F.col(c)
+            cols = [F.col(key)] + [column(c).alias(o) for c, o in need[dim].items() if c != key]
             return d.select(*cols)
 
         if force == "broadcast":

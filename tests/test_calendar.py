@@ -16,3 +16,8 @@ def test_calendar_edges(spark):
 
 def test_calendar_end_parameter(spark):
     assert calendar(spark, "1995-01-01", end="2001-12-31").count() == 2557
+
+
+def test_time_dimension_schema_is_the_reference_one(spark):
+    from starweave.sources.schemas import STAR_SCHEMAS
+    assert tuple(calendar(spark, "2025-01-01", 3).columns) == STAR_SCHEMAS["dim_time"]

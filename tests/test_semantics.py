@@ -148,6 +148,7 @@ def test_approx_trx_close_to_exact(tpch_star):
 def test_iso_week_basis(star):
     got = rows(CATALOGUE["weekly_trend"](star, replace(RETAIL, week_basis="iso")), "year", "week_of_year")
     assert (2026, 1) in got and (2025, 1) not in got
+    assert O.aggregate(star, ["week_of_year"], ["revenue"], {"iso_year": 2026}).first().revenue == D("30.00")
 
 
 def test_by_key_identity(tpch_star):
