@@ -94,3 +94,12 @@ def test_observed_counts_match(spark, retail):
     counts = load_manifest(spark, path)
     assert counts["fact_sales"] == 9 and counts["dim_time"] == 730 and counts["dim_promotion"] == 3
     assert counts == Q.load_counts({t: spark.read.parquet(f"{path}/{t}") for t in counts})
+
+
+def test_dimension_schemas_match_the_star_ddl(spark, retail, tpch_star):
+    from starweave.plans.star import DIMENSIONS, FACT_COLUMNS
+    from starweave.sources.schemas import STAR_SCHEMAS
+    for star in (build_star(spark, retail), tpch_star):
+        for dim, (table, _) in DIMENSIONS.items():
+            assert tuple(star.dims[dim].columns) == STAR_SCHEMAS[table], table
+        assert tuple(star.table("fact_sales").columns) == FACT_COLUMNS
