@@ -24,12 +24,12 @@ def main():
     spark = local_session()
     orders = spark.read.parquet(f"{src}/orders.parquet")
     step = orders.agg(F.max("o_orderkey")).first()[0] + 1
-    copies = spark.range(factor).withColumnRenamed("id", "copy")
     for t in TABLES:
         df = spark.read.parquet(f"{src}/{t}.parquet")
         if t in ("orders", "lineitem"):
             k = "o_orderkey" if t == "orders" else "l_orderkey"
-            df = df.crossJoin(copies).withColumn(k, F.col(k) + F.col("copy") * step).drop("copy")
+            df = (df.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(factor - 1))))
+                    .withColumn(k, F.col(k) + F.col("copy") * step).drop("copy"))
         df.write.mode("overwrite").parquet(os.path.join(out, f"{t}.parquet"))
     t0 = time.perf_counter()
     star = materialize(star_from_tpch(spark, out), spark)
