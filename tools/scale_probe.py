@@ -22,9 +22,10 @@ from starweave.sources.tpch import TABLES, star_from_tpch
 def main():
     src, factor, out = sys.argv[1], int(sys.argv[2]), sys.argv[3]
     spark = local_session()
-    orders = spark.read.parquet(f"{src}/orders.parquet")
-    step = orders.agg(F.max("o_orderkey")).first()[0] + 1
+    step = spark.read.parquet(f"{src}/orders.parquet").agg(F.max("o_orderkey")).first()[0] + 1
     for t in TABLES:
+        if os.path.exists(os.path.join(out, f"{t}.parquet")):
+            continue  # reuse a copy made by an earlier run
         df = spark.read.parquet(f"{src}/{t}.parquet")
         if t in ("orders", "lineitem"):
             k = "o_orderkey" if t == "orders" else "l_orderkey"
