@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_table_path
+from ..session import new_table_path, shared_dir
 from .catalogue import CATALOGUE, RETAIL, CatalogueParams
 from .star import Star
 
@@ -83,3 +83,25 @@ def register_summary_views(spark: SparkSession, statuses: list[RefreshStatus]) -
             read_summary(spark, st).createOrReplaceTempView(st.name)
             names.append(st.name)
     return names
+
+
+def publish_summaries(spark: SparkSession, statuses: list[RefreshStatus], database: str) -> list[str]:
+    """Point one catalog table per summary (``database.mv_monthly_sales`` ...)
+    at its latest successful refresh.  The switch is a metadata change
+    (``ALTER TABLE ... SET LOCATION``), so a dashboard reading the table sees
+    either the old or the new version, never a half-written one (T15); a
+    failed refresh leaves the previous version published (T14)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} "
+              f"LOCATION '{shared_dir(spark)}/starweave/catalog/{database}.db'")
+    published = []
+    for st in statuses:
+        if not st.ok:
+            continue
+        table = f"{database}.{st.name}"
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{st.path}'")
+            spark.sql(f"REFRESH TABLE {table}")
+        else:
+            spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{st.path}'")
+        published.append(table)
+    return published

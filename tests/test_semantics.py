@@ -123,6 +123,24 @@ def test_summary_views_for_sql(spark, star):
     assert r.r == 215.0
 
 
+def test_publish_switches_to_latest_refresh(spark, star, retail):
+    import uuid
+    from starweave.plans.summaries import publish_summaries, refresh_summaries
+    db = "swpub_" + uuid.uuid4().hex[:8]
+    first = refresh_summaries(star, spark, RETAIL, names=("mv_monthly_sales",))
+    assert publish_summaries(spark, first, db) == [f"{db}.mv_monthly_sales"]
+    before = spark.table(f"{db}.mv_monthly_sales").agg(F.sum("total_revenue")).first()[0]
+    # a new load (allocate policy: T4 revenue halves) is published by a metadata switch
+    other = materialize(build_star(spark, retail, promo_policy="allocate"), spark)
+    publish_summaries(spark, refresh_summaries(other, spark, RETAIL, names=("mv_monthly_sales",)), db)
+    after = spark.table(f"{db}.mv_monthly_sales").agg(F.sum("total_revenue")).first()[0]
+    assert (before, after) == (215.0, 165.0)
+    # a failed refresh keeps the previous version published
+    failed = [replace(first[0], ok=False, error="boom")]
+    assert publish_summaries(spark, failed, db) == []
+    assert spark.table(f"{db}.mv_monthly_sales").agg(F.sum("total_revenue")).first()[0] == 165.0
+
+
 def test_summary_failure_is_isolated(spark, star):
     from starweave.plans.summaries import refresh_summaries
     broken = replace(star, dims={**star.dims, "promotion": star.dims["promotion"].drop("campaign_name")})
