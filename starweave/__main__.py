@@ -1,6 +1,7 @@
 """Command line: the daily load and catalogue queries.
 
   python -m starweave load  <sources_root> [--format parquet|csv] [--out PATH] [--promo-policy fanout]
+                            [--publish DATABASE]
   python -m starweave query <star_path> <name> [<name> ...] [--limit 20]
   python -m starweave list
 """
@@ -22,6 +23,7 @@ def main(argv=None) -> int:
     ld.add_argument("--format", default="parquet")
     ld.add_argument("--out", default=None)
     ld.add_argument("--promo-policy", default="fanout", choices=("fanout", "allocate", "first"))
+    ld.add_argument("--publish", default=None, help="catalog database for the summary tables")
     q = sub.add_parser("query", help="run catalogue queries on a written star")
     q.add_argument("star")
     q.add_argument("names", nargs="+")
@@ -39,7 +41,7 @@ def main(argv=None) -> int:
         from .plans.etl import load_warehouse
         from .sources.readers import read_sources
         star, statuses, counts = load_warehouse(spark, read_sources(spark, a.sources, a.format), a.out,
-                                                promo_policy=a.promo_policy)
+                                                promo_policy=a.promo_policy, publish=a.publish)
         print(json.dumps({"star": star.location, "counts": counts,
                           "summaries": {s.name: s.ok for s in statuses}}))
         return 0 if all(s.ok for s in statuses) else 1

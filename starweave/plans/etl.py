@@ -182,17 +182,21 @@ def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start
 
 
 def load_warehouse(spark: SparkSession, src: Mapping[str, DataFrame], out: str | None = None,
-                   params=None, promo_policy: str = "fanout", **calendar) -> tuple[Star, list, dict]:
+                   params=None, promo_policy: str = "fanout", publish: str | None = None,
+                   **calendar) -> tuple[Star, list, dict]:
     """The whole job of the reference's daily run (S15): build the star,
     write every table to a fresh folder (switch only when all are written,
-    T15), refresh the five summaries with a status each (S14), and return
-    the load counts (Q12)."""
+    T15), refresh the five summaries with a status each (S14), optionally
+    publish them as catalog tables of database ``publish``, and return the
+    load counts (Q12)."""
     from .catalogue import RETAIL
     from .materialize import load_manifest, read_star, write_star
-    from .summaries import refresh_summaries
+    from .summaries import publish_summaries, refresh_summaries
 
     path = write_star(build_star(spark, src, promo_policy=promo_policy, **calendar), spark, out)
     star = read_star(spark, path)
     star.location = path
     statuses = refresh_summaries(star, spark, params or RETAIL, root=f"{path}/summaries")
+    if publish:  # switch the dashboard tables to this run's summaries
+        publish_summaries(spark, statuses, publish)
     return star, statuses, load_manifest(spark, path)

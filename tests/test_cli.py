@@ -9,7 +9,10 @@ def test_cli_load_and_query(spark, retail, capsys):
     root = tempfile.mkdtemp(prefix="sw-cli-")
     for t, df in retail.items():
         df.write.parquet(os.path.join(root, f"{t}.parquet"))
-    assert main(["load", root]) == 0
+    import uuid
+    db = "swcli_" + uuid.uuid4().hex[:8]
+    assert main(["load", root, "--publish", db]) == 0
+    assert spark.table(f"{db}.mv_monthly_sales").count() > 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["counts"]["fact_sales"] == 9 and all(out["summaries"].values())
     assert main(["query", out["star"], "monthly_recap"]) == 0
