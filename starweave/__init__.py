@@ -12,3 +12,15 @@ Layers:
 """
 
 __version__ = "0.1.0"
+
+from .plans.catalogue import CATALOGUE, RETAIL, TESTDATA, CatalogueParams  # noqa: E402
+from .plans.etl import build_star, load_warehouse  # noqa: E402
+from .plans.materialize import materialize, read_star, read_star_tables, write_star, write_star_tables  # noqa: E402
+from .plans.star import Star  # noqa: E402
+from .plans.summaries import publish_summaries, refresh_summaries  # noqa: E402
+from .sources.readers import read_sources  # noqa: E402
+from .sources.tpch import star_from_tpch  # noqa: E402
+
+__all__ = ["CATALOGUE", "RETAIL", "TESTDATA", "CatalogueParams", "Star", "build_star", "load_warehouse",
+           "materialize", "read_star", "read_star_tables", "write_star", "write_star_tables",
+           "refresh_summaries", "publish_summaries", "read_sources", "star_from_tpch"]
