@@ -13,8 +13,9 @@ counts are the proven bounds ``Star.base`` uses to decide on broadcasting.
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import new_table_path
 from .star import DIMENSIONS, FACT_PARTITION, Star
@@ -24,16 +25,33 @@ SINGLE_FILE = {"time", "payment", "promotion"}
 MANIFEST = "_manifest"
 
 
+FIXED_WIDTH = {T.IntegerType: 4, T.LongType: 8, T.DoubleType: 8, T.DateType: 4, T.BooleanType: 1,
+               T.DecimalType: 16, T.TimestampType: 8, T.ShortType: 2, T.ByteType: 1, T.FloatType: 4}
+
+
+def _size_metrics(df: DataFrame) -> list:
+    """Row count and an upper bound of the in-memory bytes of all columns
+    (fixed widths + actual string lengths), observed while writing."""
+    fixed = sum(FIXED_WIDTH.get(type(f.dataType), 16) for f in df.schema.fields
+                if not isinstance(f.dataType, T.StringType))
+    strings = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+               if isinstance(f.dataType, T.StringType)]
+    text = sum(strings[1:], strings[0]) if strings else F.lit(0)
+    return [F.count(F.lit(1)).alias("rows"),
+            (F.count(F.lit(1)) * (fixed + 8) + F.coalesce(F.sum(text), F.lit(0))).alias("bytes")]
+
+
 def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
     path = path or new_table_path(spark, "star")
     counts: dict[str, int] = {}
+    sizes: dict[str, int] = {}
     for dim, (table, _) in DIMENSIONS.items():
         df = star.dims[dim]
         if dim in SINGLE_FILE:
             df = df.coalesce(1)
         obs = Observation(table)
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{path}/{table}")
-        counts[table] = obs.get["rows"]
+        df.observe(obs, *_size_metrics(df)).write.mode("overwrite").parquet(f"{path}/{table}")
+        counts[table], sizes[table] = obs.get["rows"], obs.get["bytes"]
     f = star.fact
     obs = Observation("fact_sales")
     # REBALANCE by year before writing: each task then holds one year's rows
@@ -50,24 +68,30 @@ def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
         w = w.partitionBy(FACT_PARTITION)
     w.parquet(f"{path}/fact_sales")
     counts["fact_sales"] = obs.get["rows"]
-    (spark.createDataFrame(sorted(counts.items()), "table string, rows long")
+    rows = [(t, n, sizes.get(t)) for t, n in sorted(counts.items())]
+    (spark.createDataFrame(rows, "table string, rows long, bytes long")
           .coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}"))
     return path
 
 
-def load_manifest(spark: SparkSession, path: str) -> dict[str, int]:
+def load_manifest(spark: SparkSession, path: str, what: str = "rows") -> dict[str, int]:
     try:
-        return {r["table"]: r["rows"] for r in spark.read.parquet(f"{path}/{MANIFEST}").collect()}
+        return {r["table"]: r[what] for r in spark.read.parquet(f"{path}/{MANIFEST}").collect()
+                if r[what] is not None}
     except Exception:  # a star written without manifest: count the dimensions
+        if what != "rows":
+            return {}
         return {t: spark.read.parquet(f"{path}/{t}").count() for t, _ in DIMENSIONS.values()}
 
 
 def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None) -> Star:
     dims = {dim: spark.read.parquet(f"{path}/{table}") for dim, (table, _) in DIMENSIONS.items()}
     counts = load_manifest(spark, path)
+    sizes = load_manifest(spark, path, "bytes")
     bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
+    byte_bounds = {dim: sizes.get(table) for dim, (table, _) in DIMENSIONS.items()}
     fact = spark.read.parquet(f"{path}/fact_sales")
-    star = Star(fact, dims, bounds, location=path)
+    star = Star(fact, dims, bounds, location=path, byte_bounds=byte_bounds)
     if broadcast_rows is not None:
         star.broadcast_rows = broadcast_rows
     return star
@@ -93,10 +117,11 @@ def write_star_tables(star: Star, spark: SparkSession, database: str, path: str
     key = DIMENSIONS[colocate][1]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{path}/_db'")
     counts: dict[str, int] = {}
+    sizes: dict[str, int] = {}
 
     def save(df, table, bucket=False, partition=None, sort=None):
         obs = Observation(f"{database}.{table}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        w = df.observe(obs, *_size_metrics(df)).write.mode("overwrite")
         if partition:
             w = w.partitionBy(partition)
         if bucket:
@@ -104,7 +129,7 @@ def write_star_tables(star: Star, spark: SparkSession, database: str, path: str
             if sort:
                 w = w.sortBy(*sort)
         w.option("path", f"{path}/{table}").saveAsTable(f"{database}.{table}")
-        counts[table] = obs.get["rows"]
+        counts[table], sizes[table] = obs.get["rows"], obs.get["bytes"]
 
     for dim, (table, _) in DIMENSIONS.items():
         df = star.dims[dim].coalesce(1) if dim in SINGLE_FILE else star.dims[dim]
@@ -112,8 +137,8 @@ def write_star_tables(star: Star, spark: SparkSession, database: str, path: str
     part = FACT_PARTITION if FACT_PARTITION in star.fact.columns else None
     # one task per bucket: one file per bucket and year instead of one per task
     save(star.fact.repartition(buckets, key), "fact_sales", bucket=True, partition=part, sort=["time_key"])
-    rows = [(t, n, None) for t, n in sorted(counts.items())] + [("colocated", None, colocate)]
-    (spark.createDataFrame(rows, "table string, rows long, value string").coalesce(1)
+    rows = [(t, n, sizes[t], None) for t, n in sorted(counts.items())] + [("colocated", None, None, colocate)]
+    (spark.createDataFrame(rows, "table string, rows long, bytes long, value string").coalesce(1)
           .write.mode("overwrite").option("path", f"{path}/{MANIFEST}")
           .saveAsTable(f"{database}.star_manifest"))
     return path
@@ -124,5 +149,8 @@ def read_star_tables(spark: SparkSession, database: str) -> Star:
     counts = {r["table"]: r["rows"] for r in meta if r["rows"] is not None}
     colocated = next((r["value"] for r in meta if r["table"] == "colocated"), None)
     dims = {dim: spark.table(f"{database}.{table}") for dim, (table, _) in DIMENSIONS.items()}
+    sizes = {r["table"]: r["bytes"] for r in meta if r["bytes"] is not None}
     bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
-    return Star(spark.table(f"{database}.fact_sales"), dims, bounds, colocated=colocated)
+    byte_bounds = {dim: sizes.get(table) for dim, (table, _) in DIMENSIONS.items()}
+    return Star(spark.table(f"{database}.fact_sales"), dims, bounds, colocated=colocated,
+                byte_bounds=byte_bounds)

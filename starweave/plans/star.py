@@ -58,6 +58,7 @@ DERIVED: dict[str, tuple[str, Callable[[], Column]]] = {
 }
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 FACT_PARTITION = "sale_year"
 
 
@@ -79,6 +80,8 @@ class Star:
     scope: dict = field(default_factory=dict)  # filters added to every query, e.g. {"year": 2025} (T12)
     colocated: str | None = None   # dimension bucketed together with the fact (joined first, no exchange)
     approx_distinct: bool = False  # distinct counts as HyperLogLog++ sketches (opt-in, A3)
+    byte_bounds: dict[str, int | None] = field(default_factory=dict)  # observed upper bound of bytes
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
 
     # ------------------------------------------------------------ access
     def table(self, name: str) -> DataFrame:
@@ -122,8 +125,12 @@ class Star:
         return Attr(owners[0], name, name)
 
     def broadcastable(self, dim: str) -> bool:
+        """Proven small: a row bound under the limit and, when the star was
+        written, an observed byte size under the budget too."""
         b = self.bounds.get(dim)
-        return b is not None and b <= self.broadcast_rows
+        size = self.byte_bounds.get(dim)
+        return (b is not None and b <= self.broadcast_rows
+                and (size is None or size <= self.broadcast_bytes))
 
     # ------------------------------------------------------------ filters
     @staticmethod

@@ -77,3 +77,11 @@ def test_no_exchange_keyed_by_period_alone(name, spark, tpch_star):
         cols = [c.split("#")[0].strip() for c in m.group(1).split(",")[:-1]]
         if not set(cols) - {"year", "month", "quarter"}:
             assert "Aggregate(keys=[" in lines[i + 1], (name, cols, lines[i + 1])
+
+
+def test_byte_bound_blocks_broadcast(tpch_star):
+    from dataclasses import replace
+    assert all(v is not None and v > 0 for v in tpch_star.byte_bounds.values())
+    assert tpch_star.broadcastable("product")
+    tight = replace(tpch_star, broadcast_bytes=tpch_star.byte_bounds["product"] - 1)
+    assert not tight.broadcastable("product") and tight.broadcastable("payment")
