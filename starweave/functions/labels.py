@@ -30,11 +30,6 @@ def subtotal_label(col: str, label: str) -> Column:
     return F.when(F.grouping(col) == 1, F.lit(label)).otherwise(F.col(col).cast("string"))
 
 
-def blank_when_grouped(col: str) -> Column:
-    """COALESCE(col::text, '') of the grouping-set reports, GROUPING()-based."""
-    return subtotal_label(col, "")
-
-
 def weekend_label(is_weekend: Column) -> Column:
     """P8: 'Weekend' / 'Weekday'."""
     return F.when(is_weekend, F.lit("Weekend")).otherwise(F.lit("Weekday"))

@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import as_double, round_half_away
+from ..functions.measures import as_double, pct_of, round_half_away
 
 
 def _cols(xs):
@@ -111,8 +111,7 @@ def share_of_total(df: DataFrame, value: str, out: str, places: int = 2,
     else:
         totals = df.groupBy(*partition).agg(F.sum(value).alias("__total"))
         df = df.join(_maybe_broadcast(totals, groups_bound), list(partition), "inner")
-    df = df.withColumn(out, round_half_away(
-        F.lit(100.0) * as_double(F.col(value)) / F.nullif(as_double("__total"), F.lit(0.0)), places))
+    df = df.withColumn(out, pct_of(F.col(value), F.col("__total"), places))
     if total_out:
         df = df.withColumnRenamed("__total", total_out)
     return df.drop("__total")
