@@ -12,7 +12,7 @@ import argparse
 import json
 import sys
 
-from .plans.catalogue import CATALOGUE, RETAIL
+from .plans.catalogue import CATALOGUE, RETAIL, TITLES
 
 
 def main(argv=None) -> int:
@@ -32,7 +32,7 @@ def main(argv=None) -> int:
     a = ap.parse_args(argv)
 
     if a.cmd == "list":
-        print("\n".join(CATALOGUE))
+        print("\n".join(f"{n:28s} {TITLES.get(n, '')}" for n in CATALOGUE))
         return 0
 
     from pyspark.sql import SparkSession

@@ -700,3 +700,72 @@ CATALOGUE: dict[str, Callable[[Star, CatalogueParams], DataFrame]] = {f.__name__
     card_total_revenue, card_city_revenue, card_product_qty, card_membership, card_campaign,
     audit_star_integrity, audit_product_hierarchy, audit_geo_hierarchy,
 )}
+
+
+# Catalogue index: item number of SURVEY §2.10 (audits: A1-A3) and title.
+TITLES: dict[str, str] = {
+    "monthly_recap": "1. monthly sales recap",
+    "top_products": "2. top 10 products by quantity",
+    "store_revenue": "3. revenue and profit per store",
+    "campaign_effect": "4. campaign effectiveness and ROI",
+    "customer_segments": "5. customer segments",
+    "payment_share": "6. payment methods and revenue share",
+    "top_suppliers": "7. top 10 suppliers by revenue",
+    "category_quarter": "8. category revenue per quarter",
+    "rollup_time": "9. ROLLUP year > quarter > month",
+    "rollup_geo": "10. ROLLUP region > province > city > store",
+    "rollup_product": "11. ROLLUP category > brand > product",
+    "cube_cat_region_q": "12. CUBE category x region x quarter",
+    "cube_member_payment": "13. CUBE membership x payment",
+    "gsets_single": "14. GROUPING SETS single dimensions + total",
+    "gsets_pairs": "15. GROUPING SETS pairs",
+    "drill_year": "16. drill-down: years",
+    "drill_quarter": "17. drill-down: quarters of a year",
+    "drill_month": "18. drill-down: months of a quarter",
+    "drill_day": "19. drill-down: days of a month",
+    "drill_region": "20. drill-down: regions",
+    "drill_province": "21. drill-down: provinces of a region",
+    "drill_city": "22. drill-down: cities of a province",
+    "drill_store": "23. drill-down: stores of a city",
+    "rollup_geo3": "24. roll-up region > province > city",
+    "rollup_prod2": "25. roll-up category > brand",
+    "slice_quarter": "26. slice: one quarter",
+    "slice_category": "27. slice: one category",
+    "slice_region": "28. slice: one region",
+    "slice_membership": "29. slice: one membership level",
+    "dice_cat_region_q": "30. dice: categories x region x quarters",
+    "dice_member_payment": "31. dice: levels x payment methods",
+    "dice_weekend_city": "32. dice: weekends x cities",
+    "pivot_cat_quarter": "33. pivot: category x quarter",
+    "pivot_region_payment": "34. pivot: region x payment method",
+    "pivot_member_category": "35. pivot: membership x category",
+    "pivot_month_region": "36. pivot: month x region",
+    "pivot_age_gender": "37. pivot: age group x gender",
+    "trend_ma3": "38. monthly trend with 3-month moving averages",
+    "weekly_trend": "39. weekly trend",
+    "mom_growth": "40. month-over-month growth",
+    "qoq_growth": "41. quarter-over-quarter growth",
+    "ytd_revenue": "42. year-to-date revenue and profit",
+    "ytd_transactions": "43. year-to-date transactions and quantity",
+    "product_rank_quarter": "44. product rank per quarter and previous rank",
+    "store_rank_month": "45. store rank per month",
+    "category_contribution": "46. category share of monthly revenue",
+    "weekday_pattern": "47. weekday pattern",
+    "weekend_vs_weekday": "48. weekend vs weekday",
+    "seasonality_index": "49. monthly seasonality index",
+    "margin_trend": "50. margin trend with moving average",
+    "category_margin": "51. category profitability per quarter",
+    "mv_monthly_sales": "52. summary: monthly sales",
+    "mv_category_region": "53. summary: category x region",
+    "mv_customer_segment": "54. summary: customer segments",
+    "mv_store_performance": "55. summary: store performance",
+    "mv_promotion_effectiveness": "56. summary: promotion effectiveness",
+    "card_total_revenue": "57. card: total revenue of a year",
+    "card_city_revenue": "58. card: revenue per city",
+    "card_product_qty": "59. card: top 10 products by name",
+    "card_membership": "60. card: revenue per membership level",
+    "card_campaign": "61. card: revenue per campaign",
+    "audit_star_integrity": "A1. audit Q1-Q3: keys, NOT NULL, fact keys in dimensions",
+    "audit_product_hierarchy": "A2. audit Q5: brand -> category, name -> brand",
+    "audit_geo_hierarchy": "A3. audit Q5: city -> province -> region",
+}

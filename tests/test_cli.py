@@ -17,3 +17,11 @@ def test_cli_load_and_query(spark, retail, capsys):
     assert out["counts"]["fact_sales"] == 9 and all(out["summaries"].values())
     assert main(["query", out["star"], "monthly_recap"]) == 0
     assert "total_revenue" in capsys.readouterr().out
+
+
+def test_catalogue_index_covers_every_query(capsys):
+    from starweave.plans.catalogue import CATALOGUE, TITLES
+    assert list(TITLES) == list(CATALOGUE)
+    assert TITLES["monthly_recap"].startswith("1.") and TITLES["card_campaign"].startswith("61.")
+    assert main(["list"]) == 0
+    assert len(capsys.readouterr().out.strip().splitlines()) == len(CATALOGUE)
