@@ -636,14 +636,17 @@ def audit_product_hierarchy(s: Star, p: CatalogueParams) -> DataFrame:
 
 
 def audit_geo_hierarchy(s: Star, p: CatalogueParams) -> DataFrame:
-    """Q5 on the store geography: city -> province -> region."""
-    from ..operators.quality import hierarchy_violations
+    """Q5 on the store geography, one row per level: children checked and
+    children under more than one parent (city -> province -> region)."""
     st = s.dims["store"]
-    a = hierarchy_violations(st, "city", "province").select(
-        F.lit("city->province").alias("level"), F.col("city").alias("child"), "parents")
-    b = hierarchy_violations(st, "province", "region").select(
-        F.lit("province->region").alias("level"), F.col("province").alias("child"), "parents")
-    return a.unionByName(b)
+    out = None
+    for child, parent in (("city", "province"), ("province", "region")):
+        per_child = st.groupBy(child).agg(F.count_distinct(parent).alias("parents"))
+        one = per_child.agg(F.count(F.lit(1)).alias("children"),
+                            F.count(F.when(F.col("parents") > 1, True)).alias("violations"))
+        one = one.select(F.lit(f"{child}->{parent}").alias("level"), "children", "violations")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # The reference's column aliases where they differ from ours
