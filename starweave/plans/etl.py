@@ -178,7 +178,10 @@ def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start
     dims = dimensions(spark, src, calendar_start, calendar_days, calendar_end)
     bounds = {"time": calendar_rows(calendar_start, calendar_days, calendar_end),
               "payment": len(PAYMENT_TYPES)}
-    return Star(fact(src, dims, promo_policy), dims, bounds)
+    # date, store, customer and payment come from the transaction header; the
+    # campaign is single-valued only when one campaign is kept per transaction
+    trx_level = {"time", "customer", "store", "payment"} | ({"promotion"} if promo_policy == "first" else set())
+    return Star(fact(src, dims, promo_policy), dims, bounds, trx_level=frozenset(trx_level))
 
 
 def load_warehouse(spark: SparkSession, src: Mapping[str, DataFrame], out: str | None = None,

@@ -68,12 +68,21 @@ def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
         w = w.partitionBy(FACT_PARTITION)
     w.parquet(f"{path}/fact_sales")
     counts["fact_sales"] = obs.get["rows"]
-    rows = [(t, n, sizes.get(t)) for t, n in sorted(counts.items())]
-    (spark.createDataFrame(rows, "table string, rows long, bytes long")
+    rows = [(t, n, sizes.get(t), None) for t, n in sorted(counts.items())]
+    rows.append(("trx_level", None, None, ",".join(sorted(star.trx_level))))
+    (spark.createDataFrame(rows, "table string, rows long, bytes long, value string")
           .coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}"))
     return path
 
 
+def _manifest_value(spark: SparkSession, path: str, key: str) -> str | None:
+    try:
+        rows = spark.read.parquet(f"{path}/{MANIFEST}").filter(F.col("table") == key).collect()
+        return rows[0]["value"] if rows else None
+    except Exception:
+        return None
+
+
 def load_manifest(spark: SparkSession, path: str, what: str = "rows") -> dict[str, int]:
     try:
         return {r["table"]: r[what] for r in spark.read.parquet(f"{path}/{MANIFEST}").collect()
@@ -91,7 +100,9 @@ def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None)
     bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
     byte_bounds = {dim: sizes.get(table) for dim, (table, _) in DIMENSIONS.items()}
     fact = spark.read.parquet(f"{path}/fact_sales")
-    star = Star(fact, dims, bounds, location=path, byte_bounds=byte_bounds)
+    trx = _manifest_value(spark, path, "trx_level")
+    star = Star(fact, dims, bounds, location=path, byte_bounds=byte_bounds,
+                trx_level=frozenset(t for t in (trx or "").split(",") if t))
     if broadcast_rows is not None:
         star.broadcast_rows = broadcast_rows
     return star
@@ -137,7 +148,8 @@ def write_star_tables(star: Star, spark: SparkSession, database: str, path: str
     part = FACT_PARTITION if FACT_PARTITION in star.fact.columns else None
     # one task per bucket: one file per bucket and year instead of one per task
     save(star.fact.repartition(buckets, key), "fact_sales", bucket=True, partition=part, sort=["time_key"])
-    rows = [(t, n, sizes[t], None) for t, n in sorted(counts.items())] + [("colocated", None, None, colocate)]
+    rows = [(t, n, sizes[t], None) for t, n in sorted(counts.items())] + [
+        ("colocated", None, None, colocate), ("trx_level", None, None, ",".join(sorted(star.trx_level)))]
     (spark.createDataFrame(rows, "table string, rows long, bytes long, value string").coalesce(1)
           .write.mode("overwrite").option("path", f"{path}/{MANIFEST}")
           .saveAsTable(f"{database}.star_manifest"))
@@ -148,9 +160,10 @@ def read_star_tables(spark: SparkSession, database: str) -> Star:
     meta = spark.table(f"{database}.star_manifest").collect()
     counts = {r["table"]: r["rows"] for r in meta if r["rows"] is not None}
     colocated = next((r["value"] for r in meta if r["table"] == "colocated"), None)
+    trx = next((r["value"] for r in meta if r["table"] == "trx_level"), None) or ""
     dims = {dim: spark.table(f"{database}.{table}") for dim, (table, _) in DIMENSIONS.items()}
     sizes = {r["table"]: r["bytes"] for r in meta if r["bytes"] is not None}
     bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
     byte_bounds = {dim: sizes.get(table) for dim, (table, _) in DIMENSIONS.items()}
     return Star(spark.table(f"{database}.fact_sales"), dims, bounds, colocated=colocated,
-                byte_bounds=byte_bounds)
+                byte_bounds=byte_bounds, trx_level=frozenset(t for t in trx.split(",") if t))

@@ -81,6 +81,10 @@ class Star:
     colocated: str | None = None   # dimension bucketed together with the fact (joined first, no exchange)
     approx_distinct: bool = False  # distinct counts as HyperLogLog++ sketches (opt-in, A3)
     byte_bounds: dict[str, int | None] = field(default_factory=dict)  # observed upper bound of bytes
+    # Dimensions single-valued per transaction (taken from the transaction
+    # header by the builder): grouping only by them, a transaction falls in
+    # one cell at every level, so COUNT(DISTINCT transaction_id) is a count.
+    trx_level: frozenset = frozenset()
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
 
     # ------------------------------------------------------------ access

@@ -177,4 +177,5 @@ def star_from_tpch(spark: SparkSession, sf_dir: str, mapping: TpchMapping = Tpch
     dims = dimensions(spark, src, mapping)
     bounds = {"time": calendar_rows(mapping.calendar_start, end=mapping.calendar_end),
               "payment": len(PRIORITY_PAYMENT), "promotion": N_CAMPAIGNS + 1}
-    return Star(fact(src, dims, mapping), dims, bounds)
+    # date, customer and priority come from the order: one value per transaction
+    return Star(fact(src, dims, mapping), dims, bounds, trx_level=frozenset({"time", "customer", "payment"}))

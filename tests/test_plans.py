@@ -85,3 +85,17 @@ def test_byte_bound_blocks_broadcast(tpch_star):
     assert tpch_star.broadcastable("product")
     tight = replace(tpch_star, broadcast_bytes=tpch_star.byte_bounds["product"] - 1)
     assert not tight.broadcastable("product") and tight.broadcastable("payment")
+
+
+@pytest.mark.parametrize("name", ["rollup_time", "cube_member_payment", "pivot_age_gender"])
+def test_transaction_level_keys_turn_distinct_into_count(name, tpch_star):
+    """Grouping only by dimensions single-valued per transaction: the exact
+    distinct count is a row count over one row per (cell, transaction)."""
+    assert {"time", "customer", "payment"} <= set(tpch_star.trx_level)
+    p = CATALOGUE[name](tpch_star, TESTDATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(distinct" not in p.lower()
+
+
+def test_line_level_keys_keep_the_distinct_plan(tpch_star):
+    p = CATALOGUE["cube_cat_region_q"](tpch_star, TESTDATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(distinct" in p.lower() or "Expand" in p
