@@ -103,3 +103,17 @@ def test_dimension_schemas_match_the_star_ddl(spark, retail, tpch_star):
         for dim, (table, _) in DIMENSIONS.items():
             assert tuple(star.dims[dim].columns) == STAR_SCHEMAS[table], table
         assert tuple(star.table("fact_sales").columns) == FACT_COLUMNS
+
+
+def test_transaction_level_collapse_matches_distinct_plan(spark, retail):
+    from dataclasses import replace as _replace
+    from starweave.plans.catalogue import CATALOGUE, RETAIL
+    star = build_star(spark, retail)
+    assert "store" in star.trx_level and "promotion" not in star.trx_level
+    plain = _replace(star, trx_level=frozenset())
+    for name in ("rollup_geo", "rollup_geo3", "cube_member_payment", "rollup_time", "pivot_age_gender",
+                 "gsets_single"):
+        a = sorted(map(tuple, CATALOGUE[name](star, RETAIL).collect()), key=repr)
+        b = sorted(map(tuple, CATALOGUE[name](plain, RETAIL).collect()), key=repr)
+        assert a == b, name
+    assert "promotion" in build_star(spark, retail, promo_policy="first").trx_level
