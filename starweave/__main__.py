@@ -2,7 +2,7 @@
 
   python -m starweave load  <sources_root> [--format parquet|csv] [--out PATH] [--promo-policy fanout]
                             [--publish DATABASE]
-  python -m starweave query <star_path> <name> [<name> ...] [--limit 20]
+  python -m starweave query <star_path> <name> [<name> ...] [--limit 20] [--params retail|testdata]
   python -m starweave list
 """
 
@@ -12,7 +12,7 @@ import argparse
 import json
 import sys
 
-from .plans.catalogue import CATALOGUE, RETAIL, TITLES
+from .plans.catalogue import CATALOGUE, RETAIL, TESTDATA, TITLES
 
 
 def main(argv=None) -> int:
@@ -28,6 +28,8 @@ def main(argv=None) -> int:
     q.add_argument("star")
     q.add_argument("names", nargs="+")
     q.add_argument("--limit", type=int, default=20)
+    q.add_argument("--params", default="retail", choices=("retail", "testdata"),
+                   help="literal values: the reference's (retail) or the test tables' equivalents")
     sub.add_parser("list", help="list the catalogue queries")
     a = ap.parse_args(argv)
 
@@ -49,7 +51,7 @@ def main(argv=None) -> int:
     star = read_star(spark, a.star)
     for n in a.names:
         print(f"== {n}")
-        CATALOGUE[n](star, RETAIL).show(a.limit, truncate=False)
+        CATALOGUE[n](star, TESTDATA if a.params == "testdata" else RETAIL).show(a.limit, truncate=False)
     return 0
 
 

@@ -25,3 +25,8 @@ def test_catalogue_index_covers_every_query(capsys):
     assert TITLES["monthly_recap"].startswith("1.") and TITLES["card_campaign"].startswith("61.")
     assert main(["list"]) == 0
     assert len(capsys.readouterr().out.strip().splitlines()) == len(CATALOGUE)
+
+
+def test_cli_query_with_testdata_params(spark, tpch_star, capsys):
+    assert main(["query", tpch_star.location, "drill_province", "--params", "testdata"]) == 0
+    assert "NATION_" in capsys.readouterr().out
