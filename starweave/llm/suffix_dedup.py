@@ -305,7 +305,7 @@ def _merge_buckets(width: int):
     return run
 
 
-def _cut(extra: list[str]):
+def _cut(extra: list[str], as_text: bool):
     """Rows with their covered bytes removed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,15 +324,18 @@ def _cut(extra: list[str]):
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(c) for c in extra), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
                      pa.array(spans_n, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
-                     pa.array(kept, pa.binary())],
+                     pa.array([k.decode("utf-8", "ignore") for k in kept] if as_text else kept,
+                              pa.string() if as_text else pa.binary())],
                     names=[*extra, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gram: int = GRAM,
+                   as_text: bool = False) -> DataFrame:
     """``docs`` without its column text, with n_bytes, n_removed, n_spans,
-    kept_sha256 and the remaining bytes ``kept``; helper columns of ``docs``
+    kept_sha256 and the remaining bytes ``kept`` (``as_text``: as a string,
+    without the bytes of characters that were cut in two); helper columns of ``docs``
     named like these are replaced."""
     made = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans", "keys", "text"}
     extra = [c for c in docs.columns if c not in made]
@@ -355,8 +358,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gra
     out = whole.join(spans, "doc_id", "left")
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join([f"`{c}` {types[c]}" for c in extra]
-                       + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", "kept binary"])
-    return out.mapInArrow(_cut(extra), schema)
+                       + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", "kept " + ("string" if as_text else "binary")])
+    return out.mapInArrow(_cut(extra, as_text), schema)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
