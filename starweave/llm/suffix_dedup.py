@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bwt_merge import least_owner
 from .common import partitions_for, persist, plan_bytes, table
@@ -356,9 +357,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gra
     spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("th", "starts", "ends")).alias("spans")))
     spans = persist(spark, spans, "repeat-spans")
     out = whole.join(spans, "doc_id", "left")
-    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join([f"`{c}` {types[c]}" for c in extra]
-                       + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string", "kept " + ("string" if as_text else "binary")])
+    made_types = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
+                  ("kept_sha256", T.StringType()), ("kept", T.StringType() if as_text else T.BinaryType())]
+    schema = T.StructType([rows.schema[c] for c in extra] + [T.StructField(n, t) for n, t in made_types])
     return out.mapInArrow(_cut(extra, as_text), schema)
 
 
