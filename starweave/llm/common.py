@@ -42,10 +42,14 @@ def persist(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+UNKNOWN_BYTES = 1 << 55     # Catalyst's default for a source without statistics is above
+
+
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame (file sizes for a scan)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return min(int(str(size)), 1 << 50)
+    """Catalyst's size estimate of a frame (file sizes for a scan), 0 where
+    it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < UNKNOWN_BYTES else 0
 
 
 def partitions_for(spark: SparkSession, nbytes: int, each: int = 8 << 20) -> int:
