@@ -161,6 +161,11 @@ def _keys(width: int, gram: int):
     return run
 
 
+def short_key(key: np.ndarray) -> np.ndarray:
+    """32 bits of a key: two keys that share them only meet needlessly."""
+    return (key >> 32).astype(np.int32)
+
+
 def _repeated(hot: int):
     """Rows of keys with several documents; docs becomes -1 on one row of
     each hot key."""
@@ -170,8 +175,8 @@ def _repeated(hot: int):
             return
         key, doc, docs = (np.concatenate(c) for c in zip(*got))
         known = docs == 0
-        yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(key[known]),
-                                          pa.array(np.zeros(int(known.sum()), np.int32))], names=["doc_id", "key", "hot"])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(short_key(key[known])),
+                                          pa.array(np.zeros(int(known.sum()), np.int8))], names=["doc_id", "key", "hot"])
         key, doc, docs = key[~known], doc[~known], docs[~known]
         if not len(key):
             return
@@ -183,15 +188,15 @@ def _repeated(hot: int):
         total = np.bincount(group, docs)
         keep = total[group] > 1
         hot_row = lead & (total[group] >= hot)
-        yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(key[keep]),
-                                          pa.array(hot_row[keep].astype(np.int32))], names=["doc_id", "key", "hot"])
+        yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(short_key(key[keep])),
+                                          pa.array(hot_row[keep].astype(np.int8))], names=["doc_id", "key", "hot"])
 
     return run
 
 
 # -- segments of those keys -------------------------------------------------------
 
-def _segment_rows(hot_keys, width: int, gram: int):
+def _segment_rows(hot_keys, width: int, gram: int, versions: bool):
     """kind 1: a segment's bytes for its bucket (route); kind 0: bytes of a
     document already known to be covered by a smaller one of the batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,12 +205,12 @@ def _segment_rows(hot_keys, width: int, gram: int):
             for b in text_batches(batch, "text"):
                 texts = [x.as_buffer().to_pybytes() for x in b.column("text")]
                 doc = b.column("doc_id").to_pylist()
-                th = [xxhash.xxh64_intdigest(t) - (1 << 63) for t in texts]
+                th = [text_version(t, versions) for t in texts]
                 row, start, end, key = segments(texts, width, gram)
-                key = key.view(np.int64)
+                key = short_key(key.view(np.int64))
                 lists = b.column("keys")
                 owner = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
-                pair = lambda r, k: k.view(np.uint64) * np.uint64(31) + r.astype(np.uint64) * MIX
+                pair = lambda r, k: (r.astype(np.int64) << 32) + k
                 wanted = pair(owner, lists.flatten().to_numpy())
                 keep = np.isin(pair(row, key), wanted)
                 row, start, end, key = row[keep], start[keep], end[keep], key[keep]
@@ -216,7 +221,7 @@ def _segment_rows(hot_keys, width: int, gram: int):
                     for a, z in (((i, i + width) for i in range(s, e - width + 1)) if w else ((s, e),)):
                         c = t[a:z]
                         route, holders = content.setdefault(
-                            c, (xxhash.xxh64_intdigest(c) - (1 << 63) if w else k, {}))
+                            c, (xxhash.xxh32_intdigest(c) - (1 << 31) if w else k, {}))
                         holders.setdefault(r, []).append(a)
                 spans: dict[int, list] = {}
                 out = []
@@ -229,21 +234,26 @@ def _segment_rows(hot_keys, width: int, gram: int):
                             out.append((1, route, c, doc[r], th[r], starts, None))
                 for r, got in spans.items():
                     a, z = merge_spans(got)
-                    out.append((0, doc[r], None, doc[r], th[r], a, z))
+                    out.append((0, r, None, doc[r], th[r], a, z))
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*out), (
-                            pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(),
+                            pa.int8(), pa.int32(), pa.binary(), pa.int64(), pa.int64(),
                             pa.list_(pa.int32()), pa.list_(pa.int32())))],
                         names=["kind", "route", "content", "doc_id", "th", "starts", "ends"])
 
     return run
 
 
-SEGMENT_ROWS = "kind int, route long, content binary, doc_id long, th long, starts array<int>, ends array<int>"
+SEGMENT_ROWS = "kind byte, route int, content binary, doc_id long, th long, starts array<int>, ends array<int>"
 SPANS = "doc_id long, th long, starts array<int>, ends array<int>"
 
 
+def text_version(text: bytes, versions: bool) -> int:
+    """Tells rows with one doc_id apart by their text; 0 where none repeats."""
+    return xxhash.xxh64_intdigest(text) - (1 << 63) if versions else 0
+
+
 def merge_spans(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     """Starts and ends of the union of spans; touching ones become one."""
     starts, ends = [], []
@@ -256,57 +266,80 @@ def merge_spans(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def _bucket_spans(rows: list[tuple], width: int) -> list[tuple]:
-    """Covered spans of the segments of one bucket: (route, content, doc_id,
-    th, starts) rows through the merged transforms of its strings."""
-    held: dict[bytes, list] = {}
-    for _, c, d, th, starts in rows:
-        held.setdefault(c, []).append((d, th, starts))
-    strings = list(held)
-    owner = np.array([min(d for d, _, _ in held[c]) for c in strings], np.int64)
-    out = []
-    for c, own, least in zip(strings, owner.tolist(), least_owner(strings, owner, width)):
-        for d, th, starts in held[c]:
-            hit = np.flatnonzero(least < d)
-            if len(hit):
-                runs = np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1)
-                for a in starts:
-                    out += [(d, th, a + int(r[0]), a + int(r[-1]) + width) for r in runs]
-    return out
-
-
 def _merge_buckets(width: int):
+    """(doc_id, th, starts, ends) from the segments of a partition.
+
+    Equal segments are one string with the least document that holds it.  The
+    strings of a route are merged, bucket by bucket; a string alone under its
+    route has no other to share a window with."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, ready = [], []
-        for b in batches:
-            cols = b.to_pydict()
-            for kind, route, c, d, th, s, e in zip(*cols.values()):
-                if kind:
-                    rows.append((route, c, d, th, s))
-                else:
-                    ready.append((d, th, s, e))
-        rows.sort(key=lambda r: r[0])
-        at = 0
-        spans: dict[tuple[int, int], list] = {}
-        while at < len(rows):
-            size, end = 0, at
-            while end < len(rows) and (size < BUCKET_SYMBOLS or rows[end][0] == rows[end - 1][0]):
-                size += len(rows[end][1]) + 1
-                end += 1
-            for d, th, a, z in _bucket_spans(rows[at:end], width):
-                spans.setdefault((d, th), []).append((a, z))
-            at = end
-        ready += [(*k, *merge_spans(v)) for k, v in spans.items()]
-        for k in range(0, len(ready), 5000):
-            cols = list(zip(*ready[k:k + 5000]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))],
-                names=["doc_id", "th", "starts", "ends"])
+        got = list(batches)
+        if not got:
+            return
+        rows = pa.Table.from_batches(got)
+        kind = rows.column("kind").to_numpy()
+        ready = rows.filter(pa.array(kind == 0)).select(["doc_id", "th", "starts", "ends"])
+        yield from ready.to_batches(max_chunksize=5000)
+        rows = rows.filter(pa.array(kind == 1)).combine_chunks()
+        if not rows.num_rows:
+            return
+        doc, th, route = (rows.column(c).to_numpy() for c in ("doc_id", "th", "route"))
+        lists = rows.column("starts").combine_chunks()
+        coded = rows.column("content").combine_chunks().dictionary_encode()
+        code, strings = coded.indices.to_numpy(), coded.dictionary
+        offsets, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+        offsets = offsets - offsets[0]
+        owner = np.full(len(strings), np.iinfo(np.int64).max)
+        np.minimum.at(owner, code, doc)
+        of = np.zeros(len(strings), np.int64)
+        of[code] = route
+        length = pa.compute.binary_length(strings).to_numpy()
+        order = np.argsort(of, kind="stable")
+        lead = np.flatnonzero(np.concatenate(([True], of[order][1:] != of[order][:-1])))
+        several = np.zeros(len(strings), bool)
+        size = np.diff(np.append(lead, len(order)))
+        several[order] = np.repeat(size > 1, size)
+        # rows whose string is alone: covered where a smaller document has it
+        per = np.diff(offsets)
+        whole = np.repeat(~several[code] & (doc > owner[code]), per)
+        at = np.repeat(np.arange(len(code)), per)
+        parts = [(at[whole], flat[whole], flat[whole] + length[code[at[whole]]])]
+        todo = order[several[order]]
+        bucket = np.cumsum(length[todo] + 1) // BUCKET_SYMBOLS
+        new_route = np.concatenate(([True], of[todo][1:] != of[todo][:-1]))
+        bucket = bucket[np.maximum.accumulate(np.where(new_route, np.arange(len(todo)), 0))] if len(todo) else bucket
+        by_code = np.argsort(code, kind="stable")
+        first = np.searchsorted(code[by_code], np.arange(len(strings) + 1))
+        for b in np.split(todo, np.flatnonzero(np.diff(bucket)) + 1) if len(todo) else []:
+            held = strings.take(pa.array(b)).to_pylist()
+            found = []
+            for c, least in zip(b.tolist(), least_owner(held, owner[b], width)):
+                for r in by_code[first[c]:first[c + 1]].tolist():
+                    hit = least < doc[r]
+                    if hit.any():
+                        edge = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
+                        s, z = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1 + width
+                        for a in flat[offsets[r]:offsets[r + 1]].tolist():
+                            found.append((np.full(len(s), r), s + a, z + a))
+            parts += found
+        at, start, end = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((start, th[at], doc[at]))
+        at, start, end = at[order], start[order], end[order]
+        lead = np.ones(len(at), bool)
+        lead[1:] = (doc[at][1:] != doc[at][:-1]) | (th[at][1:] != th[at][:-1])
+        cut = np.flatnonzero(lead)
+        bounds = pa.array(np.append(cut, len(at)).astype(np.int32))
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(doc[at[cut]]), pa.array(th[at[cut]]),
+             pa.ListArray.from_arrays(bounds, pa.array(start.astype(np.int32))),
+             pa.ListArray.from_arrays(bounds, pa.array(end.astype(np.int32)))], names=["doc_id", "th", "starts", "ends"])
+        for a in range(0, out.num_rows, 5000):
+            yield out.slice(a, 5000)
 
     return run
 
 
-def _cut(extra: list[str], as_text: bool):
+def _cut(extra: list[str], as_text: bool, versions: bool):
     """Rows with their covered bytes removed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,7 +347,7 @@ def _cut(extra: list[str], as_text: bool):
                 removed, spans_n, size, kept = [], [], [], []
                 for t, got in zip(b.column("text"), b.column("spans").to_pylist()):
                     raw = t.as_buffer().to_pybytes()
-                    th = xxhash.xxh64_intdigest(raw) - (1 << 63)
+                    th = text_version(raw, versions)
                     own = [(a, z) for g in got or () if g["th"] == th for a, z in zip(g["starts"], g["ends"])]
                     starts, ends = merge_spans(own)
                     rest = b"".join(raw[z:a] for z, a in zip([0, *ends], [*starts, len(raw)])) if starts else raw
@@ -347,12 +380,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gra
     able = rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= width)).select("doc_id", "text")
     hot = max(HOT_DOCS, 4 * size // (width - gram) // HOT_KEYS)
     refs = persist(spark, able.mapInArrow(_keys(width, gram), "route long, key long, doc_id long, docs int")
-                   .repartition(n, "route").mapInArrow(_repeated(hot), "doc_id long, key long, hot int"), "repeated-keys")
-    hot_keys = np.array([r["key"] for r in refs.where("hot = 1").select("key").collect()], np.int64)  # <= HOT_KEYS
+                   .repartition(n, "route").mapInArrow(_repeated(hot), "doc_id long, key int, hot byte"), "repeated-keys")
+    hot_keys = np.array([r["key"] for r in refs.where("hot = 1").select("key").collect()], np.int32)  # <= HOT_KEYS
+    versions = not rows.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty()
     by_doc = refs.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     whole = rows.select(*extra, "text").repartition(n, "doc_id")
     found = (whole.select("doc_id", "text").join(by_doc, "doc_id").where(F.octet_length("text") >= width)
-             .mapInArrow(_segment_rows(spark.sparkContext.broadcast(np.sort(hot_keys)), width, gram), SEGMENT_ROWS)
+             .mapInArrow(_segment_rows(spark.sparkContext.broadcast(np.sort(hot_keys)), width, gram, versions), SEGMENT_ROWS)
              .repartition(n, "route").mapInArrow(_merge_buckets(width), SPANS))
     spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("th", "starts", "ends")).alias("spans")))
     spans = persist(spark, spans, "repeat-spans")
@@ -360,7 +394,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gra
     made_types = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
                   ("kept_sha256", T.StringType()), ("kept", T.StringType() if as_text else T.BinaryType())]
     schema = T.StructType([rows.schema[c] for c in extra] + [T.StructField(n, t) for n, t in made_types])
-    return out.mapInArrow(_cut(extra, as_text), schema)
+    return out.mapInArrow(_cut(extra, as_text, versions), schema)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
