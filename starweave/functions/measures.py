@@ -7,9 +7,9 @@ aggregate over those parts.  The base grain is either the fact line itself
 reduced).  The final expression is the same in both cases, so operators
 never need to know which base they got.
 
-Money is summed exactly as DECIMAL; ratios are taken in DOUBLE from the
-exact sums and rounded half away from zero with one explicit formula
-(``round_half_away``), which is what the SQL oracle uses too.
+Money is summed exactly as DECIMAL; ratios of sums and counts are rounded half
+away from zero on whole numbers (``exact_ratio``).  Means of values that are
+ratios themselves are taken and rounded in DOUBLE (``round_half_away``).
 """
 
 from __future__ import annotations
@@ -132,33 +132,46 @@ def round_half_away(x: Column, places: int) -> Column:
     return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / F.lit(scale)
 
 
-def safe_div(a: Column, b: Column) -> Column:
-    """a / NULLIF(b, 0) in DOUBLE (ANSI mode raises on a zero divisor)."""
-    return as_double(a) / F.nullif(as_double(b), F.lit(0.0))
+def _cents(c) -> Column:
+    """A DECIMAL(.., 2) amount or a count as an exact whole number of 1/100."""
+    c = F.col(c) if isinstance(c, str) else c
+    return (c.cast("decimal(24,2)") * F.lit(100)).cast("decimal(26,0)")
+
+
+def exact_ratio(num, den, places: int = 2, factor: int = 1) -> Column:
+    """ROUND(factor * num / NULLIF(den, 0), places), half away from zero,
+    decided on whole numbers: floor((2 |n| f 10^places + |d|) / (2 |d|)).
+
+    Exact while |num| and |den| stay below 10^22 and the rounded quotient
+    times 10^places below 9.2 * 10^18; beyond that ANSI mode raises."""
+    n, d = _cents(num), _cents(den)
+    doubled = F.lit(2 * factor * 10 ** places).cast("decimal(9,0)")
+    whole = F.call_function("div", F.abs(n) * doubled + F.abs(d), F.nullif(F.abs(d) * F.lit(2), F.lit(0)))
+    return F.signum(n) * F.signum(d) * whole.cast("double") / F.lit(float(10 ** places)) + F.lit(0.0)
 
 
 def margin_pct(profit="profit", revenue="revenue", places: int = 2) -> Column:
     """ROUND(profit / NULLIF(revenue, 0) * 100, 2)."""
-    return round_half_away(safe_div(as_double(profit), as_double(revenue)) * F.lit(100), places)
+    return exact_ratio(profit, revenue, places, factor=100)
 
 
 def ratio(num="revenue", den="discount", places: int = 2) -> Column:
     """ROUND(num / NULLIF(den, 0), places): ROI and per-day averages."""
-    return round_half_away(safe_div(as_double(num), as_double(den)), places)
+    return exact_ratio(num, den, places)
 
 
 def avg_line_value(revenue="revenue", lines="lines", places: int = 2) -> Column:
     """ROUND(AVG(final_sales), 2): the mean per fact line (named
     "avg per transaction" in the reference, see SURVEY T6)."""
-    return round_half_away(safe_div(as_double(revenue), as_double(lines)), places)
+    return exact_ratio(revenue, lines, places)
 
 
 def avg_transaction_value(revenue="revenue", trx="trx", places: int = 2) -> Column:
     """The true mean per transaction, revenue / COUNT(DISTINCT transaction_id)
     (T6: the reference's "avg per transaction" is a per-line mean)."""
-    return round_half_away(safe_div(as_double(revenue), as_double(trx)), places)
+    return exact_ratio(revenue, trx, places)
 
 
 def pct_of(part: Column, whole: Column, places: int = 2) -> Column:
     """ROUND(100.0 * part / NULLIF(whole, 0), places)."""
-    return round_half_away(F.lit(100.0) * as_double(part) / F.nullif(as_double(whole), F.lit(0.0)), places)
+    return exact_ratio(part, whole, places, factor=100)

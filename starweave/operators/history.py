@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.measures import as_double, pct_of, round_half_away
+from ..functions.measures import as_double, exact_ratio, pct_of, round_half_away
 
 
 def _cols(xs):
@@ -39,8 +39,7 @@ def previous(value: str, order: Sequence[str], partition: Sequence[str] = ()) ->
 
 def growth_pct(current: str, prev: str, places: int = 2) -> Column:
     """ROUND((cur - prev) / NULLIF(prev, 0) * 100, 2); the difference is exact."""
-    diff = as_double(F.col(current) - F.col(prev))
-    return round_half_away(diff / F.nullif(as_double(prev), F.lit(0.0)) * F.lit(100), places)
+    return exact_ratio(F.col(current) - F.col(prev), prev, places, factor=100)
 
 
 def with_growth(df: DataFrame, value: str, order: Sequence[str], prev_out: str, growth_out: str,

@@ -20,8 +20,12 @@ OPEN_END = "2099-12-31"
 
 def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str],
                load_date, key_col: str = "promotion_key", open_end: str = OPEN_END) -> DataFrame:
-    """Merge ``incoming`` (one row per natural key) into the versioned
-    ``current`` dimension (effective_date, expiry_date, is_current)."""
+    """Merge ``incoming`` (one row per natural key; a second one raises) into
+    the versioned ``current`` dimension (effective_date, expiry_date,
+    is_current).  A version opened on the load date is replaced, not closed."""
+    twice = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"incoming rows repeat {key}: {[r[key] for r in twice]}")
     load = F.lit(str(load_date)).cast("date")
     tracked = list(tracked)
     h = lambda cols: F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in cols])
@@ -37,7 +41,7 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, tracked: Seque
     added = cmp.filter(F.col("__h_old").isNull()).select(key)
 
     # Close changed current versions; keep unchanged or vanished ones as they are.
-    closed = (live.join(changed, key, "left_semi")
+    closed = (live.join(changed, key, "left_semi").where(F.col("effective_date") < load)
                   .withColumn("expiry_date", F.date_sub(load, 1))
                   .withColumn("is_current", F.lit(False)))
     kept = live.join(changed, key, "left_anti")
