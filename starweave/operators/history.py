@@ -57,6 +57,7 @@ def running_total(value: str, partition: Sequence[str], order: Sequence[str]) ->
 
 
 BROADCAST_ROWS = 5_000_000
+WINDOW_ROWS = 100_000
 
 
 def _maybe_broadcast(df: DataFrame, rows_bound: int | None) -> DataFrame:
@@ -82,13 +83,13 @@ def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "r
     probs = [i / k for i in range(1, k)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, 10_000).alias("__b"))
     v = F.col(value)
-    # NULL values rank after every value (DESC NULLS LAST): a bucket of their own.
+    # NULL values rank before every value (DESC NULLS FIRST): a bucket of their own.
     x = (df.join(_maybe_broadcast(bounds, groups_bound), keys, "inner")
-           .withColumn("__bk", F.when(v.isNull(), F.lit(k))
+           .withColumn("__bk", F.when(v.isNull(), F.lit(-1))
                        .otherwise(F.size(F.filter(F.col("__b"), lambda b: b > v))))
            .drop("__b"))
     x = x.withColumn("__lr", F.rank().over(
-        Window.partitionBy(*keys, "__bk").orderBy(v.desc_nulls_last())))
+        Window.partitionBy(*keys, "__bk").orderBy(v.desc_nulls_first())))
     counts = x.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "__bk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
@@ -102,9 +103,12 @@ def share_of_total(df: DataFrame, value: str, out: str, places: int = 2,
     """ROUND(100.0 * value / SUM(value) OVER (PARTITION BY ...), 2).
 
     Without a partition the grand total is a scalar subquery (computed once,
-    shipped as a value); with one, a grouped total joined back on the
-    partition keys.  Neither sends all rows to one task."""
-    if not partition:
+    shipped as a value), or a window over all rows where ``groups_bound`` proves
+    them few, which reads the input once; with one, a grouped total joined back
+    on the partition keys.  Neither sends unbounded rows to one task."""
+    if not partition and groups_bound is not None and groups_bound <= WINDOW_ROWS:
+        df = df.withColumn("__total", F.sum(value).over(Window.partitionBy()))
+    elif not partition:
         total = df.agg(F.sum(value)).scalar()
         df = df.withColumn("__total", total)
     else:

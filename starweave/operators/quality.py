@@ -202,3 +202,32 @@ def star_audits(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     out["Q1:dim_promotion.current_campaign"] = duplicate_keys(
         tables["dim_promotion"].filter("is_current"), ["campaign_id"])
     return out
+
+
+def star_audit_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(audit, violations) of ``star_audits`` from one scan of the fact: its
+    keys are exploded and counted by (dimension, value) before the exchange,
+    so a hot key is one row, and the counts are anti-joined with the keys held."""
+    from ..plans.star import DIMENSIONS
+    fact = tables["fact_sales"]
+    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).cast("long").alias("v")) for _, k in DIMENSIONS.values()])
+    used = fact.select(F.explode(keys).alias("e")).groupBy("e.k", "e.v").agg(F.count(F.lit(1)).alias("n"))
+    held = None
+    for table, k in DIMENSIONS.values():
+        one = tables[table].select(F.lit(table).alias("t"), F.lit(k).alias("k"), F.col(k).cast("long").alias("v"))
+        held = one if held is None else held.unionByName(one)
+    held = held.groupBy("t", "k", "v").agg(F.count(F.lit(1)).alias("m"))
+    lost = (used.join(held.select("k", "v"), ["k", "v"], "left_anti").groupBy("k").agg(F.sum("n").alias("violations"))
+            .select(F.concat(F.lit("Q3:fact_sales."), "k").alias("audit"), "violations"))
+    twice = (held.where("m > 1").groupBy("t").agg(F.count(F.lit(1)).alias("violations"))
+             .select(F.concat(F.lit("Q1:"), "t").alias("audit"), "violations"))
+    undated = nulls(tables["dim_time"], ["full_date"])
+    current = duplicate_keys(tables["dim_promotion"].filter("is_current"), ["campaign_id"])
+    found = lost.unionByName(twice)
+    rest = {"Q2:dim_time.full_date": undated, "Q1:dim_promotion.current_campaign": current}
+    for name, df in rest.items():
+        found = found.unionByName(df.agg(F.count(F.lit(1)).alias("violations"))
+                                  .select(F.lit(name).alias("audit"), "violations"))
+    names = [f"Q1:{t}" for t, _ in DIMENSIONS.values()] + [f"Q3:fact_sales.{k}" for _, k in DIMENSIONS.values()] + list(rest)
+    every = fact.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("audit"))
+    return every.join(found, "audit", "left").select("audit", F.coalesce("violations", F.lit(0).cast("long")).alias("violations"))

@@ -106,7 +106,7 @@ def _month_name(month: Column) -> Column:
 
 
 def _d(c: str) -> Column:
-    return F.col(c).desc_nulls_last()
+    return F.col(c).desc_nulls_first()
 
 
 def _a(c: str) -> Column:
@@ -169,7 +169,7 @@ def customer_segments(s: Star, p: CatalogueParams) -> DataFrame:
 def payment_share(s: Star, p: CatalogueParams) -> DataFrame:
     df = O.aggregate(s, ["payment_method", "payment_type"], ["trx", "revenue"],
                      names={"trx": "total_trx", "revenue": "total_revenue"})
-    df = H.share_of_total(df, "total_revenue", "pct_share")
+    df = H.share_of_total(df, "total_revenue", "pct_share", groups_bound=s.bounds.get("payment"))
     return edge(df.orderBy(_d("total_revenue")))
 
 
@@ -441,6 +441,9 @@ def mom_growth(s: Star, p: CatalogueParams) -> DataFrame:
 def qoq_growth(s: Star, p: CatalogueParams) -> DataFrame:
     df = O.aggregate(s, ["year", "quarter"], ["revenue", "profit"],
                      names={"revenue": "current_revenue", "profit": "current_profit"})
+    if p.dense:
+        df = H.densify(df, s.dims["time"].select("year", "quarter").distinct(), ["year", "quarter"],
+                       ["current_revenue", "current_profit"], F.col("year") * 10 + F.col("quarter"))
     df = H.with_growth(df, "current_revenue", ["year", "quarter"], "prev_quarter_revenue", "qoq_growth_pct")
     df = df.withColumn("prev_quarter_profit", H.previous("current_profit", ["year", "quarter"]))
     return edge(df.select("year", "quarter", "current_revenue", "prev_quarter_revenue", "qoq_growth_pct",
@@ -448,7 +451,8 @@ def qoq_growth(s: Star, p: CatalogueParams) -> DataFrame:
 
 
 def ytd_revenue(s: Star, p: CatalogueParams) -> DataFrame:
-    df = _monthly(s, ["revenue", "profit"], names={"revenue": "monthly_revenue", "profit": "monthly_profit"})
+    df = _monthly(s, ["revenue", "profit"], names={"revenue": "monthly_revenue", "profit": "monthly_profit"},
+                  dense=p.dense)
     df = (df.withColumn("ytd_revenue", H.running_total("monthly_revenue", ["year"], ["month"]))
             .withColumn("ytd_profit", H.running_total("monthly_profit", ["year"], ["month"])))
     return edge(df.select("year", "month", "month_name", "monthly_revenue", "ytd_revenue",
@@ -458,7 +462,7 @@ def ytd_revenue(s: Star, p: CatalogueParams) -> DataFrame:
 def ytd_transactions(s: Star, p: CatalogueParams) -> DataFrame:
     # The YTD of monthly distinct counts equals the YTD distinct count
     # because a transaction has exactly one date.
-    df = _monthly(s, ["trx", "qty"], names={"trx": "monthly_trx", "qty": "monthly_qty"})
+    df = _monthly(s, ["trx", "qty"], names={"trx": "monthly_trx", "qty": "monthly_qty"}, dense=p.dense)
     df = (df.withColumn("ytd_trx", H.running_total("monthly_trx", ["year"], ["month"]))
             .withColumn("ytd_qty", H.running_total("monthly_qty", ["year"], ["month"])))
     return edge(df.select("year", "month", "month_name", "monthly_trx", "ytd_trx",
@@ -506,8 +510,11 @@ def weekday_pattern(s: Star, p: CatalogueParams) -> DataFrame:
 
 
 def weekend_vs_weekday(s: Star, p: CatalogueParams) -> DataFrame:
-    df = O.aggregate(s, ["is_weekend"], ["days", "trx", "revenue"],
-                     names={"days": "total_days", "trx": "total_trx", "revenue": "total_revenue"})
+    # A transaction has one date, so its day's distinct count adds up: one
+    # distinct count instead of two over every fact row.
+    days = O.aggregate(s, ["full_date", "is_weekend"], ["trx", "revenue"])
+    df = days.groupBy("is_weekend").agg(F.count(F.lit(1)).alias("total_days"), F.sum("trx").alias("total_trx"),
+                                        F.sum("revenue").alias("total_revenue"))
     df = (df.withColumn("day_type", weekend_label(F.col("is_weekend")))
             .withColumn("avg_trx_per_day", ratio("total_trx", "total_days"))
             .withColumn("avg_revenue_per_day", ratio("total_revenue", "total_days")))
@@ -518,6 +525,9 @@ def weekend_vs_weekday(s: Star, p: CatalogueParams) -> DataFrame:
 def seasonality_index(s: Star, p: CatalogueParams) -> DataFrame:
     df = O.aggregate(s, ["month", "month_name"], ["revenue"], {"year": p.year},
                      names={"revenue": "monthly_revenue"})
+    if p.dense:
+        months = s.dims["time"].where(F.col("year") == p.year).select("month", "month_name").distinct()
+        df = H.densify(df, months, ["month", "month_name"], ["monthly_revenue"], F.col("month"))
     df = H.ratio_to_mean(df, "monthly_revenue", "seasonality_index", mean_out="avg_monthly")
     return edge(df.select("month", "month_name", "monthly_revenue", "avg_monthly", "seasonality_index")
                 .orderBy("month"))
@@ -559,10 +569,13 @@ def mv_category_region(s: Star, p: CatalogueParams) -> DataFrame:
 
 
 def mv_customer_segment(s: Star, p: CatalogueParams) -> DataFrame:
-    df = O.aggregate(s, ["membership_level", "age_group", "gender", "year", "quarter"],
-                     ["customers", "trx", "revenue", "lines", "profit"],
-                     names={"customers": "unique_customers", "trx": "total_trx", "revenue": "total_revenue",
-                            "profit": "total_profit"})
+    # A transaction has one customer and one date: counts by customer and
+    # quarter add up, and the customers are the rows.
+    keys = ["membership_level", "age_group", "gender", "year", "quarter"]
+    each = O.aggregate(s, ["customer.customer_key", *keys], ["trx", "revenue", "lines", "profit"])
+    df = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("unique_customers"), F.sum("trx").alias("total_trx"),
+                                 F.sum("revenue").alias("total_revenue"), F.sum("lines").alias("lines"),
+                                 F.sum("profit").alias("total_profit"))
     df = df.withColumn("avg_line_value", avg_line_value("total_revenue", "lines")).drop("lines")
     return edge(df)
 
@@ -615,12 +628,8 @@ def card_campaign(s: Star, p: CatalogueParams) -> DataFrame:
 def audit_star_integrity(s: Star, p: CatalogueParams) -> DataFrame:
     """Q1 unique surrogate keys, Q2 NOT NULL full_date, Q3 fact keys present
     in their dimension, one current row per campaign: violations per check."""
-    from ..operators.quality import star_audits
-    out = None
-    for name, df in sorted(star_audits(s.tables()).items()):
-        one = df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("audit"), "violations")
-        out = one if out is None else out.unionByName(one)
-    return out
+    from ..operators.quality import star_audit_counts
+    return star_audit_counts(s.tables())
 
 
 def audit_product_hierarchy(s: Star, p: CatalogueParams) -> DataFrame:

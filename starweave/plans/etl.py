@@ -96,11 +96,18 @@ def dimensions(spark: SparkSession, src: Mapping[str, DataFrame], start="2025-01
 
 
 # ------------------------------------------------------------------ fact
-def success_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout") -> DataFrame:
-    """J1 (detail x Success transaction), S2, S4, J2 and P6: the campaign of
-    each line under the chosen fan-out policy, NO_PROMO when none."""
-    trx = (src["sales_transactions"].filter(F.col("transaction_status") == SUCCESS)
-           .select("transaction_id", "transaction_date", "store_id", "customer_id", "payment_method"))
+def headers(src: Mapping[str, DataFrame]) -> DataFrame:
+    """The Success transactions."""
+    return (src["sales_transactions"].filter(F.col("transaction_status") == SUCCESS)
+            .select("transaction_id", F.to_date("transaction_date").alias("transaction_date"), "store_id",
+                    "customer_id", "payment_method"))
+
+
+def success_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout", trx: DataFrame | None = None) -> DataFrame:
+    """J1 (detail x Success transaction), S4, J2 and P6: the campaign of
+    each line under the chosen fan-out policy, NO_PROMO when none.  ``trx``
+    are the headers, with or without what was looked up for them."""
+    trx = headers(src) if trx is None else trx
     promo = src["promotion_usage"].select("transaction_id", "campaign_id").distinct()
     df = src["sales_transaction_details"].join(trx, "transaction_id", "inner")
     if promo_policy == "first":
@@ -113,14 +120,13 @@ def success_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout") ->
     elif promo_policy != "fanout":
         raise ValueError(f"promo_policy must be fanout, allocate or first, not {promo_policy!r}")
     df = df.join(promo, "transaction_id", "left")
-    df = df.withColumn("campaign_id", F.coalesce(F.col("campaign_id"), F.lit(NO_PROMO["campaign_id"])))
-    return df.withColumn("transaction_date", F.to_date("transaction_date"))
+    return df.withColumn("campaign_id", F.coalesce(F.col("campaign_id"), F.lit(NO_PROMO["campaign_id"])))
 
 
-def fact_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout") -> DataFrame:
+def fact_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout", trx: DataFrame | None = None) -> DataFrame:
     """J1 continued: product cost and supplier (S3: three product columns)."""
     prods = src["products"].select("product_id", "cost_price", "supplier_id")
-    return success_lines(src, promo_policy).join(prods, "product_id", "inner")
+    return success_lines(src, promo_policy, trx).join(prods, "product_id", "inner")
 
 
 def _split(x: DataFrame, col: str, scale: int) -> F.Column:
@@ -135,11 +141,9 @@ def _split(x: DataFrame, col: str, scale: int) -> F.Column:
 
 def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_policy: str = "fanout") -> DataFrame:
     """J3 + P4: surrogate-key lookups (inner: unmatched lines are reported by
-    ``quality.fact_orphans`` instead) and the five measures."""
-    df = fact_lines(src, promo_policy)
-    # The product key is a function of product_id and the lines were already
-    # joined to the products table, so no second product lookup (no shuffle).
-    df = df.withColumn("product_key", surrogate_key(df, "product_id"))
+    ``quality.fact_orphans`` instead) and the five measures.  Date, payment,
+    customer and store belong to the header and are looked up there, before
+    the lines and the promotion fan-out multiply the rows."""
     look = {
         "time": (dims["time"].select("time_key", F.col("full_date").alias("transaction_date")), "transaction_date"),
         "customer": (dims["customer"].select("customer_key", "customer_id"), "customer_id"),
@@ -148,10 +152,18 @@ def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_poli
         "promotion": (dims["promotion"].filter("is_current").select("promotion_key", "campaign_id"), "campaign_id"),
         "payment": (dims["payment"].select("payment_key", "payment_method"), "payment_method"),
     }
-    for name, (lk, nk) in look.items():
+    trx = headers(src)
+    for name in ("payment", "time", "customer", "store"):
+        lk, nk = look[name]
         # The calendar and the payment map have fixed sizes; other lookups
         # are left to AQE's runtime size check.
-        df = df.join(F.broadcast(lk) if name in ("time", "payment") else lk, nk, "inner")
+        trx = trx.join(F.broadcast(lk) if name in ("time", "payment") else lk, nk, "inner")
+    df = fact_lines(src, promo_policy, trx)
+    # The product key is a function of product_id and the lines were already
+    # joined to the products table, so no second product lookup (no shuffle).
+    df = df.withColumn("product_key", surrogate_key(df, "product_id"))
+    for name in ("supplier", "promotion"):
+        df = df.join(look[name][0], look[name][1], "inner")
 
     qty = F.col("quantity")
     measures = {
@@ -172,9 +184,23 @@ def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_poli
         F.year("transaction_date").alias(FACT_PARTITION))
 
 
-def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start="2025-01-01",
+def sale_dates(src: Mapping[str, DataFrame]) -> tuple:
+    """First and last date of the Success transactions (one row)."""
+    return headers(src).agg(F.min("transaction_date"), F.max("transaction_date")).first()
+
+
+def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start=None,
                calendar_days: int | None = 730, calendar_end=None, promo_policy: str = "fanout") -> Star:
-    """The whole load (lazy): dimensions, then the fact over them."""
+    """The whole load (lazy): dimensions, then the fact over them.
+
+    The calendar covers all sales unless ``calendar_start`` is given; sales
+    outside a given range are dropped and listed by ``quality.fact_orphans``."""
+    if calendar_start is None:
+        lo, hi = sale_dates(src)
+        if lo is not None:
+            calendar_start, calendar_end = lo, calendar_end or hi
+        else:
+            calendar_start = "2025-01-01"
     dims = dimensions(spark, src, calendar_start, calendar_days, calendar_end)
     bounds = {"time": calendar_rows(calendar_start, calendar_days, calendar_end),
               "payment": len(PAYMENT_TYPES)}

@@ -13,6 +13,7 @@ counts are the proven bounds ``Star.base`` uses to decide on broadcasting.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,7 @@ from ..session import new_table_path
 from .star import DIMENSIONS, FACT_PARTITION, Star
 
 # Dimensions whose size is fixed by construction are written as one file.
-SINGLE_FILE = {"time", "payment", "promotion"}
+SINGLE_FILE = {"time", "payment"}
 MANIFEST = "_manifest"
 
 
@@ -79,7 +80,7 @@ def _manifest_value(spark: SparkSession, path: str, key: str) -> str | None:
     try:
         rows = spark.read.parquet(f"{path}/{MANIFEST}").filter(F.col("table") == key).collect()
         return rows[0]["value"] if rows else None
-    except Exception:
+    except AnalysisException:  # no manifest there; anything else raises
         return None
 
 
@@ -87,7 +88,7 @@ def load_manifest(spark: SparkSession, path: str, what: str = "rows") -> dict[st
     try:
         return {r["table"]: r[what] for r in spark.read.parquet(f"{path}/{MANIFEST}").collect()
                 if r[what] is not None}
-    except Exception:  # a star written without manifest: count the dimensions
+    except AnalysisException:  # a star written without manifest: count the dimensions
         if what != "rows":
             return {}
         return {t: spark.read.parquet(f"{path}/{t}").count() for t, _ in DIMENSIONS.values()}

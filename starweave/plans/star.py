@@ -214,7 +214,10 @@ class Star:
             small = [d for d in need if self.broadcastable(d)]
         large = [d for d in need if d not in small]
 
-        f = self.fact
+        # a fact column that no measure reads must not meet a dimension's of the same name
+        taken = {o for cols in need.values() for o in cols.values()}
+        keep = {p.source for p in parts} | {k for _, k in DIMENSIONS.values()}
+        f = self.fact.drop(*[c for c in fact_cols if c in taken and c not in keep])
         for pred in self._time_range(where):
             f = f.filter(pred)
         for d in small:

@@ -64,7 +64,7 @@ def refresh_summaries(star: Star, spark: SparkSession, params: CatalogueParams =
             log.info("summary %s refreshed: %d rows", name, rows)
         except Exception as e:  # keep going: one summary must not block the others
             log.warning("summary %s skipped: %s", name, e)
-            out.append(RefreshStatus(name, False, None, None, None, time.time() - t0, str(e)[:500]))
+            out.append(RefreshStatus(name, False, None, None, None, time.time() - t0, str(e)))
     return out
 
 

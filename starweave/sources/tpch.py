@@ -6,7 +6,7 @@ Mapping (SURVEY §7.3), applied identically by the SQL oracle:
 * transaction_id = l_orderkey, detail_id = "l_orderkey-l_linenumber" (not unique)
 * product = part, customer = customer (+ nation as city), store = supplier x
   nation x region, supplier = supplier (+ nation), payment method = order
-  priority, promotion = discount in cents (0 -> NO_PROMO, 1..10 -> CAM001..)
+  priority, promotion = discount in cents (0 -> NO_PROMO, 1 -> CAM001, ..)
 * money in DECIMAL(15,2): total = extendedprice, discount = total x l_discount,
   final = total - discount, cost = retailprice x quantity, profit = final - cost
 
@@ -17,7 +17,7 @@ the fact needs lookups only for integrity, not to fetch keys.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +41,6 @@ PRIORITY_PAYMENT = (
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 CAMPAIGN_TYPES = ("Discount", "Bundle", "Cashback", "Loyalty")
 CHANNELS = ("Store", "Instagram", "Website", "Email")
-N_CAMPAIGNS = 10
 
 MONEY = T.DecimalType(15, 2)
 
@@ -49,8 +48,10 @@ MONEY = T.DecimalType(15, 2)
 @dataclass(frozen=True)
 class TpchMapping:
     success_status: str = "F"
-    calendar_start: str = "1995-01-01"
-    calendar_end: str = "2001-12-31"
+    # None: the first and last sale of the data.  Dates given here exclude the
+    # sales outside them.
+    calendar_start: str | None = None
+    calendar_end: str | None = None
     campaign_start: str = "1995-01-01"
     campaign_end: str = "2001-12-31"
     # Drop lines whose customer / supplier is missing (the reference's inner
@@ -63,6 +64,21 @@ def read_tpch(spark: SparkSession, sf_dir: str, tables=TABLES) -> dict[str, Data
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in tables}
 
 
+def with_calendar(src: dict[str, DataFrame], m: TpchMapping) -> TpchMapping:
+    """``m`` with the range of the sale dates where it names none."""
+    if m.calendar_start and m.calendar_end:
+        return m
+    day = F.to_date("o_orderdate")
+    lo, hi = src["orders"].where(F.col("o_orderstatus") == m.success_status).agg(F.min(day), F.max(day)).first()
+    lo, hi = str(lo or m.campaign_start), str(hi or m.campaign_start)
+    return replace(m, calendar_start=m.calendar_start or lo, calendar_end=m.calendar_end or hi)
+
+
+def _pct(discount: str = "l_discount"):
+    """The discount in whole cents; none is 0."""
+    return F.round(F.coalesce(F.col(discount), F.lit(0.0)) * 100).cast("int")
+
+
 def _pick(values, idx_col):
     return F.element_at(F.array(*[F.lit(v) for v in values]), idx_col)
 
@@ -105,10 +121,11 @@ def dimensions(spark: SparkSession, src: dict[str, DataFrame], m: TpchMapping) -
         _pick(PART_TYPES, (F.col("s_suppkey") % len(PART_TYPES) + 1).cast("int")).alias("supplier_category"),
         F.lit("Active").alias("supplier_status"))
 
-    cid = F.col("id").cast("int")
-    idx = ((cid - 1) % 4 + 1)
+    cid = F.col("id")
+    pcts = src["lineitem"].select(_pct().alias("id")).union(spark.range(1).select(F.col("id").cast("int"))).distinct()
+    idx = F.pmod(cid - 1, F.lit(4)) + 1
     is_none = cid == 0
-    dim_promotion = spark.range(0, N_CAMPAIGNS + 1).select(
+    dim_promotion = pcts.select(
         cid.alias("promotion_key"),
         F.when(is_none, "NO_PROMO").otherwise(F.format_string("CAM%03d", cid)).alias("campaign_id"),
         F.when(is_none, "No Promotion").otherwise(F.format_string("Campaign %d", cid)).alias("campaign_name"),
@@ -130,7 +147,7 @@ def dimensions(spark: SparkSession, src: dict[str, DataFrame], m: TpchMapping) -
 def fact(src: dict[str, DataFrame], dims: dict[str, DataFrame], m: TpchMapping) -> DataFrame:
     """The sales fact.  Filters sit on the scans (status, calendar range);
     the customer integrity check runs on orders, the smaller side; the
-    bounded lookups (payment map, promotions) are broadcast."""
+    payment map is broadcast."""
     d = F.to_date("o_orderdate")
     orders = (src["orders"]
               .filter((F.col("o_orderstatus") == m.success_status)
@@ -147,9 +164,7 @@ def fact(src: dict[str, DataFrame], dims: dict[str, DataFrame], m: TpchMapping)
         x = x.join(src["supplier"].select(F.col("s_suppkey").alias("l_suppkey")), "l_suppkey", "left_semi")
     pay = dims["payment"].select("payment_key", F.col("payment_method").alias("o_orderpriority"))
     x = x.join(F.broadcast(pay), "o_orderpriority", "inner")
-    promo_key = F.round(F.col("l_discount") * 100).cast("int")
-    x = x.withColumn("promotion_key", promo_key)
-    x = x.join(F.broadcast(dims["promotion"].select("promotion_key")), "promotion_key", "left_semi")
+    x = x.withColumn("promotion_key", _pct())     # the promotions are the discounts present
 
     qty = F.col("l_quantity").cast("int")
     total = F.col("l_extendedprice").cast(MONEY)
@@ -172,10 +187,11 @@ def fact(src: dict[str, DataFrame], dims: dict[str, DataFrame], m: TpchMapping)
 
 
 def star_from_tpch(spark: SparkSession, sf_dir: str, mapping: TpchMapping = TpchMapping()) -> Star:
-    """A lazily derived star (nothing runs until an action)."""
+    """A lazily derived star; only the calendar's range is read at once."""
     src = read_tpch(spark, sf_dir)
+    mapping = with_calendar(src, mapping)
     dims = dimensions(spark, src, mapping)
     bounds = {"time": calendar_rows(mapping.calendar_start, end=mapping.calendar_end),
-              "payment": len(PRIORITY_PAYMENT), "promotion": N_CAMPAIGNS + 1}
+              "payment": len(PRIORITY_PAYMENT)}
     # date, customer and priority come from the order: one value per transaction
     return Star(fact(src, dims, mapping), dims, bounds, trx_level=frozenset({"time", "customer", "payment"}))

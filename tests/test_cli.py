@@ -14,7 +14,7 @@ def test_cli_load_and_query(spark, retail, capsys):
     assert main(["load", root, "--publish", db]) == 0
     assert spark.table(f"{db}.mv_monthly_sales").count() > 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["counts"]["fact_sales"] == 9 and all(out["summaries"].values())
+    assert out["counts"]["fact_sales"] == 10 and all(out["summaries"].values())
     assert main(["query", out["star"], "monthly_recap"]) == 0
     assert "total_revenue" in capsys.readouterr().out
 

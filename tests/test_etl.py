@@ -16,7 +16,7 @@ def _fact(star):
 
 @pytest.fixture(scope="module")
 def fanout(spark, retail):
-    return build_star(spark, retail)
+    return build_star(spark, retail, "2025-01-01")
 
 
 def test_status_filter_and_fact_count(fanout):
@@ -41,7 +41,7 @@ def test_no_promo_and_duplicate_usage(spark, fanout):
 @pytest.mark.parametrize("policy,rows,t4_revenue", [("fanout", 9, D("100.00")), ("allocate", 9, D("50.00")),
                                                     ("first", 7, D("50.00"))])
 def test_promo_policies(spark, retail, policy, rows, t4_revenue):
-    f = _fact(build_star(spark, retail, promo_policy=policy))
+    f = _fact(build_star(spark, retail, "2025-01-01", promo_policy=policy))
     assert f.count() == rows
     t4 = f.filter("transaction_id = 'T4'").agg(F.sum("final_sales").alias("r"), F.sum("quantity_sold").alias("q")).first()
     assert t4.r == t4_revenue
@@ -50,17 +50,17 @@ def test_promo_policies(spark, retail, policy, rows, t4_revenue):
 
 
 def test_allocate_keeps_totals(spark, retail):
-    a = _fact(build_star(spark, retail, promo_policy="allocate"))
+    a = _fact(build_star(spark, retail, "2025-01-01", promo_policy="allocate"))
     g = a.groupBy("detail_id").agg(F.sum("final_sales").alias("s"), F.sum("cost_amount").alias("c"))
     got = {r.detail_id: (r.s, r.c) for r in g.collect()}
     assert got["D5"] == (D("42.00"), D("30.00"))
 
 
 def test_repeated_load_is_identical(spark, retail):
-    a = _fact(build_star(spark, retail)).orderBy("detail_id", "promotion_key").collect()
-    b = _fact(build_star(spark, retail)).orderBy("detail_id", "promotion_key").collect()
+    a = _fact(build_star(spark, retail, "2025-01-01")).orderBy("detail_id", "promotion_key").collect()
+    b = _fact(build_star(spark, retail, "2025-01-01")).orderBy("detail_id", "promotion_key").collect()
     assert a == b
-    promo = build_star(spark, retail).dims["promotion"]
+    promo = build_star(spark, retail, "2025-01-01").dims["promotion"]
     assert promo.filter("campaign_id = 'NO_PROMO'").count() == 1
 
 
@@ -90,7 +90,7 @@ def test_star_audits_clean(fanout):
 
 def test_observed_counts_match(spark, retail):
     from starweave.plans.materialize import load_manifest, write_star
-    path = write_star(build_star(spark, retail), spark)
+    path = write_star(build_star(spark, retail, "2025-01-01"), spark)
     counts = load_manifest(spark, path)
     assert counts["fact_sales"] == 9 and counts["dim_time"] == 730 and counts["dim_promotion"] == 3
     assert counts == Q.load_counts({t: spark.read.parquet(f"{path}/{t}") for t in counts})
@@ -99,7 +99,7 @@ def test_observed_counts_match(spark, retail):
 def test_dimension_schemas_match_the_star_ddl(spark, retail, tpch_star):
     from starweave.plans.star import DIMENSIONS, FACT_COLUMNS
     from starweave.sources.schemas import STAR_SCHEMAS
-    for star in (build_star(spark, retail), tpch_star):
+    for star in (build_star(spark, retail, "2025-01-01"), tpch_star):
         for dim, (table, _) in DIMENSIONS.items():
             assert tuple(star.dims[dim].columns) == STAR_SCHEMAS[table], table
         assert tuple(star.table("fact_sales").columns) == FACT_COLUMNS
@@ -108,7 +108,7 @@ def test_dimension_schemas_match_the_star_ddl(spark, retail, tpch_star):
 def test_transaction_level_collapse_matches_distinct_plan(spark, retail):
     from dataclasses import replace as _replace
     from starweave.plans.catalogue import CATALOGUE, RETAIL
-    star = build_star(spark, retail)
+    star = build_star(spark, retail, "2025-01-01")
     assert "store" in star.trx_level and "promotion" not in star.trx_level
     plain = _replace(star, trx_level=frozenset())
     for name in ("rollup_geo", "rollup_geo3", "cube_member_payment", "rollup_time", "pivot_age_gender",
@@ -116,4 +116,4 @@ def test_transaction_level_collapse_matches_distinct_plan(spark, retail):
         a = sorted(map(tuple, CATALOGUE[name](star, RETAIL).collect()), key=repr)
         b = sorted(map(tuple, CATALOGUE[name](plain, RETAIL).collect()), key=repr)
         assert a == b, name
-    assert "promotion" in build_star(spark, retail, promo_policy="first").trx_level
+    assert "promotion" in build_star(spark, retail, "2025-01-01", promo_policy="first").trx_level

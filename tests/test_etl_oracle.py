@@ -43,7 +43,7 @@ def test_fact_matches_sql(spark, retail):
         p = os.path.join(root, t)
         df.write.parquet(p)
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}/*.parquet')")
-    star = build_star(spark, retail)
+    star = build_star(spark, retail, "2025-01-01")
     f = (star.table("fact_sales").join(star.dims["promotion"], "promotion_key")
          .select("transaction_id", "detail_id", "campaign_id", "quantity_sold",
                  *[F.col(c).cast("double").alias(c) for c in

@@ -6,8 +6,10 @@ import pytest
 
 import __spark_entry__ as E
 from starweave.plans.catalogue import CATALOGUE, TESTDATA
+from starweave.plans.load_checks import LOADS
 
-NAMES = sorted(CATALOGUE)
+NAMES = sorted(CATALOGUE) + sorted(LOADS)
+SMALL = "/root/testdata/sf0.001"
 
 
 def _norm(rows):
@@ -24,7 +26,7 @@ SPARK_TO_SQL = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "strin
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(name, spark, tpch_star, duck):
-    sdf = CATALOGUE[name](tpch_star, TESTDATA)
+    sdf = LOADS[name](spark, SMALL) if name in LOADS else CATALOGUE[name](tpch_star, TESTDATA)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
     sql_types = dict(zip(rel.columns, map(str, rel.types)))
@@ -39,7 +41,7 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     optional = set(E.LLM_QUERIES) | {"pipeline"}
-    assert set(E.queries()) - optional == set(E.oracle_sql()) - optional == set(CATALOGUE)
+    assert set(E.queries()) - optional == set(E.oracle_sql()) - optional == set(CATALOGUE) | set(LOADS)
 
 
 def test_star_that_cannot_be_written_raises(spark, monkeypatch):

@@ -44,6 +44,6 @@ def test_orphans_and_nulls(spark):
 
 def test_load_counts(spark, retail):
     from starweave.plans.etl import build_star
-    counts = Q.load_counts(build_star(spark, retail).tables())
+    counts = Q.load_counts(build_star(spark, retail, "2025-01-01").tables())
     assert counts["dim_time"] == 730 and counts["dim_payment_method"] == 5
     assert counts["dim_promotion"] == 3 and counts["fact_sales"] == 9

@@ -17,7 +17,7 @@ from starweave.plans.materialize import materialize
 
 @pytest.fixture(scope="module")
 def star(spark, retail):
-    return materialize(build_star(spark, retail), spark)
+    return materialize(build_star(spark, retail, "2025-01-01"), spark)
 
 
 def rows(df, *cols):
@@ -67,7 +67,7 @@ def test_distributed_rank_equals_window_rank(spark):
     df = spark.createDataFrame(data, "p int, id int, v int")
     assert df.filter("v is null").count() > 0
     got = H.rank_desc(df, ["p"], "v", "rk", buckets=16)
-    want = df.withColumn("rk2", F.rank().over(Window.partitionBy("p").orderBy(F.desc_nulls_last("v"))))
+    want = df.withColumn("rk2", F.rank().over(Window.partitionBy("p").orderBy(F.desc_nulls_first("v"))))
     j = got.join(want, ["p", "id"])
     assert j.count() == df.count()
     assert j.filter("rk != rk2").count() == 0
@@ -131,7 +131,7 @@ def test_publish_switches_to_latest_refresh(spark, star, retail):
     assert publish_summaries(spark, first, db) == [f"{db}.mv_monthly_sales"]
     before = spark.table(f"{db}.mv_monthly_sales").agg(F.sum("total_revenue")).first()[0]
     # a new load (allocate policy: T4 revenue halves) is published by a metadata switch
-    other = materialize(build_star(spark, retail, promo_policy="allocate"), spark)
+    other = materialize(build_star(spark, retail, "2025-01-01", promo_policy="allocate"), spark)
     publish_summaries(spark, refresh_summaries(other, spark, RETAIL, names=("mv_monthly_sales",)), db)
     after = spark.table(f"{db}.mv_monthly_sales").agg(F.sum("total_revenue")).first()[0]
     assert (before, after) == (215.0, 165.0)
@@ -241,7 +241,7 @@ def test_t13_share_of_zero_total_is_null(spark):
 
 def test_t15_each_build_goes_to_a_fresh_folder(spark, retail):
     from starweave.plans.materialize import write_star
-    s = build_star(spark, retail)
+    s = build_star(spark, retail, "2025-01-01")
     assert write_star(s, spark) != write_star(s, spark)
 
 
