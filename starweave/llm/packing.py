@@ -33,7 +33,7 @@ from .common import persist, table
 CAPACITY = 1024
 END_ID = 2
 BLOCK_ROWS = 20_000
-CACHE_ENTRIES = 400_000     # chunk -> ids, per Python worker
+CACHE_ENTRIES = 700_000     # chunk -> ids, per Python worker: about 150 MB
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RESULT = PIECES + ", sequence_id long, offset long"
 
@@ -47,12 +47,13 @@ def default_vocabulary() -> str:
 
 
 class TextEncoder:
-    """Ids of texts as little-endian uint32 bytes.  A space before a
-    non-space starts a new pre-token in this vocabulary, so a text is encoded
-    chunk by chunk and the ids of chunks are kept in a bounded cache."""
+    """Ids of texts as little-endian uint32 bytes.  In this vocabulary a
+    blank or line break before a non-space starts a new pre-token, so a text
+    is encoded chunk by chunk and the ids of chunks are kept in a bounded
+    cache."""
 
-    _cut = re.compile(r" (?=\S)")
-    _space_run = re.compile(r" \s| $")
+    _cut = re.compile(r"(?=[ \n]\S)")
+    _space_run = re.compile(r"[ \n](?:\s|\Z)|\0")
 
     def __init__(self, path: str):
         import os
@@ -63,26 +64,39 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()     # byte-level: a character of a token is a byte of the text
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.token_bytes[i] = len(token)
 
     def chunks(self, text: str) -> list[str]:
         if self._space_run.search(text):
-            first, *rest = self._cut.split(text)
-        else:
-            first, *rest = text.split(" ")
-        return [first, *rest] if not rest else [first, *[" " + r for r in rest]]
+            return self._cut.split(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each of distinct chunks in the order of a text.  They are
+        encoded as one string, which pre-tokenization cuts where it would cut
+        their text; the bytes of its tokens say which chunk each belongs to."""
+        got = self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids
+        ids = np.array(got, dtype="<u4")
+        token_ends = np.cumsum(self.token_bytes[ids])
+        sizes = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in chunks), np.int64, len(chunks))
+        ends = (4 * np.searchsorted(token_ends, np.cumsum(sizes), side="right")).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def encode(self, text: str) -> bytes:
         chunks, cache = self.chunks(text), self.cache
         ids = list(map(cache.get, chunks))
         if None in ids:
-            new = list({c for c, v in zip(chunks, ids) if v is None})
+            new = list(dict.fromkeys(c for c, v in zip(chunks, ids) if v is None))
             if len(cache) + len(new) > CACHE_ENTRIES:
                 cache.clear()
-                new = list(set(chunks))
-            got = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            fresh = {c: np.asarray(e.ids, dtype="<u4").tobytes() for c, e in zip(new, got)}
+                new = list(dict.fromkeys(chunks))
+            fresh = dict(zip(new, self.encode_chunks(new)))
             cache.update((c, v) for c, v in fresh.items() if len(c) <= 64)
-            ids = [fresh[c] if c in fresh else cache[c] for c in chunks]
+            ids = [v or fresh.get(c, b"") for c, v in zip(chunks, ids)]
         return b"".join(ids)
 
 
