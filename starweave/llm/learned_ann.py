@@ -31,13 +31,13 @@ from .common import persist, table
 NEIGHBOURS = 20
 SAMPLE = 8192               # vectors that reach the driver to learn the parts
 GRAPH_DEGREE = 50
-PART_ROWS = 2_000           # entries aimed at in a part
+PART_ROWS = 8_000           # entries aimed at in a part
 MAX_PARTS = 256             # bounded by the sample, which must fill every part
 TARGET_RECALL = 0.93        # of held-back sample rows; sets the number of probed parts
 HELD_BACK = 8               # every eighth sampled row
 HIDDEN = 64
 EPOCHS = 12
-BLOCK = 4096                # entries or queries of one search block
+BLOCK = 16_384              # entries or queries of one search block; each returns a query's k best
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
