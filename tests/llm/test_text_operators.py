@@ -1,6 +1,7 @@
 """Packing, SimHash, fingerprints, repeats, subwords against brute force."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -47,6 +48,16 @@ def test_packing_matches_tokenizer_and_best_fit(spark):
     assert got.sequence_id.nunique() == len(bins)
 
 
+def test_chunked_encoder_equals_whole_texts(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 500)      # cleared many times
+    enc, r = packing.TextEncoder(packing.default_vocabulary()), random.Random(3)
+    texts = ["  a\n\n b \t c ", "a \x1c b \x85c  \n", "x\0y z", "<|endoftext|> <|endoftext|>", "é" * 300 + " é"]
+    texts += ["".join(r.choice(" \n\ta1é'. \x1c\x85\0<|>\U0001f642s") for _ in range(r.randint(1, 60))) for _ in range(1500)]
+    for text in texts:
+        want = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert enc.encode(text) == np.array(want, "<u4").tobytes(), repr(text)
+
+
 def test_packing_pieces_and_empty(spark):
     assert packing.piece_bounds(5, 4) == [(0, 1), (1, 4)] and packing.piece_bounds(8, 4) == [(0, 4), (4, 4)]
     assert packing.pack(spark, packing.token_pieces(docs(spark, []))).count() == 0
