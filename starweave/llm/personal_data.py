@@ -1,9 +1,9 @@
 """Personal data: base patterns and information-theoretic sanitisation.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers.  A span
-value is a protected entity.  For the words around it the corpus tells how
-much they give away: with N distinct texts, of which n_e hold the entity, n_t
-the word and n_te both, the disclosure of the entity by the word is
+value is a protected entity.  For the words of the texts that hold it the corpus
+tells how much they give away: with N distinct texts, of which n_e hold the entity,
+n_t the word (outside base spans) and n_te both, anywhere in the text, the disclosure of the entity by the word is
 PMI / IC = log(N n_te / (n_t n_e)) / log(N / n_e), 1 when the word never occurs
 without the entity.  Words seen with an entity in at least ``MIN_TEXTS``
 different texts whose disclosure reaches ``DISCLOSURE`` are spans as well
@@ -38,8 +38,7 @@ MAY_HOLD = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]",
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 TERM_KIND = "term"
 WORD = r"[\p{L}\p{N}]+"
-TERM = r"\p{L}[\p{L}\p{N}]{2,}"
-CONTEXT = 80                # code points on each side of an entity
+MARKED = r"[\p{L}\p{N}\x01]+"   # a word, or what touches a span cut out
 MIN_TEXTS = 3
 DISCLOSURE = 0.9
 TERMS_BROADCAST = 100_000
@@ -104,16 +103,24 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return out.withColumn("base", F.array_sort(F.concat(*[f"sp_{k}" for k in KINDS])))
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Words (lower case) on both sides of a span, without cut-off words."""
-    s, e = span["s"], span["e"]
-    left = F.substring(text, F.greatest(s - CONTEXT, F.lit(0)) + 1, F.least(s, F.lit(CONTEXT)))
-    left = F.when(s > CONTEXT, F.regexp_replace(left, r"^[\p{L}\p{N}]*", "")).otherwise(left)
-    right = F.regexp_replace(F.substring(text, e + 1, F.lit(CONTEXT + 1)), r"[\p{L}\p{N}]*$", "")
-    right = F.when(F.length(text) - e > CONTEXT, right).otherwise(F.substring(text, e + 1, F.lit(CONTEXT)))
-    both = F.lower(F.concat(left, F.lit(" \u0001 "), right))
-    clean = F.regexp_replace(both, PATTERNS["email"], " ")
-    return F.array_distinct(F.regexp_extract_all(clean, F.lit(TERM), F.lit(0)))
+def _outside(text: Column, base: Column) -> Column:
+    """Distinct words (lower case) of a text that touch no span of ``base``."""
+    plain = F.regexp_replace(text, "\u0001", " ")
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        new = F.concat(acc["out"], F.substring(plain, acc["at"] + 1, x["s"] - acc["at"]), F.lit("\u0001"))
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
+
+    cut = F.aggregate(base, start, step, lambda acc: F.concat(acc["out"], F.substring(plain, acc["at"] + 1, F.length(plain))))
+    marked = F.array_distinct(F.regexp_extract_all(F.lower(cut), F.lit(MARKED), F.lit(0)))
+    return (F.when(F.size(base) > 0, F.filter(marked, lambda w: ~F.contains(w, F.lit("\u0001"))))
+            .otherwise(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)))))
+
+
+def _entities(text: Column, base: Column) -> Column:
+    """The distinct protected entities of the spans of a text."""
+    return F.array_distinct(F.transform(base, lambda x: F.lower(F.substring(text, x["s"] + 1, x["e"] - x["s"]))))
 
 
 def disclosing_terms(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSURE,
@@ -121,26 +128,33 @@ def disclosing_terms(spark: SparkSession, docs: DataFrame, disclosure: float = D
     """(terms, where): every word that discloses an entity, with its
     disclosure; and the rows (doc_id, th, term) of the documents that hold it.
     ``docs`` is (doc_id, text, th), th the hash of the text."""
-    spans = base_spans(docs).where(F.size("base") > 0)
-    near = (spans.select("th", "text", F.explode("base").alias("span"))
-            .select("th", F.lower(F.expr("substring(text, span.s + 1, span.e - span.s)")).alias("entity"),
-                    _context(F.col("text"), F.col("span")).alias("terms")))
-    pairs = near.select("th", "entity", F.explode("terms").alias("term")).distinct()
-    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_texts)
-    n_e = near.select("th", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    texts = persist(spark, docs.groupBy("th").agg(F.count(F.lit(1)).alias("copies")), "texts")
+    n = float(texts.count())
+    worded = base_spans(docs).withColumn("words", _outside(F.col("text"), F.col("base")))
+    own = persist(spark, worded.where(F.size("base") > 0)
+                  .select("th", _entities(F.col("text"), F.col("base")).alias("entities"), "words").dropDuplicates(["th"]), "entity-texts")
+    n_e = own.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    # An entity of fewer texts has no word in min_texts of them.
+    n_e = persist(spark, n_e.where(F.col("n_e") >= min_texts), "entities")
+    held = own.select(F.explode("entities").alias("entity"), "words").join(small_side(n_e, TERMS_BROADCAST).select("entity"), "entity")
+    joint = (held.select("entity", F.explode("words").alias("term")).groupBy("entity", "term")
+             .agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_texts))
     joint = persist(spark, joint.join(n_e, "entity"), "entity-terms")
     candidates = persist(spark, joint.select("term").distinct(), "candidate-terms")
-    words = (docs.select("doc_id", "th", F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term")))
-    held = persist(spark, words.join(small_side(candidates, TERMS_BROADCAST), "term").select("doc_id", "th", "term"), "term-rows")
-    n_t = held.select("th", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = docs.select("th").distinct().count()
-    ic = F.log(F.lit(float(n)) / F.col("n_e"))
-    ratio = F.log(F.lit(float(n)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / ic
+    # Texts of one document are counted before the shuffle, copies by their hash.
+    copied = persist(spark, texts.where("copies > 1").select("th", F.col("th").alias("copy")), "copied-texts")
+    words = (worded.select("th", "words").join(small_side(copied, TERMS_BROADCAST), "th", "left")
+             .select("copy", F.explode("words").alias("term")))
+    n_t = (words.join(small_side(candidates, TERMS_BROADCAST), "term").groupBy("term", "copy").agg(F.count(F.lit(1)).alias("n"))
+           .groupBy("term").agg(F.sum(F.when(F.col("copy").isNull(), F.col("n")).otherwise(1)).alias("n_t")))
+    ic = F.log(F.lit(n) / F.col("n_e"))
+    ratio = F.log(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / ic
     terms = (joint.join(n_t, "term").withColumn("disclosure", F.when(ic > 0, ratio))
              .groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= disclosure))
     terms = persist(spark, terms, "disclosing-terms")
-    return terms, held.join(small_side(terms, TERMS_BROADCAST), "term")
+    every = docs.select("doc_id", "th", F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    return terms, every.join(small_side(terms.select("term"), TERMS_BROADCAST), "term")
 
 
 def find_personal_data(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSURE,

@@ -170,6 +170,28 @@ def test_personal_data_base_and_terms(spark):
     assert personal_data.find_personal_data(spark, docs(spark, [])).count() == 0
 
 
+
+def _terms(spark, data):
+    """Lower-case words that are term spans, of every document."""
+    got = personal_data.find_personal_data(spark, docs(spark, data)).select("text", personal_data.label("spans").alias("spans")).collect()
+    spans = [(x["text"], t.split(":")) for x in got for t in x["spans"].split(",") if t.startswith("term")]
+    return Counter(text[int(s):int(e)].lower() for text, (_, s, e) in spans)
+
+
+def _far_texts(n, address):
+    """Texts with an address, and far from it a name, a short name and a customer number."""
+    r = random.Random(5)
+    filler = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(200)]
+    data = [(i, " ".join(r.choices(filler, k=40)), "en", "s", 1) for i in range(300)]
+    return data + [(1000 + i, f"Dear Quastor Li 77812 {' '.join(r.choices(filler, k=40))} {address(i)}", "en", "s", 1) for i in range(n)]
+
+
+def test_terms_of_whole_texts(spark):
+    data = _far_texts(8, lambda i: "ann@x.example.org")
+    data += data[-1:] * 20      # copies count once
+    assert _terms(spark, data) == {w: 28 for w in ("dear", "quastor", "li", "77812")}
+
+
 def test_pipeline_stages_one_by_one(spark, tmp_path):
     import corpus_pipeline as P
     from starweave.llm import simhash
