@@ -1,13 +1,17 @@
 """Personal data: base patterns and information-theoretic sanitisation.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers.  A span
-value is a protected entity.  For the words of the texts that hold it the corpus
+value is a protected entity, and so are the groups it belongs to (its kind, mail
+domain, network or number prefix): values of one text only still show what is
+written beside values of their group.  For the words of the texts that hold it the corpus
 tells how much they give away: with N distinct texts, of which n_e hold the entity,
 n_t the word (outside base spans) and n_te both, anywhere in the text, the disclosure of the entity by the word is
 PMI / IC = log(N n_te / (n_t n_e)) / log(N / n_e), 1 when the word never occurs
-without the entity.  Words seen with an entity in at least ``MIN_TEXTS``
-different texts whose disclosure reaches ``DISCLOSURE`` are spans as well
-(kind term) wherever they occur.  ``sanitise`` generalises every span to its
+without the entity.  Every co-occurrence is counted, once is enough; a pair
+counts as more than chance when its log-likelihood ratio reaches log(T / ERROR),
+T being the number of (text, entity, word) tested (a Bonferroni bound on all of
+them).  Words of such pairs whose disclosure reaches ``DISCLOSURE`` are spans as
+well (kind term) wherever they occur.  ``sanitise`` generalises every span to its
 kind.  All of it is DataFrame operations on the JVM.
 
 Copies of a text count once, before any shuffle of words.  Counts are over all
@@ -20,6 +24,8 @@ code points, the end is exclusive.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +45,10 @@ BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 TERM_KIND = "term"
 WORD = r"[\p{L}\p{N}]+"
 MARKED = r"[\p{L}\p{N}\x01]+"   # a word, or what touches a span cut out
-MIN_TEXTS = 3
+ERROR = 0.05                # chance of any pair by accident
 DISCLOSURE = 0.9
 TERMS_BROADCAST = 100_000
+COPIES_BROADCAST = 1_000_000
 NO_SPANS = "array<struct<s:int,k:int,e:int>>"
 
 
@@ -119,37 +126,65 @@ def _outside(text: Column, base: Column) -> Column:
 
 
 def _entities(text: Column, base: Column) -> Column:
-    """The distinct protected entities of the spans of a text."""
-    return F.array_distinct(F.transform(base, lambda x: F.lower(F.substring(text, x["s"] + 1, x["e"] - x["s"]))))
+    """The distinct protected entities of the spans of a text: values and their groups."""
+    def of(x: Column) -> Column:
+        value = F.lower(F.substring(text, x["s"] + 1, x["e"] - x["s"]))
+        kind, digits = F.element_at(F.array(*[F.lit(k) for k in KINDS]), x["k"] + 1), _digits(value)
+        parts = {"email": [F.substring_index(value, "@", -1)],
+                 "ip": [F.substring_index(value, ".", 2), F.substring_index(value, ".", 3)],
+                 "card": [F.substring(digits, 1, 6)], "phone": [F.substring(digits, 1, 4), F.substring(digits, 1, 7)]}
+        groups = F.array().cast("array<string>")
+        for k, group in parts.items():
+            groups = F.when(kind == k, F.array(*[F.concat_ws(" ", F.lit(f"{k}{i}"), g) for i, g in enumerate(group)])).otherwise(groups)
+        return F.concat(F.array(value, F.concat(F.lit("kind "), kind)), groups)
+
+    return F.array_distinct(F.flatten(F.transform(base, of)))
+
+
+def _likelihood(n: float, n_te: Column, n_t: Column, n_e: Column) -> Column:
+    """Log-likelihood ratio (nats) of dependence against independence."""
+    def cell(o: Column, row: Column, col: Column) -> Column:
+        return F.when(o > 0, o * F.log(o * F.lit(n) / (row.cast("double") * col))).otherwise(0.0)
+
+    return (cell(n_te, n_t, n_e) + cell(n_t - n_te, n_t, n - n_e) + cell(n_e - n_te, n - n_t, n_e)
+            + cell(n - n_t - n_e + n_te, n - n_t, n - n_e))
 
 
 def disclosing_terms(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSURE,
-                     min_texts: int = MIN_TEXTS) -> tuple[DataFrame, DataFrame]:
+                     error: float = ERROR) -> tuple[DataFrame, DataFrame]:
     """(terms, where): every word that discloses an entity, with its
     disclosure; and the rows (doc_id, th, term) of the documents that hold it.
     ``docs`` is (doc_id, text, th), th the hash of the text."""
-    texts = persist(spark, docs.groupBy("th").agg(F.count(F.lit(1)).alias("copies")), "texts")
+    # Of copies of a text the rows with the least doc_id stand for it; same is their number.
+    texts = docs.groupBy("th", "doc_id").agg(F.count(F.lit(1)).alias("same"))
+    texts = texts.groupBy("th").agg(F.min(F.struct("doc_id", "same")).alias("first"), F.sum("same").alias("copies"))
+    texts = persist(spark, texts, "texts")
     n = float(texts.count())
     worded = base_spans(docs).withColumn("words", _outside(F.col("text"), F.col("base")))
     own = persist(spark, worded.where(F.size("base") > 0)
                   .select("th", _entities(F.col("text"), F.col("base")).alias("entities"), "words").dropDuplicates(["th"]), "entity-texts")
     n_e = own.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    # An entity of fewer texts has no word in min_texts of them.
-    n_e = persist(spark, n_e.where(F.col("n_e") >= min_texts), "entities")
+    tested = own.agg(F.sum(F.size("entities").cast("long") * F.size("words"))).first()[0] or 1
+    least = math.log(tested / error)
+    # Bounds, nothing is lost: no pair is likelier than n_te = n_t = n_e, nor, once n_te is known, than n_t = n_te.
+    n_e = persist(spark, n_e.where(_likelihood(n, F.col("n_e"), F.col("n_e"), F.col("n_e")) >= least), "entities")
     held = own.select(F.explode("entities").alias("entity"), "words").join(small_side(n_e, TERMS_BROADCAST).select("entity"), "entity")
     joint = (held.select("entity", F.explode("words").alias("term")).groupBy("entity", "term")
-             .agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= min_texts))
-    joint = persist(spark, joint.join(n_e, "entity"), "entity-terms")
+             .agg(F.count(F.lit(1)).alias("n_te")).join(n_e, "entity")
+             .where(_likelihood(n, F.col("n_te"), F.col("n_te"), F.col("n_e")) >= least))
+    joint = persist(spark, joint, "entity-terms")
     candidates = persist(spark, joint.select("term").distinct(), "candidate-terms")
-    # Texts of one document are counted before the shuffle, copies by their hash.
-    copied = persist(spark, texts.where("copies > 1").select("th", F.col("th").alias("copy")), "copied-texts")
-    words = (worded.select("th", "words").join(small_side(copied, TERMS_BROADCAST), "th", "left")
-             .select("copy", F.explode("words").alias("term")))
-    n_t = (words.join(small_side(candidates, TERMS_BROADCAST), "term").groupBy("term", "copy").agg(F.count(F.lit(1)).alias("n"))
-           .groupBy("term").agg(F.sum(F.when(F.col("copy").isNull(), F.col("n")).otherwise(1)).alias("n_t")))
+    copied = persist(spark, texts.where("copies > 1").select("th", F.col("first.doc_id").alias("stands"), "first.same"), "copied-texts")
+    words = (worded.select("doc_id", "th", "words").join(small_side(copied, COPIES_BROADCAST), "th", "left")
+             .where(F.col("same").isNull() | F.col("doc_id").eqNullSafe(F.col("stands")))
+             .select(F.coalesce("same", F.lit(1)).alias("same"), F.explode("words").alias("term")))
+    n_t = (words.groupBy("term", "same").agg(F.count(F.lit(1)).alias("n"))    # before the shuffle a row a word
+           .groupBy("term").agg(F.sum(F.expr("n div same")).alias("n_t"))
+           .join(small_side(candidates, TERMS_BROADCAST), "term"))
     ic = F.log(F.lit(n) / F.col("n_e"))
     ratio = F.log(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / ic
-    terms = (joint.join(n_t, "term").withColumn("disclosure", F.when(ic > 0, ratio))
+    terms = (joint.join(n_t, "term").where(_likelihood(n, F.col("n_te"), F.col("n_t"), F.col("n_e")) >= least)
+             .withColumn("disclosure", F.when(ic > 0, ratio))
              .groupBy("term").agg(F.max("disclosure").alias("disclosure")).where(F.col("disclosure") >= disclosure))
     terms = persist(spark, terms, "disclosing-terms")
     every = docs.select("doc_id", "th", F.explode(F.array_distinct(
@@ -158,7 +193,7 @@ def disclosing_terms(spark: SparkSession, docs: DataFrame, disclosure: float = D
 
 
 def find_personal_data(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSURE,
-                       min_texts: int = MIN_TEXTS) -> DataFrame:
+                       error: float = ERROR) -> DataFrame:
     """``docs`` with text (null: empty), sp_<kind>, base and spans, the base
     spans and those of disclosing words; columns of ``docs`` with these names
     are replaced."""
@@ -166,7 +201,7 @@ def find_personal_data(spark: SparkSession, docs: DataFrame, disclosure: float =
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made and c != "text"],
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))
-    _, where = disclosing_terms(spark, rows.select("doc_id", "text", "th"), disclosure, min_texts)
+    _, where = disclosing_terms(spark, rows.select("doc_id", "text", "th"), disclosure, error)
     by_doc = persist(spark, where.groupBy(F.col("doc_id").alias("d_id"), F.col("th").alias("d_th"))
                      .agg(F.collect_set("term").alias("terms")), "document-terms")
     out = rows.join(small_side(by_doc, TERMS_BROADCAST),

@@ -192,6 +192,13 @@ def test_terms_of_whole_texts(spark):
     assert _terms(spark, data) == {w: 28 for w in ("dear", "quastor", "li", "77812")}
 
 
+def test_terms_of_pooled_values(spark):
+    """Every address occurs in one text only; the domain and the kind tell."""
+    data = _far_texts(12, lambda i: f"p{i}.q{i}@x.example.org seen{i}")
+    assert _terms(spark, data) == {w: 12 for w in ("dear", "quastor", "li", "77812")}
+    assert not _terms(spark, data[:301])    # one text shows nothing
+
+
 def test_pipeline_stages_one_by_one(spark, tmp_path):
     import corpus_pipeline as P
     from starweave.llm import simhash
