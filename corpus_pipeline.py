@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starweave.llm import packing, personal_data, simhash, suffix_dedup, toxicity
 from starweave.llm.common import persist, small_side, table, workers_import
+from starweave.llm.components import components
 
 ORACLE_SQL = None   # a classifier and fingerprints are not SQL: tested against brute force
 
@@ -49,20 +50,26 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest doc_id;
-    of rows with that doc_id, the one with the least text hash.  Rows without
-    a doc_id stay."""
+    """One row of each SimHash group: the one with the smallest doc_id; of
+    rows with that doc_id, the one with the least text hash.  Groups are of
+    fingerprints, so rows that only share a doc_id stay.  Rows without a
+    doc_id stay."""
     workers_import(spark)
-    groups = persist(spark, simhash.near_duplicates(spark, docs, simhash.SHINGLE, simhash.MAX_BITS), "groups")
-    copies = persist(spark, groups.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    rows = slim(docs).join(small_side(copies, DUPLICATES_BROADCAST), "doc_id", "left_anti")
-    repeated = persist(spark, groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
-                       "repeated-ids")
+    rows = slim(docs).withColumn("th", F.xxhash64("text"))
+    keyed = persist(spark, simhash.keyed_fingerprints(rows).where("doc_id is not null"), "fingerprints")
+    firsts = keyed.groupBy("fp").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    firsts = persist(spark, firsts.withColumn("node", F.col("fp")), "classes")
+    roots = components(spark, simhash.links(spark, firsts.select("fp", "node"), simhash.MAX_BITS))
+    kept = (firsts.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
+            .select("first.doc_id", "first.th"))
+    copies = persist(spark, keyed.select("doc_id", "th").distinct().join(kept, ["doc_id", "th"], "left_anti"), "copies")
+    rows = rows.join(small_side(copies, DUPLICATES_BROADCAST), ["doc_id", "th"], "left_anti")
+    repeated = persist(spark, keyed.groupBy("doc_id", "th").count().where("count > 1").select("doc_id", "th"), "repeated-rows")
     if not repeated.isEmpty():
         few = small_side(repeated, DUPLICATES_BROADCAST)
-        first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        one = (rows.join(few, "doc_id", "left_semi").withColumn("r", F.row_number().over(first)).where("r = 1").drop("r"))
-        rows = rows.join(few, "doc_id", "left_anti").unionByName(one)
+        first = Window.partitionBy("doc_id", "th").orderBy(F.xxhash64("text"))
+        one = (rows.join(few, ["doc_id", "th"], "left_semi").withColumn("r", F.row_number().over(first)).where("r = 1").drop("r"))
+        rows = rows.join(few, ["doc_id", "th"], "left_anti").unionByName(one)
     return widen(rows, docs)
 
 

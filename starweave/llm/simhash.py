@@ -65,8 +65,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(b.num_columns - 1)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fps.view(np.int64))], names=[*b.schema.names[:-1], "fp"])
 
     return run
 
@@ -324,6 +324,11 @@ def _ball(max_bits: int):
     return run
 
 
+def keyed_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, th, fp) of (doc_id, th, text): rows told apart by the hash of their text."""
+    return docs.select("doc_id", "th", "text").mapInArrow(_fingerprints(shingle), "doc_id long, th long, fp long")
+
+
 def links(spark: SparkSession, classes: DataFrame, max_bits: int = MAX_BITS,
           group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Edges (u, v) between class representatives, spanning the components of

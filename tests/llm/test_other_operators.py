@@ -230,6 +230,18 @@ def test_pipeline_stages_one_by_one(spark, tmp_path):
         assert stage(spark, nothing, d).count() == 0
 
 
+def test_rows_of_one_doc_id_are_told_apart(spark):
+    """A clashing id: only the row of the other group's text goes."""
+    import corpus_pipeline as P
+
+    r = random.Random(9)
+    a, b, c = (" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(3))
+    data = [(1, a, "en", "s", 1), (7, a, "en", "s", 1), (7, b, "en", "s", 1), (7, c, "en", "s", 1), (7, c, "en", "s", 1),
+            (9, b, "en", "s", 1), (None, a, "en", "s", 1)]
+    left = [(x["doc_id"], x["text"]) for x in P.near_duplicate(spark, docs(spark, data), "").collect()]
+    assert Counter(left) == Counter([(1, a), (7, b), (7, c), (None, a)])
+
+
 def test_registered_names():
     import __spark_entry__ as E
 
