@@ -9,8 +9,8 @@ n_t the word (outside base spans) and n_te both, anywhere in the text, the discl
 PMI / IC = log(N n_te / (n_t n_e)) / log(N / n_e), 1 when the word never occurs
 without the entity.  Every co-occurrence is counted, once is enough; a pair
 counts as more than chance when its log-likelihood ratio reaches log(T / ERROR),
-T being the number of (text, entity, word) tested (a Bonferroni bound on all of
-them).  Words of such pairs whose disclosure reaches ``DISCLOSURE`` are spans as
+T being the number of entities times that of words (a Bonferroni bound on all
+pairs that could have met).  Words of such pairs whose disclosure reaches ``DISCLOSURE`` are spans as
 well (kind term) wherever they occur.  ``sanitise`` generalises every span to its
 kind.  All of it is DataFrame operations on the JVM.
 
@@ -163,9 +163,16 @@ def disclosing_terms(spark: SparkSession, docs: DataFrame, disclosure: float = D
     worded = base_spans(docs).withColumn("words", _outside(F.col("text"), F.col("base")))
     own = persist(spark, worded.where(F.size("base") > 0)
                   .select("th", _entities(F.col("text"), F.col("base")).alias("entities"), "words").dropDuplicates(["th"]), "entity-texts")
+    copied = persist(spark, texts.where("copies > 1").select("th", F.col("first.doc_id").alias("stands"), "first.same"), "copied-texts")
+    words = (worded.select("doc_id", "th", "words").join(small_side(copied, COPIES_BROADCAST), "th", "left")
+             .where(F.col("same").isNull() | F.col("doc_id").eqNullSafe(F.col("stands")))
+             .select(F.coalesce("same", F.lit(1)).alias("same"), F.explode("words").alias("term")))
+    n_t = (words.groupBy("term", "same").agg(F.count(F.lit(1)).alias("n"))    # before the shuffle a row a word
+           .groupBy("term").agg(F.sum(F.expr("n div same")).alias("n_t")))
+    n_t = persist(spark, n_t, "words")
     n_e = own.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    tested = own.agg(F.sum(F.size("entities").cast("long") * F.size("words"))).first()[0] or 1
-    least = math.log(tested / error)
+    n_e = persist(spark, n_e, "entity-counts")
+    least = math.log(max(n_e.count() * n_t.count(), 1) / error)
     # Bounds, nothing is lost: no pair is likelier than n_te = n_t = n_e, nor, once n_te is known, than n_t = n_te.
     n_e = persist(spark, n_e.where(_likelihood(n, F.col("n_e"), F.col("n_e"), F.col("n_e")) >= least), "entities")
     held = own.select(F.explode("entities").alias("entity"), "words").join(small_side(n_e, TERMS_BROADCAST).select("entity"), "entity")
@@ -173,14 +180,6 @@ def disclosing_terms(spark: SparkSession, docs: DataFrame, disclosure: float = D
              .agg(F.count(F.lit(1)).alias("n_te")).join(n_e, "entity")
              .where(_likelihood(n, F.col("n_te"), F.col("n_te"), F.col("n_e")) >= least))
     joint = persist(spark, joint, "entity-terms")
-    candidates = persist(spark, joint.select("term").distinct(), "candidate-terms")
-    copied = persist(spark, texts.where("copies > 1").select("th", F.col("first.doc_id").alias("stands"), "first.same"), "copied-texts")
-    words = (worded.select("doc_id", "th", "words").join(small_side(copied, COPIES_BROADCAST), "th", "left")
-             .where(F.col("same").isNull() | F.col("doc_id").eqNullSafe(F.col("stands")))
-             .select(F.coalesce("same", F.lit(1)).alias("same"), F.explode("words").alias("term")))
-    n_t = (words.groupBy("term", "same").agg(F.count(F.lit(1)).alias("n"))    # before the shuffle a row a word
-           .groupBy("term").agg(F.sum(F.expr("n div same")).alias("n_t"))
-           .join(small_side(candidates, TERMS_BROADCAST), "term"))
     ic = F.log(F.lit(n) / F.col("n_e"))
     ratio = F.log(F.lit(n) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / ic
     terms = (joint.join(n_t, "term").where(_likelihood(n, F.col("n_te"), F.col("n_t"), F.col("n_e")) >= least)
