@@ -352,4 +352,4 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(spark, table(spark, sf_dir, "documents"))
+    return encode_documents(spark, table(spark, sf_dir, "documents"), lattice=True)

@@ -199,6 +199,14 @@ def test_subwords_equal_the_library(spark, lattice):
     assert all(texts[i] == (t or "").replace("▁", " ") for i, t, *_ in data)
 
 
+def test_the_query_runs_the_lattice(spark, monkeypatch, tmp_path):
+    docs(spark).limit(8).write.parquet(str(tmp_path / "documents.parquet"))
+    joined = []
+    plain = subwords.edges
+    monkeypatch.setattr(subwords, "edges", lambda *a, **b: joined.append(1) or plain(*a, **b))
+    assert subwords.op10_sentencepiece(spark, str(tmp_path)).count() == 8 and joined
+
+
 def test_viterbi_fold(spark):
     score = {"a": -1.0, "b": -1.5, "ab": -1.2, "ba": -0.4, "aba": -3.0, "c": -2.0}
     words = ["abab", "abac", "bbaab", "a", "zab"]
