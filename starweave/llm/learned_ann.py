@@ -32,6 +32,7 @@ NEIGHBOURS = 20
 SAMPLE = 8192               # vectors that reach the driver to learn the parts
 GRAPH_DEGREE = 50
 PART_ROWS = 8_000           # entries aimed at in a part
+MIN_PARTS = 8               # of tables whose sample has 64 rows for each of them
 MAX_PARTS = 256             # bounded by the sample, which must fill every part
 TARGET_RECALL = 0.93        # of held-back sample rows; sets the number of probed parts
 HELD_BACK = 8               # every eighth sampled row
@@ -147,6 +148,8 @@ def learn(x: np.ndarray, entries: int) -> tuple[Router, int]:
     the number of parts to probe: the least that finds ``TARGET_RECALL`` of
     the nearest rows of sampled vectors held back from the training."""
     parts = 1
+    while parts < MIN_PARTS and parts * 128 <= len(x):    # 64 sampled rows a part
+        parts *= 2
     while parts * PART_ROWS < entries and parts < MAX_PARTS and parts * 64 <= len(x):
         parts *= 2
     if parts == 1:

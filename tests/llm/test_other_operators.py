@@ -93,6 +93,12 @@ def test_learned_parts_reach_recall(spark):
     assert len(router.b2) == 8 and probes < 8 and np.bincount(part, minlength=8).min() > 0
 
 
+def test_small_tables_are_routed():
+    x = np.random.default_rng(2).normal(size=(500, 16))
+    router, probes = learned_ann.learn(x, 500)
+    assert len(router.b2) == 4 and 1 <= probes <= 4 and np.bincount(router.logits(x).argmax(1), minlength=4).min() > 0
+
+
 def test_balanced_parts():
     r = np.random.default_rng(1)
     x = r.normal(size=(256, 8))
