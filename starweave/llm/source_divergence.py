@@ -187,20 +187,21 @@ def top_terms(counts: np.ndarray, p: np.ndarray, q: np.ndarray, top: int) -> Ite
 def _price_block(top: int):
     def run(key, rows):
         lang, _, a_block, b_block = [k.as_py() for k in key]
-        col = {c: rows.column(c) for c in ("source", "blk", "term", "n", "all_n", "total", "kept", "lang_total")}
-        heads = rows.filter(pc.is_null(col["term"])).select(["source", "blk", "total", "kept", "lang_total"])
+        no_term = pc.is_null(rows.column("term"))
+        heads = rows.filter(no_term).select(["source", "blk", "total", "kept", "lang_total", "here"])
         heads = heads.sort_by("source").to_pydict()
         names = heads["source"]
         total, kept = np.array(heads["total"], np.int64), np.array(heads["kept"], np.int64)
-        body = rows.filter(pc.is_valid(col["term"]))
+        body = rows.filter(pc.invert(no_term))
         terms = sorted(set(body.column("term").unique().to_pylist()))       # code points: UTF-8 order
         term_at = {t: i for i, t in enumerate(terms)}
         source_at = {s: i for i, s in enumerate(names)}
         t = np.array([term_at[x] for x in body.column("term").to_pylist()], np.int64)
         s = np.array([source_at[x] for x in body.column("source").to_pylist()], np.int64)
-        counts = np.zeros((len(names), len(terms)), np.int64)
+        places = max(heads["here"])          # kept terms of the shard, those of other blocks too
+        counts = np.zeros((len(names), places), np.int64)
         counts[s, t] = body.column("n").to_numpy()
-        lang_n = np.zeros(len(terms), np.int64)
+        lang_n = np.zeros(places, np.int64)
         lang_n[t] = body.column("all_n").to_numpy()
         out = {"source": [], "part": [], "item": [], "value": []}
 
@@ -260,13 +261,15 @@ def divergence(spark: SparkSession, docs: DataFrame, min_docs: int = MIN_DOCS, t
               .na.fill(0, ["total"]).join(langs, "lang")
               .withColumn("blk", F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int")))
     every = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
-    heads = groups.withColumn("shard", every).select(
+    shard = F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard")
+    filled = (vocabulary.join(langs.select("lang", "shards"), "lang").groupBy("lang", shard)
+              .agg(F.count(F.lit(1)).alias("here")))
+    heads = groups.withColumn("shard", every).join(filled, ["lang", "shard"], "left").na.fill(0, ["here"]).select(
         "lang", "shard", "blk", "blocks", "source", F.lit(None).cast("string").alias("term"),
-        F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("all_n"), "total", "kept", "lang_total")
+        F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("all_n"), "total", "kept", "lang_total", "here")
     rows = kept.join(langs.select("lang", "shards", "blocks"), "lang").select(
-        "lang", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard"),
-        F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int").alias("blk"), "blocks", "source", "term", "n", "all_n",
-        *[F.lit(0).cast("long").alias(c) for c in ("total", "kept", "lang_total")])
+        "lang", shard, F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int").alias("blk"), "blocks", "source", "term",
+        "n", "all_n", *[F.lit(0).cast("long").alias(c) for c in ("total", "kept", "lang_total", "here")])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (heads.unionByName(rows).withColumn("other", other)
              .withColumn("a_blk", F.least("blk", "other")).withColumn("b_blk", F.greatest("blk", "other"))

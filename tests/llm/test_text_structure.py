@@ -44,8 +44,8 @@ def test_main_text_of_one_page():
     assert get("<article><header><h1>Head</h1></header><p>p</p><button>no<div>no</button></article>") == "Head p"
     assert get("<article></article>") == ""
     assert host_consensus.extract(None, []) == host_consensus.extract("", []) == ""
-    assert host_consensus.extract("just text & more <", []) == ""          # no container: nothing is main text
-    assert host_consensus.extract("<p>cut <b>off</b> <a href='x", []) == ""
+    assert host_consensus.extract("just text & more <", []) == "just text & more <"      # the root is a container
+    assert host_consensus.extract("<nav>menu</nav><p>cut <b>off</b> <a href='x", []) == "cut off"
     assert host_consensus.extract("<div><p>cut <b>off</b> <a href='x", []) == "cut off"
 
 
