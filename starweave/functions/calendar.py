@@ -70,6 +70,12 @@ def calendar(spark: SparkSession, start="2025-01-01", days: int | None = 730,
     return out.withColumn("full_date", F.col("full_date").cast("date"))
 
 
+def calendar_span(start="2025-01-01", days: int | None = 730, end=None) -> tuple[dt.date, dt.date]:
+    """First and last day of ``calendar(...)``."""
+    s = _as_date(start)
+    return s, s + dt.timedelta(calendar_rows(start, days, end) - 1)
+
+
 def calendar_rows(start="2025-01-01", days: int | None = 730, end=None) -> int:
     """Exact row count of ``calendar(...)``: the proven size bound."""
     s = _as_date(start)

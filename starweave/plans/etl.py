@@ -16,20 +16,24 @@ line k times.  ``promo_policy`` selects
 
 from __future__ import annotations
 
+import datetime as dt
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import calendar, calendar_rows
+from ..functions.calendar import calendar, calendar_rows, calendar_span
 from ..functions.keys import surrogate_key
 from ..functions.labels import age_group
+from ..operators.asof import as_of_join, version_intervals
+from ..operators.scd2 import scd2_merge
 from ..sources.schemas import NO_PROMO, PAYMENT_TYPES
 from .star import FACT_PARTITION, Star
 
 MONEY = T.DecimalType(15, 2)
 SUCCESS = "Success"
+CAMPAIGN_TRACKED = ("campaign_name", "campaign_type", "channel", "target_segment")   # a change opens a version (S12)
 
 
 # ------------------------------------------------------------------ dimensions
@@ -76,6 +80,13 @@ def dim_promotion(spark: SparkSession, campaigns: DataFrame) -> DataFrame:
     return d.select(F.xxhash64("campaign_id", "effective_date").alias("promotion_key"), *d.columns)
 
 
+def next_promotions(current: DataFrame, campaigns: DataFrame, load_date) -> DataFrame:
+    """The versioned promotion dimension after a further load: changed
+    campaigns close their version and open one on the load date, new campaigns
+    open theirs, others (the sentinel among them) stay as they are."""
+    return scd2_merge(current, campaigns, "campaign_id", CAMPAIGN_TRACKED, load_date)
+
+
 def dim_payment_method(spark: SparkSession) -> DataFrame:
     """The inline five-row payment map."""
     return spark.createDataFrame([(i + 1, m, t) for i, (m, t) in enumerate(PAYMENT_TYPES)],
@@ -139,17 +150,20 @@ def _split(x: DataFrame, col: str, scale: int) -> F.Column:
     return F.when(i == 1, (F.col(col) - part * (k - 1)).cast(MONEY)).otherwise(part)
 
 
-def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_policy: str = "fanout") -> DataFrame:
+def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_policy: str = "fanout",
+         span: tuple | None = None) -> DataFrame:
     """J3 + P4: surrogate-key lookups (inner: unmatched lines are reported by
     ``quality.fact_orphans`` instead) and the five measures.  Date, payment,
     customer and store belong to the header and are looked up there, before
-    the lines and the promotion fan-out multiply the rows."""
+    the lines and the promotion fan-out multiply the rows.  A sale gets the
+    version of its campaign that was in force on its day (S5, S12); ``span``
+    are the first and last day of the calendar, read from it if not given."""
+    first, last = span or dims["time"].agg(F.min("full_date"), F.max("full_date")).first()
     look = {
         "time": (dims["time"].select("time_key", F.col("full_date").alias("transaction_date")), "transaction_date"),
         "customer": (dims["customer"].select("customer_key", "customer_id"), "customer_id"),
         "store": (dims["store"].select("store_key", "store_id"), "store_id"),
         "supplier": (dims["supplier"].select("supplier_key", "supplier_id"), "supplier_id"),
-        "promotion": (dims["promotion"].filter("is_current").select("promotion_key", "campaign_id"), "campaign_id"),
         "payment": (dims["payment"].select("payment_key", "payment_method"), "payment_method"),
     }
     trx = headers(src)
@@ -162,8 +176,10 @@ def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_poli
     # The product key is a function of product_id and the lines were already
     # joined to the products table, so no second product lookup (no shuffle).
     df = df.withColumn("product_key", surrogate_key(df, "product_id"))
-    for name in ("supplier", "promotion"):
-        df = df.join(look[name][0], look[name][1], "inner")
+    df = df.join(look["supplier"][0], look["supplier"][1], "inner")
+    versions = dims["promotion"].select("promotion_key", "campaign_id", "effective_date")
+    df = as_of_join(df, version_intervals(versions, "campaign_id", first=first, last=last),
+                    "campaign_id", "transaction_date", ["promotion_key"])
 
     qty = F.col("quantity")
     measures = {
@@ -190,9 +206,13 @@ def sale_dates(src: Mapping[str, DataFrame]) -> tuple:
 
 
 def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start=None,
-               calendar_days: int | None = 730, calendar_end=None, promo_policy: str = "fanout") -> Star:
+               calendar_days: int | None = 730, calendar_end=None, promo_policy: str = "fanout",
+               promotions: DataFrame | None = None) -> Star:
     """The whole load (lazy): dimensions, then the fact over them.
 
+    ``promotions`` is a promotion dimension with history (``next_promotions``);
+    without it every campaign has one version, the row of the source.
+
     The calendar covers all sales unless ``calendar_start`` is given; sales
     outside a given range are dropped and listed by ``quality.fact_orphans``."""
     if calendar_start is None:
@@ -202,30 +222,56 @@ def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start
         else:
             calendar_start = "2025-01-01"
     dims = dimensions(spark, src, calendar_start, calendar_days, calendar_end)
+    if promotions is not None:
+        dims["promotion"] = promotions
     bounds = {"time": calendar_rows(calendar_start, calendar_days, calendar_end),
               "payment": len(PAYMENT_TYPES)}
     # date, store, customer and payment come from the transaction header; the
     # campaign is single-valued only when one campaign is kept per transaction
     trx_level = {"time", "customer", "store", "payment"} | ({"promotion"} if promo_policy == "first" else set())
-    return Star(fact(src, dims, promo_policy), dims, bounds, trx_level=frozenset(trx_level))
+    span = calendar_span(calendar_start, calendar_days, calendar_end)
+    return Star(fact(src, dims, promo_policy, span), dims, bounds, trx_level=frozenset(trx_level))
 
 
 def load_warehouse(spark: SparkSession, src: Mapping[str, DataFrame], out: str | None = None,
                    params=None, promo_policy: str = "fanout", publish: str | None = None,
+                   previous: str | None = None, load_date=None, incremental: bool = True,
                    **calendar) -> tuple[Star, list, dict]:
     """The whole job of the reference's daily run (S15): build the star,
     write every table to a fresh folder (switch only when all are written,
     T15), refresh the five summaries with a status each (S14), optionally
     publish them as catalog tables of database ``publish``, and return the
-    load counts (Q12)."""
+    load counts (Q12).
+
+    With ``previous``, the folder of the last load, the promotion dimension
+    keeps its history: campaigns that changed since open a version on
+    ``load_date`` (today if not given).  Where that load left its digests, only
+    the transactions that changed are built again and the summaries take the
+    difference; ``incremental=False`` builds everything anew."""
     from .catalogue import RETAIL
+    from .incremental import advance, can_advance, write_digests
     from .materialize import load_manifest, read_star, write_star
     from .summaries import publish_summaries, refresh_summaries
-
-    path = write_star(build_star(spark, src, promo_policy=promo_policy, **calendar), spark, out)
-    star = read_star(spark, path)
-    star.location = path
-    statuses = refresh_summaries(star, spark, params or RETAIL, root=f"{path}/summaries")
+    from .summary_state import advance_summaries, write_states
+
+    params = params or RETAIL
+    if previous and incremental and can_advance(spark, previous, promo_policy):
+        step = advance(spark, src, previous, load_date, out, promo_policy, **calendar)
+        star, path = step.star, step.star.location
+        statuses = advance_summaries(step, spark, params)
+    else:
+        if previous:
+            calendar["promotions"] = next_promotions(read_star(spark, previous).dims["promotion"],
+                                                     src["marketing_campaigns"], day_of_load(load_date))
+        path = write_star(build_star(spark, src, promo_policy=promo_policy, **calendar), spark, out, promo_policy)
+        write_digests(spark, src, path)
+        star = read_star(spark, path)
+        statuses = refresh_summaries(star, spark, params, root=f"{path}/summaries")
+        write_states(star, spark, params, path)
     if publish:  # switch the dashboard tables to this run's summaries
         publish_summaries(spark, statuses, publish)
     return star, statuses, load_manifest(spark, path)
+
+
+def day_of_load(load_date=None) -> str:
+    return str(load_date or dt.date.today())

@@ -42,8 +42,8 @@ def _size_metrics(df: DataFrame) -> list:
             (F.count(F.lit(1)) * (fixed + 8) + F.coalesce(F.sum(text), F.lit(0))).alias("bytes")]
 
 
-def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
-    path = path or new_table_path(spark, "star")
+def write_dimensions(star: Star, path: str) -> tuple[dict[str, int], dict[str, int]]:
+    """Write the seven dimensions; their row counts and byte bounds."""
     counts: dict[str, int] = {}
     sizes: dict[str, int] = {}
     for dim, (table, _) in DIMENSIONS.items():
@@ -53,7 +53,11 @@ def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
         obs = Observation(table)
         df.observe(obs, *_size_metrics(df)).write.mode("overwrite").parquet(f"{path}/{table}")
         counts[table], sizes[table] = obs.get["rows"], obs.get["bytes"]
-    f = star.fact
+    return counts, sizes
+
+
+def write_fact(fact: DataFrame, path: str) -> int:
+    """Write the fact below ``path``; its row count."""
     obs = Observation("fact_sales")
     # REBALANCE by year before writing: each task then holds one year's rows
     # and writes one file (not one file per year per task); AQE splits a hot
@@ -62,21 +66,65 @@ def write_star(star: Star, spark: SparkSession, path: str | None = None) -> str:
     # whole fact-building join twice).  Sorting by time_key inside each task
     # keeps row groups narrow for min/max skipping.  The row count is
     # observed above the exchange.
-    if FACT_PARTITION in star.fact.columns:
+    partitioned = FACT_PARTITION in fact.columns
+    f = fact
+    if partitioned:
         f = f.hint("rebalance", FACT_PARTITION).sortWithinPartitions(FACT_PARTITION, "time_key")
     w = f.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if FACT_PARTITION in star.fact.columns:
+    if partitioned:
         w = w.partitionBy(FACT_PARTITION)
     w.parquet(f"{path}/fact_sales")
-    counts["fact_sales"] = obs.get["rows"]
+    return obs.get["rows"]
+
+
+def write_manifest(spark: SparkSession, path: str, counts: dict[str, int], sizes: dict[str, int],
+                   values: dict[str, str]) -> None:
     rows = [(t, n, sizes.get(t), None) for t, n in sorted(counts.items())]
-    rows.append(("trx_level", None, None, ",".join(sorted(star.trx_level))))
+    rows += [(k, None, None, v) for k, v in sorted(values.items())]
     (spark.createDataFrame(rows, "table string, rows long, bytes long, value string")
           .coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}"))
+
+
+def write_star(star: Star, spark: SparkSession, path: str | None = None, promo_policy: str | None = None) -> str:
+    path = path or new_table_path(spark, "star")
+    counts, sizes = write_dimensions(star, path)
+    counts["fact_sales"] = write_fact(star.fact, path)
+    values = {"trx_level": ",".join(sorted(star.trx_level))}
+    if promo_policy:
+        values["promo_policy"] = promo_policy
+    write_manifest(spark, path, counts, sizes, values)
     return path
 
 
-def _manifest_value(spark: SparkSession, path: str, key: str) -> str | None:
+# A fact that was advanced lies in several folders: each holds the years that
+# were last written there.  One manifest value per folder: "years|folder".
+PART = "fact_part:"
+
+
+def fact_parts(spark: SparkSession, path: str) -> list[tuple[str, list[int] | None]]:
+    """(folder, years read from it); None: all years."""
+    try:
+        rows = spark.read.parquet(f"{path}/{MANIFEST}").where(F.col("table").startswith(PART)).orderBy("table").collect()
+    except AnalysisException:
+        rows = []
+    parts = []
+    for r in rows:
+        years, folder = r["value"].split("|", 1)
+        parts.append((folder, [int(y) for y in years.split(",")]))
+    return parts or [(f"{path}/fact_sales", None)]
+
+
+def read_parts(spark: SparkSession, parts: list[tuple[str, list[int] | None]]) -> DataFrame:
+    """The fact of these folders; year filters prune in each of them."""
+    out = None
+    for folder, years in parts:
+        df = spark.read.parquet(folder)
+        df = df if years is None else df.where(F.col(FACT_PARTITION).isin(years))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def manifest_value(spark: SparkSession, path: str, key: str) -> str | None:
     try:
         rows = spark.read.parquet(f"{path}/{MANIFEST}").filter(F.col("table") == key).collect()
         return rows[0]["value"] if rows else None
@@ -100,8 +148,8 @@ def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None)
     sizes = load_manifest(spark, path, "bytes")
     bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
     byte_bounds = {dim: sizes.get(table) for dim, (table, _) in DIMENSIONS.items()}
-    fact = spark.read.parquet(f"{path}/fact_sales")
-    trx = _manifest_value(spark, path, "trx_level")
+    fact = read_parts(spark, fact_parts(spark, path))
+    trx = manifest_value(spark, path, "trx_level")
     star = Star(fact, dims, bounds, location=path, byte_bounds=byte_bounds,
                 trx_level=frozenset(t for t in (trx or "").split(",") if t))
     if broadcast_rows is not None:

@@ -27,7 +27,8 @@ SUMMARY_KEYS: dict[str, tuple[str, ...]] = {
     "mv_category_region": ("category", "region", "year", "quarter"),
     "mv_customer_segment": ("membership_level", "age_group", "gender", "year", "quarter"),
     "mv_store_performance": ("store_key", "year", "month"),
-    "mv_promotion_effectiveness": ("campaign_id",),
+    # one row per version of a campaign whose attributes differ
+    "mv_promotion_effectiveness": ("campaign_id", "campaign_name", "campaign_type", "channel", "target_segment"),
 }
 
 
