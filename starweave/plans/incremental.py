@@ -164,16 +164,17 @@ def advance(spark: SparkSession, src: Mapping[str, DataFrame], previous: str, lo
     ids = touched.select("transaction_id")
     if len(parts) >= MAX_PARTS:        # compaction: all years go into this load's folder
         years = sorted({r[0] for r in old.fact.select(FACT_PARTITION).distinct().collect()} | set(years))
-    held = {folder: [r[0] for r in spark.read.parquet(folder).select(FACT_PARTITION).distinct().collect()] if own is None else own
-            for folder, own in parts}
+    schema = old.fact.schema
+    held = {folder: [r[0] for r in read_parts(spark, [(folder, None)], schema).select(FACT_PARTITION).distinct().collect()]
+            if own is None else own for folder, own in parts}
     left = [(folder, [y for y in own if y not in years]) for folder, own in held.items()]
     left = [(folder, own) for folder, own in left if own]
 
     kept = old.fact.where(F.col(FACT_PARTITION).isin(years)).join(ids, "transaction_id", "left_anti")
     fresh = fact(restrict(src, ids), dims, promo_policy, span)
     rows = write_fact(kept.unionByName(fresh), path)
-    rows += read_parts(spark, left).count() if left else 0       # file footers
-    values = {"trx_level": ",".join(sorted(plan.trx_level)), "promo_policy": promo_policy}
+    rows += read_parts(spark, left, schema).count() if left else 0       # file footers
+    values = {"trx_level": ",".join(sorted(plan.trx_level)), "promo_policy": promo_policy, "fact_schema": schema.json()}
     here = [(f"{path}/fact_sales", years)] if years else []
     for i, (folder, own) in enumerate(left + here):
         values[f"fact_part:{i:04d}"] = f"{','.join(map(str, own))}|{folder}"

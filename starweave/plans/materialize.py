@@ -13,6 +13,8 @@ counts are the proven bounds ``Star.base`` uses to decide on broadcasting.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -89,7 +91,7 @@ def write_star(star: Star, spark: SparkSession, path: str | None = None, promo_p
     path = path or new_table_path(spark, "star")
     counts, sizes = write_dimensions(star, path)
     counts["fact_sales"] = write_fact(star.fact, path)
-    values = {"trx_level": ",".join(sorted(star.trx_level))}
+    values = {"trx_level": ",".join(sorted(star.trx_level)), "fact_schema": star.fact.schema.json()}
     if promo_policy:
         values["promo_policy"] = promo_policy
     write_manifest(spark, path, counts, sizes, values)
@@ -114,11 +116,19 @@ def fact_parts(spark: SparkSession, path: str) -> list[tuple[str, list[int] | No
     return parts or [(f"{path}/fact_sales", None)]
 
 
-def read_parts(spark: SparkSession, parts: list[tuple[str, list[int] | None]]) -> DataFrame:
+def fact_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema written beside the fact: a fact without rows has no file to
+    read it from."""
+    text = manifest_value(spark, path, "fact_schema")
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def read_parts(spark: SparkSession, parts: list[tuple[str, list[int] | None]], schema: T.StructType | None = None) -> DataFrame:
     """The fact of these folders; year filters prune in each of them."""
     out = None
     for folder, years in parts:
-        df = spark.read.parquet(folder)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        df = reader.parquet(folder)
         df = df if years is None else df.where(F.col(FACT_PARTITION).isin(years))
         out = df if out is None else out.unionByName(df)
     return out
@@ -148,7 +158,7 @@ def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None)
     sizes = load_manifest(spark, path, "bytes")
     bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
     byte_bounds = {dim: sizes.get(table) for dim, (table, _) in DIMENSIONS.items()}
-    fact = read_parts(spark, fact_parts(spark, path))
+    fact = read_parts(spark, fact_parts(spark, path), fact_schema(spark, path))
     trx = manifest_value(spark, path, "trx_level")
     star = Star(fact, dims, bounds, location=path, byte_bounds=byte_bounds,
                 trx_level=frozenset(t for t in (trx or "").split(",") if t))
