@@ -28,8 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.asof import as_of_join, version_intervals
 from ..session import new_table_path
 from .etl import build_star, day_of_load, fact, headers, next_promotions
-from .materialize import (fact_parts, load_manifest, manifest_value, read_parts, read_star, write_dimensions, write_fact,
-                          write_manifest)
+from .materialize import fact_parts, manifest_value, read_parts, read_star, write_dimensions, write_fact, write_manifest
 from .star import DIMENSIONS, FACT_PARTITION, Star
 
 DIGESTS = "_digests"
@@ -181,10 +180,3 @@ def advance(spark: SparkSession, src: Mapping[str, DataFrame], previous: str, lo
     write_manifest(spark, path, counts | {"fact_sales": rows}, sizes, values)
     return Step(read_star(spark, path), old, touched)
 
-
-def load_changes(step: Step) -> dict[str, int]:
-    """Transactions by kind of change."""
-    return {r["kind"]: r["n"] for r in step.touched.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-
-__all__ = ["Step", "advance", "can_advance", "load_changes", "load_manifest", "transaction_digests", "write_digests"]

@@ -26,6 +26,7 @@ from .star import DIMENSIONS, FACT_PARTITION, Star
 # Dimensions whose size is fixed by construction are written as one file.
 SINGLE_FILE = {"time", "payment"}
 MANIFEST = "_manifest"
+MANIFEST_SCHEMA = "table string, rows long, bytes long, value string"
 
 
 FIXED_WIDTH = {T.IntegerType: 4, T.LongType: 8, T.DoubleType: 8, T.DateType: 4, T.BooleanType: 1,
@@ -83,7 +84,7 @@ def write_manifest(spark: SparkSession, path: str, counts: dict[str, int], sizes
                    values: dict[str, str]) -> None:
     rows = [(t, n, sizes.get(t), None) for t, n in sorted(counts.items())]
     rows += [(k, None, None, v) for k, v in sorted(values.items())]
-    (spark.createDataFrame(rows, "table string, rows long, bytes long, value string")
+    (spark.createDataFrame(rows, MANIFEST_SCHEMA)
           .coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}"))
 
 
@@ -103,26 +104,16 @@ def write_star(star: Star, spark: SparkSession, path: str | None = None, promo_p
 PART = "fact_part:"
 
 
-def fact_parts(spark: SparkSession, path: str) -> list[tuple[str, list[int] | None]]:
+def fact_parts(spark: SparkSession, path: str, rows: list | None = None) -> list[tuple[str, list[int] | None]]:
     """(folder, years read from it); None: all years."""
-    try:
-        rows = spark.read.parquet(f"{path}/{MANIFEST}").where(F.col("table").startswith(PART)).orderBy("table").collect()
-    except AnalysisException:
-        rows = []
+    rows = manifest_rows(spark, path) if rows is None else rows
     parts = []
-    for r in rows:
+    for r in sorted((r for r in rows if r["table"].startswith(PART)), key=lambda r: r["table"]):
         years, folder = r["value"].split("|", 1)
         parts.append((folder, [int(y) for y in years.split(",")]))
     return parts or [(f"{path}/fact_sales", None)]
 
 
-def fact_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The schema written beside the fact: a fact without rows has no file to
-    read it from."""
-    text = manifest_value(spark, path, "fact_schema")
-    return T.StructType.fromJson(json.loads(text)) if text else None
-
-
 def read_parts(spark: SparkSession, parts: list[tuple[str, list[int] | None]], schema: T.StructType | None = None) -> DataFrame:
     """The fact of these folders; year filters prune in each of them."""
     out = None
@@ -134,34 +125,39 @@ def read_parts(spark: SparkSession, parts: list[tuple[str, list[int] | None]], s
     return out
 
 
-def manifest_value(spark: SparkSession, path: str, key: str) -> str | None:
+def manifest_rows(spark: SparkSession, path: str) -> list:
+    """The manifest, a few dozen rows; empty where a star has none."""
     try:
-        rows = spark.read.parquet(f"{path}/{MANIFEST}").filter(F.col("table") == key).collect()
-        return rows[0]["value"] if rows else None
+        return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/{MANIFEST}").collect()
     except AnalysisException:  # no manifest there; anything else raises
-        return None
+        return []
 
 
-def load_manifest(spark: SparkSession, path: str, what: str = "rows") -> dict[str, int]:
-    try:
-        return {r["table"]: r[what] for r in spark.read.parquet(f"{path}/{MANIFEST}").collect()
-                if r[what] is not None}
-    except AnalysisException:  # a star written without manifest: count the dimensions
-        if what != "rows":
-            return {}
-        return {t: spark.read.parquet(f"{path}/{t}").count() for t, _ in DIMENSIONS.values()}
+def manifest_value(spark: SparkSession, path: str, key: str) -> str | None:
+    return next((r["value"] for r in manifest_rows(spark, path) if r["table"] == key), None)
+
+
+def load_manifest(spark: SparkSession, path: str, what: str = "rows", rows: list | None = None) -> dict[str, int]:
+    rows = manifest_rows(spark, path) if rows is None else rows
+    if rows:
+        return {r["table"]: r[what] for r in rows if r[what] is not None}
+    if what != "rows":  # a star written without manifest: count the dimensions
+        return {}
+    return {t: spark.read.parquet(f"{path}/{t}").count() for t, _ in DIMENSIONS.values()}
 
 
 def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None) -> Star:
+    rows = manifest_rows(spark, path)
+    values = {r["table"]: r["value"] for r in rows if r["value"] is not None}
     dims = {dim: spark.read.parquet(f"{path}/{table}") for dim, (table, _) in DIMENSIONS.items()}
-    counts = load_manifest(spark, path)
-    sizes = load_manifest(spark, path, "bytes")
+    counts = load_manifest(spark, path, "rows", rows)
+    sizes = load_manifest(spark, path, "bytes", rows)
     bounds = {dim: counts.get(table) for dim, (table, _) in DIMENSIONS.items()}
     byte_bounds = {dim: sizes.get(table) for dim, (table, _) in DIMENSIONS.items()}
-    fact = read_parts(spark, fact_parts(spark, path), fact_schema(spark, path))
-    trx = manifest_value(spark, path, "trx_level")
-    star = Star(fact, dims, bounds, location=path, byte_bounds=byte_bounds,
-                trx_level=frozenset(t for t in (trx or "").split(",") if t))
+    # a fact without rows has no file to read its schema from
+    schema = T.StructType.fromJson(json.loads(values["fact_schema"])) if "fact_schema" in values else None
+    star = Star(read_parts(spark, fact_parts(spark, path, rows), schema), dims, bounds, location=path, byte_bounds=byte_bounds,
+                trx_level=frozenset(t for t in values.get("trx_level", "").split(",") if t))
     if broadcast_rows is not None:
         star.broadcast_rows = broadcast_rows
     return star

@@ -115,8 +115,8 @@ def finish(df: DataFrame, name: str) -> DataFrame:
     return edge(s.finish(df))
 
 
-def write_states(star: Star, spark: SparkSession, params: CatalogueParams, path: str) -> None:
-    for name in STATES:
+def write_states(star: Star, spark: SparkSession, params: CatalogueParams, path: str, names=tuple(STATES)) -> None:
+    for name in names:
         state(star, name, params).write.mode("overwrite").parquet(f"{path}/{STATE}/{name}")
 
 

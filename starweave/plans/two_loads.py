@@ -4,8 +4,8 @@ The first load sees the tables as they stood on ``CHANGE``: later orders are
 not there, orders not yet wholly shipped are pending, returned ones still
 successful, and the campaign names carry the orders counted so far.  The second
 load sees the tables as given; it keys sales to the campaign version of their
-day, builds only the transactions that changed and refreshes the five summaries
-from the difference.  Both loads are written once per application and folder.
+day, builds only the transactions that changed and refreshes a summary from the
+difference.  Both loads are written once per application and folder.
 """
 
 from __future__ import annotations
@@ -22,14 +22,17 @@ from ..session import app_id, new_table_path
 from ..sources.retail_tpch import campaign_id, campaigns, discounts, retail_from_tpch
 from ..sources.tpch import read_tpch
 from .catalogue import TESTDATA, edge
-from .etl import load_warehouse
+from .etl import build_star
+from .incremental import Step, advance, write_digests
 from .load_checks import MEASURES, RAW
-from .star import Star
+from .materialize import write_star
 from .summaries import SUMMARY_KEYS, read_summary
+from .summary_state import advance_summaries, write_states
 
 CHANGE = "2000-01-01"
 PENDING = "Pending"
-_DONE: dict[tuple[str, str], tuple[Star, dict]] = {}
+POLICY = "fanout"
+_DONE: dict[tuple[str, str], Step] = {}
 _LOCK = threading.Lock()
 
 
@@ -69,44 +72,44 @@ def as_of_day(spark: SparkSession, sf_dir: str, src: dict[str, DataFrame], day:
     return {"sales_transactions": then, "marketing_campaigns": counted_campaigns(tables, day)}
 
 
-def two_loads(spark: SparkSession, sf_dir: str) -> tuple[Star, dict]:
-    """The star after both loads and the refresh statuses by summary."""
+def two_loads(spark: SparkSession, sf_dir: str) -> Step:
+    """The star of the first load and the one advanced from it."""
     key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         if key not in _DONE:
             now = landed(spark, retail_from_tpch(spark, sf_dir) | {
                 "marketing_campaigns": counted_campaigns(read_tpch(spark, sf_dir))})
             then = now | landed(spark, as_of_day(spark, sf_dir, now, CHANGE))
-            first, _, _ = load_warehouse(spark, then, new_table_path(spark, "load-1"), TESTDATA)
-            star, statuses, _ = load_warehouse(spark, now, new_table_path(spark, "load-2"), TESTDATA,
-                                               previous=first.location, load_date=CHANGE)
-            _DONE[key] = star, {s.name: s for s in statuses}
+            first = write_star(build_star(spark, then), spark, new_table_path(spark, "load-1"), POLICY)
+            write_digests(spark, then, first)
+            _DONE[key] = advance(spark, now, first, CHANGE, new_table_path(spark, "load-2"), POLICY)
     return _DONE[key]
 
 
 def load_by_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures by the version of the campaign in force on the day of the sale."""
-    star, _ = two_loads(spark, sf_dir)
+    star = two_loads(spark, sf_dir).star
     return edge(O.aggregate(star, ["campaign_id", "campaign_name", "effective_date", "is_current"], MEASURES))
 
 
 def load_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of the star advanced by what changed."""
-    star, _ = two_loads(spark, sf_dir)
+    star = two_loads(spark, sf_dir).star
     return edge(O.aggregate(star, ["campaign_id", "year", "quarter", "region", "payment_type", "supplier_category"], MEASURES))
 
 
 def load_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions built again by the second load, by kind of change."""
-    star, _ = two_loads(spark, sf_dir)
-    touched = spark.read.parquet(f"{star.location}/_touched")
-    return touched.groupBy("kind").agg(F.count(F.lit(1)).alias("n_transactions"))
+    return two_loads(spark, sf_dir).touched.groupBy("kind").agg(F.count(F.lit(1)).alias("n_transactions"))
 
 
 def _refreshed(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written summary after the incremental refresh."""
-    _, statuses = two_loads(spark, sf_dir)
-    return read_summary(spark, statuses[name])
+    """The summary written by the refresh from the difference: the
+    state of the first load, moved by the transactions that changed."""
+    step = two_loads(spark, sf_dir)
+    write_states(step.old, spark, TESTDATA, step.old.location, (name,))
+    status, = advance_summaries(step, spark, TESTDATA, (name,))
+    return read_summary(spark, status)
 
 
 TWO_LOADS = {f.__name__: f for f in (load_by_version, load_increment, load_changes)}
