@@ -187,29 +187,20 @@ def allocate(cost: list[list[float]], total: int) -> tuple[float, list[int]]:
 
 
 def choose_plan(spark: SparkSession, fps: DataFrame, max_bits: int = MAX_BITS) -> list[tuple[list[int], int]]:
-    """The (bits, threshold) groups with the least estimated cost, over
-    several numbers of groups; every count is over all fingerprints."""
-    corr = bit_correlation(fps)
-    choices = {m: bit_groups(corr, m) for m in sorted({max(1, max_bits // 2), max_bits - 1, max_bits, max_bits + 1}) if 1 <= m <= 16}
-    flat = [(m, g) for m, gs in choices.items() for g in gs]
-    rows = (fps.mapInArrow(_value_counts([g for _, g in flat]), "g int, v long, n long")
-            .groupBy("g", "v").agg(F.sum("n").alias("n")))
-    counts = [np.zeros(1 << min(len(g), HIST_BITS)) for _, g in flat]
+    """The (bits, threshold) groups with the least estimated cost; every count
+    is over all fingerprints.  There are ``max_bits`` groups whatever the size
+    of the table, so the thresholds add up to one and a fingerprint makes the
+    same number of probes in a small table and a large one; the dynamic
+    program says which groups may differ."""
+    m = min(max(1, max_bits), 16)
+    groups = bit_groups(bit_correlation(fps), m)
+    rows = fps.mapInArrow(_value_counts(groups), "g int, v long, n long").groupBy("g", "v").agg(F.sum("n").alias("n"))
+    counts = [np.zeros(1 << min(len(g), HIST_BITS)) for g in groups]
     for r in rows.toLocalIterator():  # at most 2^16 counters a group
         counts[r["g"]][r["v"]] = r["n"]
-    best = None
-    for m, gs in choices.items():
-        total = max_bits - m + 1
-        idx = [i for i, (mm, _) in enumerate(flat) if mm == m]
-        limit = max(0, min(2, total + m - 1))
-        cost = [[candidate_cost(counts[i], len(flat[i][1]), t) for t in range(-1, limit + 1)] for i in idx]
-        try:
-            c, ts = allocate(cost, total)
-        except KeyError:
-            continue
-        if best is None or c < best[0]:
-            best = (c, [(g, t) for g, t in zip(gs, ts) if t >= 0])
-    return best[1]
+    total = max_bits - m + 1
+    cost = [[float("inf"), *(candidate_cost(c, len(g), t) for t in range(total + 1))] for c, g in zip(counts, groups)]
+    return list(zip(groups, allocate(cost, total)[1]))
 
 
 # -- probe and verify -----------------------------------------------------------
