@@ -5,8 +5,10 @@ The reference has no streams: its one recurring job is a daily full reload
 of the transaction lines drives that same load through ``foreachBatch``:
 with ``availableNow`` it handles everything that has arrived and stops, so
 any scheduler can start it; the stream checkpoint (in the cluster-shared
-folder) records which files were already loaded, so a retried or restarted
-run does not load the same arrival twice and an empty run does nothing.
+folder) records which files were already loaded, so a finished arrival is not
+loaded again and an empty run does nothing.  ``foreachBatch`` is at least once:
+an arrival whose run fails after its load is loaded again, with the same batch
+id, so ``load`` should write to a folder named by it.
 """
 
 from __future__ import annotations
