@@ -65,36 +65,51 @@ def _maybe_broadcast(df: DataFrame, rows_bound: int | None) -> DataFrame:
     return F.broadcast(df) if rows_bound is not None and rows_bound <= BROADCAST_ROWS else df
 
 
-def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "rank",
-              buckets: int | None = None, groups_bound: int | None = None) -> DataFrame:
+STEPS = 1024      # value ranges per power of two
+LOWEST = 1100     # 2^-1100 is below every positive DOUBLE
+TOP_RANGE = 2 * LOWEST * STEPS + 1
+
+
+def value_range(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises: the place of |v| on a
+    logarithmic scale of ``STEPS`` ranges per power of two, with the sign of v.
+
+    It is a function of the value alone, so every task, also a recomputed one,
+    gives the same number and equal values always share it.  NULL, which a
+    descending sort puts first, has the highest, NaN the next."""
+    x = v.cast("double")
+    place = F.floor((F.least(F.log2(F.abs(x)), F.lit(LOWEST - 1.0)) + LOWEST) * STEPS)
+    return (F.when(x.isNull(), F.lit(TOP_RANGE)).when(F.isnan(x), F.lit(TOP_RANGE - 1)).when(x == 0, F.lit(0))
+            .when(x > 0, place).otherwise(-place).cast("long"))
+
+
+def rank_desc(df: DataFrame, partition: Sequence[str], value: str, out: str = "rank") -> DataFrame:
     """RANK() OVER (PARTITION BY partition ORDER BY value DESC), distributed.
 
-    A per-period window would send a whole period to one task.  Instead each
-    period is cut into ``buckets`` value ranges at approximate quantiles
-    (equal values always fall in the same bucket, so ties stay exact); rows
-    are ranked inside (period, bucket), and the number of rows of the same
-    period in higher buckets (a table of periods x buckets rows) is added.
-    Bucket numbers are a function of the data, so a recomputed task gets
-    the same answer.  ``groups_bound`` (e.g. the calendar size when the
-    partition is a period) lets the per-period tables be broadcast, so no
-    exchange is keyed by the period alone."""
-    k = buckets or max(2, min(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    A per-period window would send a whole period to one task.  Instead the
+    rows are collapsed to (period, value, count), so ties are one row however
+    many they are.  The values are counted from above inside each
+    ``value_range`` of a period, the rows of its higher ranges are added, and
+    the ranks go back to the rows by (period, value).  Only the counts per
+    range pass through a window per period, at most one row per range in use.
+    NULL ranks before every value; NULL keys are a period like any other."""
     keys = list(partition)
-    probs = [i / k for i in range(1, k)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(F.col(value), probs, 10_000).alias("__b"))
-    v = F.col(value)
-    # NULL values rank before every value (DESC NULLS FIRST): a bucket of their own.
-    x = (df.join(_maybe_broadcast(bounds, groups_bound), keys, "inner")
-           .withColumn("__bk", F.when(v.isNull(), F.lit(-1))
-                       .otherwise(F.size(F.filter(F.col("__b"), lambda b: b > v))))
-           .drop("__b"))
-    x = x.withColumn("__lr", F.rank().over(
-        Window.partitionBy(*keys, "__bk").orderBy(v.desc_nulls_first())))
-    counts = x.groupBy(*keys, "__bk").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__bk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    joined = x.join(_maybe_broadcast(offsets, groups_bound and groups_bound * k), [*keys, "__bk"], "inner")
-    return joined.withColumn(out, (F.col("__lr") + F.col("__off")).cast("long")).drop("__bk", "__lr", "__off")
+    values = df.groupBy(*keys, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    values = values.withColumn("__range", value_range(F.col("__v")))
+
+    def earlier(over: Sequence[str], order: Column) -> Column:
+        w = Window.partitionBy(*over).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__n").over(w), F.lit(0))
+
+    ranges = values.groupBy(*keys, "__range").agg(F.sum("__n").alias("__n"))
+    ranges = ranges.select(*keys, "__range", earlier(keys, F.col("__range").desc()).alias("__higher"))
+    inside = values.withColumn("__before", earlier([*keys, "__range"], F.col("__v").desc_nulls_first()))
+    i, r = inside.alias("i"), ranges.alias("r")
+    ranked = i.join(r, [F.col(f"i.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*keys, "__range"]]).select(
+        *[F.col(f"i.{c}").alias(f"__k_{c}") for c in keys], "i.__v",
+        (F.col("__before") + F.col("__higher") + F.lit(1)).cast("long").alias(out))
+    on = [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in keys] + [F.col(value).eqNullSafe(F.col("__v"))]
+    return df.join(ranked, on).select(*df.columns, out)
 
 
 def share_of_total(df: DataFrame, value: str, out: str, places: int = 2,

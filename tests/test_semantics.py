@@ -60,17 +60,34 @@ def test_rank_ties(spark):
     assert got == {(1, "A"): 1, (1, "B"): 1, (1, "C"): 3, (2, "A"): 1}
 
 
-def test_distributed_rank_equals_window_rank(spark):
+@pytest.mark.parametrize("kind", ["int", "double", "decimal(38,6)"])
+def test_distributed_rank_equals_window_rank(spark, kind):
+    """Signs, magnitudes, ties (a third of all rows are one), NULL values and NULL periods."""
     rnd = random.Random(7)
-    data = [(rnd.randint(1, 3), i, rnd.choice([None, 5, 10]) if i % 50 == 0 else rnd.randint(0, 40))
-            for i in range(3000)]
-    df = spark.createDataFrame(data, "p int, id int, v int")
-    assert df.filter("v is null").count() > 0
-    got = H.rank_desc(df, ["p"], "v", "rk", buckets=16)
-    want = df.withColumn("rk2", F.rank().over(Window.partitionBy("p").orderBy(F.desc_nulls_first("v"))))
-    j = got.join(want, ["p", "id"])
-    assert j.count() == df.count()
-    assert j.filter("rk != rk2").count() == 0
+
+    def value():
+        tied = rnd.random()
+        if tied < 0.4:
+            return None if tied < 0.02 else "11"
+        if kind == "double" and tied < 0.44:
+            return rnd.choice(["NaN", "Infinity", "-Infinity", "-0.0", "4.9E-324", "1.7E308"])
+        return str(rnd.randint(-40, 40) * (1 if kind == "int" else 10.0 ** rnd.randint(-5, 12)))
+
+    data = [(rnd.choice([None, 1, 2, 3]), i, value()) for i in range(3000)]
+    df = spark.createDataFrame(data, "p int, id int, v string").select("p", "id", F.col("v").cast(kind).alias("v"))
+    want = df.withColumn("rk", F.rank().over(Window.partitionBy("p").orderBy(F.desc_nulls_first("v"))).cast("long"))
+    got = H.rank_desc(df, ["p"], "v", "rk")
+    assert got.columns == want.columns
+    assert {(r.p, r.id, r.rk) for r in got.collect()} == {(r.p, r.id, r.rk) for r in want.collect()}
+    assert got.count() == df.count() and H.rank_desc(df.limit(0), ["p"], "v").count() == 0
+
+
+def test_value_ranges_never_fall(spark):
+    rnd = random.Random(3)
+    xs = sorted(rnd.uniform(-1, 1) * 10.0 ** k for k in range(-9, 15) for _ in range(40))
+    df = spark.createDataFrame([(x,) for x in xs], "v double").select("v", H.value_range(F.col("v")).alias("r"))
+    ranges = [r.r for r in sorted(df.collect(), key=lambda r: r.v)]
+    assert ranges == sorted(ranges) and len(set(ranges)) > 900
 
 
 def test_null_attribute_is_not_a_subtotal(star):
