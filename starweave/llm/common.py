@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +65,24 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` marked for broadcast when it holds at most ``max_rows`` rows
     (counted, on a persisted frame), unchanged otherwise: the plain join."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def give_back() -> None:
+    """Memory that Python, Arrow and the C library hold without need goes back
+    to the system; an idle worker would otherwise keep the peak of its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, giving memory back at its end."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    task.__name__ = run.__name__
+    return task

@@ -26,13 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bwt_merge import least_owner
-from .common import partitions_for, persist, plan_bytes, table
+from .common import frugal, partitions_for, persist, plan_bytes, table
 
 WIDTH = 50
 GRAM = 24
@@ -118,6 +119,7 @@ def _keys(width: int, gram: int):
         return pa.RecordBatch.from_arrays([pa.array(route), pa.array(key), pa.array(doc), pa.array(docs)],
                                           names=["route", "key", "doc_id", "docs"])
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}       # keys this task has told to repeat, with documents not counted yet
 
@@ -169,6 +171,7 @@ def short_key(key: np.ndarray) -> np.ndarray:
 def _repeated(hot: int):
     """Rows of keys with several documents; docs becomes -1 on one row of
     each hot key."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [tuple(b.column(c).to_numpy() for c in ("key", "doc_id", "docs")) for b in batches]
         if not got:
@@ -199,6 +202,7 @@ def _repeated(hot: int):
 def _segment_rows(hot_keys, width: int, gram: int, versions: bool):
     """kind 1: a segment's bytes for its bucket (route); kind 0: bytes of a
     document already known to be covered by a smaller one of the batch."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = hot_keys.value
         for batch in batches:
@@ -266,73 +270,114 @@ def merge_spans(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
-def _merge_buckets(width: int):
-    """(doc_id, th, starts, ends) from the segments of a partition.
+def route_chunks(batches: Iterator[pa.RecordBatch], size: int = BUCKET_SYMBOLS) -> Iterator[pa.Table]:
+    """Rows sorted by route in tables of about ``size`` content bytes that hold
+    whole routes."""
+    held, total, last = [], 0, None
+    for batch in batches:
+        route = batch.column("route").to_numpy()
+        ends = np.append(np.flatnonzero(route[1:] != route[:-1]) + 1, len(route))
+        length = np.asarray(pc.binary_length(batch.column("content")), np.int64)
+        bytes_to = np.concatenate(([0], np.cumsum(length)))
+        at = 0
+        if held and route[0] != last and total >= size:
+            yield pa.Table.from_batches(held)
+            held, total = [], 0
+        while at < len(route):
+            # the first end of a route at which the chunk is full, else all the rest
+            z = ends[min(np.searchsorted(bytes_to[ends], bytes_to[at] + max(size - total, 1)), len(ends) - 1)]
+            held.append(batch.slice(at, z - at))
+            total += int(bytes_to[z] - bytes_to[at])
+            if z < len(route) and total >= size:
+                yield pa.Table.from_batches(held)
+                held, total = [], 0
+            at = int(z)
+        last = route[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _merged(rows: pa.Table, width: int) -> tuple[np.ndarray, ...]:
+    """(doc_id, th, start, end) of covered bytes from the segments of some
+    whole routes.
 
     Equal segments are one string with the least document that holds it.  The
-    strings of a route are merged, bucket by bucket; a string alone under its
-    route has no other to share a window with."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        if not got:
-            return
-        rows = pa.Table.from_batches(got)
-        kind = rows.column("kind").to_numpy()
-        ready = rows.filter(pa.array(kind == 0)).select(["doc_id", "th", "starts", "ends"])
-        yield from ready.to_batches(max_chunksize=5000)
-        rows = rows.filter(pa.array(kind == 1)).combine_chunks()
-        if not rows.num_rows:
-            return
-        doc, th, route = (rows.column(c).to_numpy() for c in ("doc_id", "th", "route"))
-        lists = rows.column("starts").combine_chunks()
-        coded = rows.column("content").combine_chunks().dictionary_encode()
-        code, strings = coded.indices.to_numpy(), coded.dictionary
-        offsets, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
-        offsets = offsets - offsets[0]
-        owner = np.full(len(strings), np.iinfo(np.int64).max)
-        np.minimum.at(owner, code, doc)
-        of = np.zeros(len(strings), np.int64)
-        of[code] = route
-        length = pa.compute.binary_length(strings).to_numpy()
-        order = np.argsort(of, kind="stable")
-        lead = np.flatnonzero(np.concatenate(([True], of[order][1:] != of[order][:-1])))
-        several = np.zeros(len(strings), bool)
-        size = np.diff(np.append(lead, len(order)))
-        several[order] = np.repeat(size > 1, size)
-        # rows whose string is alone: covered where a smaller document has it
-        per = np.diff(offsets)
-        whole = np.repeat(~several[code] & (doc > owner[code]), per)
-        at = np.repeat(np.arange(len(code)), per)
-        parts = [(at[whole], flat[whole], flat[whole] + length[code[at[whole]]])]
-        todo = order[several[order]]
-        bucket = np.cumsum(length[todo] + 1) // BUCKET_SYMBOLS
-        new_route = np.concatenate(([True], of[todo][1:] != of[todo][:-1]))
-        bucket = bucket[np.maximum.accumulate(np.where(new_route, np.arange(len(todo)), 0))] if len(todo) else bucket
+    strings of a route are merged; a string alone under its route has no other
+    to share a window with."""
+    rows = rows.combine_chunks()
+    doc, th, route = (rows.column(c).to_numpy() for c in ("doc_id", "th", "route"))
+    lists = rows.column("starts").combine_chunks()
+    coded = rows.column("content").combine_chunks().dictionary_encode()
+    code, strings = coded.indices.to_numpy(), coded.dictionary
+    offsets, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+    offsets = offsets - offsets[0]
+    owner = np.full(len(strings), np.iinfo(np.int64).max)
+    np.minimum.at(owner, code, doc)
+    of = np.zeros(len(strings), np.int64)
+    of[code] = route
+    length = pc.binary_length(strings).to_numpy()
+    order = np.argsort(of, kind="stable")
+    lead = np.flatnonzero(np.concatenate(([True], of[order][1:] != of[order][:-1])))
+    several = np.zeros(len(strings), bool)
+    size = np.diff(np.append(lead, len(order)))
+    several[order] = np.repeat(size > 1, size)
+    # rows whose string is alone: covered where a smaller document has it
+    per = np.diff(offsets)
+    whole = np.repeat(~several[code] & (doc > owner[code]), per)
+    at = np.repeat(np.arange(len(code)), per)
+    parts = [(at[whole], flat[whole], flat[whole] + length[code[at[whole]]])]
+    todo = order[several[order]]
+    if len(todo):
         by_code = np.argsort(code, kind="stable")
         first = np.searchsorted(code[by_code], np.arange(len(strings) + 1))
-        for b in np.split(todo, np.flatnonzero(np.diff(bucket)) + 1) if len(todo) else []:
-            held = strings.take(pa.array(b)).to_pylist()
-            found = []
-            for c, least in zip(b.tolist(), least_owner(held, owner[b], width)):
-                for r in by_code[first[c]:first[c + 1]].tolist():
-                    hit = least < doc[r]
-                    if hit.any():
-                        edge = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
-                        s, z = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1 + width
-                        for a in flat[offsets[r]:offsets[r + 1]].tolist():
-                            found.append((np.full(len(s), r), s + a, z + a))
-            parts += found
-        at, start, end = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((start, th[at], doc[at]))
-        at, start, end = at[order], start[order], end[order]
-        lead = np.ones(len(at), bool)
-        lead[1:] = (doc[at][1:] != doc[at][:-1]) | (th[at][1:] != th[at][:-1])
+        held = strings.take(pa.array(todo)).to_pylist()
+        for c, least in zip(todo.tolist(), least_owner(held, owner[todo], width)):
+            for r in by_code[first[c]:first[c + 1]].tolist():
+                hit = least < doc[r]
+                if hit.any():
+                    edge = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
+                    s, z = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1 + width
+                    for a in flat[offsets[r]:offsets[r + 1]].tolist():
+                        parts.append((np.full(len(s), r), s + a, z + a))
+    at, start, end = (np.concatenate(x) for x in zip(*parts))
+    return doc[at], th[at], start.astype(np.int32), end.astype(np.int32)
+
+
+def _merge_buckets(width: int):
+    """(doc_id, th, starts, ends) from the segments of a partition, sorted by
+    kind and route.  Some routes are held at a time, of all others only the
+    spans found: one row a document is made of them at the end."""
+    @frugal
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: list[pa.RecordBatch] = []
+
+        def segment_batches():
+            for batch in batches:
+                known = batch.column("kind").to_numpy() == 0
+                if known.any():
+                    ready.append(batch.filter(pa.array(known)).select(["doc_id", "th", "starts", "ends"]))
+                if not known.all():
+                    yield batch.filter(pa.array(~known)) if known.any() else batch
+
+        found = []
+        for chunk in route_chunks(segment_batches()):
+            yield from ready
+            ready.clear()
+            found.append(_merged(chunk, width))
+        yield from ready
+        if not found:
+            return
+        doc, th, start, end = (np.concatenate(x) for x in zip(*found))
+        found.clear()
+        order = np.lexsort((start, th, doc))
+        doc, th, start, end = doc[order], th[order], start[order], end[order]
+        lead = np.ones(len(doc), bool)
+        lead[1:] = (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])
         cut = np.flatnonzero(lead)
-        bounds = pa.array(np.append(cut, len(at)).astype(np.int32))
+        bounds = pa.array(np.append(cut, len(doc)).astype(np.int32))
         out = pa.RecordBatch.from_arrays(
-            [pa.array(doc[at[cut]]), pa.array(th[at[cut]]),
-             pa.ListArray.from_arrays(bounds, pa.array(start.astype(np.int32))),
-             pa.ListArray.from_arrays(bounds, pa.array(end.astype(np.int32)))], names=["doc_id", "th", "starts", "ends"])
+            [pa.array(doc[cut]), pa.array(th[cut]), pa.ListArray.from_arrays(bounds, pa.array(start)),
+             pa.ListArray.from_arrays(bounds, pa.array(end))], names=["doc_id", "th", "starts", "ends"])
         for a in range(0, out.num_rows, 5000):
             yield out.slice(a, 5000)
 
@@ -341,6 +386,7 @@ def _merge_buckets(width: int):
 
 def _cut(extra: list[str], as_text: bool, versions: bool):
     """Rows with their covered bytes removed."""
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in text_batches(batch, "text"):
@@ -387,7 +433,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gra
     whole = rows.select(*extra, "text").repartition(n, "doc_id")
     found = (whole.select("doc_id", "text").join(by_doc, "doc_id").where(F.octet_length("text") >= width)
              .mapInArrow(_segment_rows(spark.sparkContext.broadcast(np.sort(hot_keys)), width, gram, versions), SEGMENT_ROWS)
-             .repartition(n, "route").mapInArrow(_merge_buckets(width), SPANS))
+             .repartition(n, "route").sortWithinPartitions("kind", "route").mapInArrow(_merge_buckets(width), SPANS))
     spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("th", "starts", "ends")).alias("spans")))
     spans = persist(spark, spans, "repeat-spans")
     out = whole.join(spans, "doc_id", "left")

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -222,3 +223,18 @@ def test_viterbi_fold(spark):
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], DOCS)
     assert subwords.encode_documents(spark, empty).count() == 0
+
+
+def test_route_chunks_hold_whole_routes():
+    rnd = random.Random(5)
+    rows_ = sorted((rnd.randint(0, 40) if rnd.random() < 0.7 else 7, rnd.randbytes(rnd.randint(50, 300))) for _ in range(900))
+    for step in (1, 13, 200, 900):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r for r, _ in part], pa.int32()), pa.array([c for _, c in part], pa.binary())],
+                                              names=["route", "content"])
+                   for part in (rows_[i:i + step] for i in range(0, 900, step))]
+        chunks = [t.to_pylist() for t in suffix_dedup.route_chunks(iter(batches), size=4000)]
+        assert [(r["route"], r["content"]) for c in chunks for r in c] == rows_
+        routes = [{r["route"] for r in c} for c in chunks]
+        assert len(chunks) > 10 and sum(map(len, routes)) == len(set().union(*routes))
+        # a chunk is full only with its last route
+        assert all(sum(len(r["content"]) for r in c if r["route"] != c[-1]["route"]) < 4000 for c in chunks)
