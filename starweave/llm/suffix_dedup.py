@@ -345,7 +345,7 @@ def _merged(rows: pa.Table, width: int) -> tuple[np.ndarray, ...]:
 
 def _merge_buckets(width: int):
     """(doc_id, th, starts, ends) from the segments of a partition, sorted by
-    kind and route.  Some routes are held at a time, of all others only the
+    route.  Some routes are held at a time, of all others only the
     spans found: one row a document is made of them at the end."""
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,7 +433,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gra
     whole = rows.select(*extra, "text").repartition(n, "doc_id")
     found = (whole.select("doc_id", "text").join(by_doc, "doc_id").where(F.octet_length("text") >= width)
              .mapInArrow(_segment_rows(spark.sparkContext.broadcast(np.sort(hot_keys)), width, gram, versions), SEGMENT_ROWS)
-             .repartition(n, "route").sortWithinPartitions("kind", "route").mapInArrow(_merge_buckets(width), SPANS))
+             .repartition(n, "route").sortWithinPartitions("route").mapInArrow(_merge_buckets(width), SPANS))
     spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("th", "starts", "ends")).alias("spans")))
     spans = persist(spark, spans, "repeat-spans")
     out = whole.join(spans, "doc_id", "left")
