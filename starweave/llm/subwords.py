@@ -4,21 +4,19 @@ Texts are cut into words where no piece of the vocabulary can cross (before a
 run of spaces).  Each distinct word is encoded once: its substrings of bounded
 length are exploded and equi-joined with the piece table (a few ten thousand
 rows, fixed by the vocabulary), the matching edges are grouped by word, and a
-fold with Spark's higher-order ``aggregate`` finds the pieces:
-
-* for a unigram vocabulary the Viterbi fold keeps, per position, the best
-  score of a path and its last edge;
-* for a BPE vocabulary the best path is not the largest sum of scores, so the
-  fold applies the merges instead: each step joins the neighbouring pair whose
-  edge scores highest, the leftmost of equals.
-
-Words over ``FOLD_SYMBOLS`` symbols (texts without spaces) are merged by the
-same rule with a priority queue.  The lattice costs about 1 ms of CPU a
-distinct word (80 joined substrings and an interpreted fold), so whole corpora
-are encoded with ``lattice=False``: every distinct word by that rule inside
-the tasks.  Documents are packed into compressed blocks;
-a block fetches the encodings of its own distinct words, so neither the
-positions of words nor the whole dictionary are ever shuffled.
+fold with Spark's higher-order ``aggregate`` finds the pieces.  Two rules:
+
+* ``viterbi``, the registered one: per position the best score of a path and
+  its last edge, so the pieces with the largest sum of scores.  The only rule of
+  a unigram vocabulary.  A word is a row of segments of ``SEGMENT`` symbols, so
+  words of any length take the same fold;
+* ``merge``, for the library's own pieces of a BPE vocabulary: each step joins the
+  neighbouring pair whose edge scores highest, the leftmost of equals.  Its fold
+  takes ``FOLD_SYMBOLS`` symbols, longer words the same rule with a priority queue.
+
+``lattice=False`` applies a rule word by word in Python instead.  Documents are
+packed into compressed blocks; a block fetches the encodings of its own distinct
+words, so neither the positions of words nor the whole dictionary are ever shuffled.
 
 Defined results: null and empty texts have no pieces and decode to the empty
 text; symbols outside the vocabulary become byte pieces; repeated rows are
@@ -38,13 +36,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions_for, plan_bytes, table
+from .common import partitions_for, persist, plan_bytes, table
 
 SPACE = "▁"
 BLOCK_BYTES = 8 << 20       # input bytes of one block of documents
 FOLD_SYMBOLS = 48
+SEGMENT = 64                # symbols of a word folded together
+BLOCKS_A_ROW = 1024         # blocks of a word listed in one row
+WORD_ROWS = 4 << 20         # bytes of words of one partition of the lattice
+UNKNOWN = -1e4              # score of a symbol outside the vocabulary
 PACK_ROWS = 2048
 UNIGRAM, BPE = 1, 2
+RULES = {UNIGRAM: "viterbi", BPE: "merge"}
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -147,30 +150,80 @@ def merge_fold(word: Column, score: Column) -> Column:
     return F.when(F.length(word) > 1, F.aggregate(F.sequence(F.lit(2), F.length(word)), letters, step)).otherwise(letters)
 
 
-def viterbi_fold(word: Column, score: Column, longest: int, unknown: float = -1e4) -> Column:
-    """Pieces of the path with the largest sum of scores; a symbol outside the
-    vocabulary is an edge of its own with score ``unknown``.  Of equal paths
-    the one with the longest last edge wins."""
-    start = F.array(F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("len")))
-
-    def step(table_: Column, end: Column) -> Column:
-        def edge(n: Column) -> Column:
-            piece = F.substring(word, end - n + 1, n)
-            own = F.coalesce(score[piece].cast("double"), F.when(n == 1, F.lit(unknown)))
-            return F.struct((F.element_at(table_, end - n + 1)["total"] + own).alias("total"), n.alias("len"))
-
-        options = F.transform(F.sequence(F.lit(1), F.least(end, F.lit(longest))), edge)
-        return F.concat(table_, F.array(F.array_max(F.filter(options, lambda o: o["total"].isNotNull()))))
-
-    filled = F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step)
-    back = F.struct(F.length(word).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def walk(acc: Column, _: Column) -> Column:
-        n = F.element_at(filled, acc["at"] + 1)["len"]
-        piece = F.array(F.substring(word, acc["at"] - n + 1, n))
-        return F.when(acc["at"] > 0, F.struct((acc["at"] - n).alias("at"), F.concat(piece, acc["out"]).alias("out"))).otherwise(acc)
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), back, walk, lambda acc: acc["out"])
+def word_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """(key, segs) of distinct words, key the MD5 of the word: per segment
+    (s, own, edges) its own symbols and the pieces that end there, each
+    (end, n, score, id) with n symbols, by end and n.  A symbol outside the
+    vocabulary is an edge too, its id -1 - code point."""
+    back = F.least(F.col("s") * SEGMENT, F.lit(longest - 1))    # symbols before the segment where a piece may start
+    segs = (words.select(F.unhex(F.md5("word")).alias("key"), "word")
+            .select("key", "word", F.explode(F.sequence(F.lit(0), F.expr(f"int((length(word) - 1) div {SEGMENT})"))).alias("s"))
+            .withColumn("back", back)
+            .select("key", "s", "back", F.substring(F.col("word"), F.col("s") * SEGMENT - F.col("back") + 1,
+                                                    F.col("back") + SEGMENT).alias("sub")))
+    ends = segs.select("*", F.explode(F.sequence(F.lit(1), F.length("sub") - F.col("back"))).alias("end"))
+    subs = ends.select("*", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("back") + F.col("end")))).alias("n"))
+    subs = subs.withColumn("piece", F.substring(F.col("sub"), F.col("back") + F.col("end") - F.col("n") + 1, F.col("n")))
+    found = subs.join(F.broadcast(pieces), "piece", "left").where(F.col("id").isNotNull() | (F.col("n") == 1))
+    first = (F.col("end") == 1) & (F.col("n") == 1)
+    own = F.when(first, F.expr("substring(sub, back + 1)"))
+    edge = F.struct("end", "n", F.coalesce("score", F.lit(UNKNOWN)).alias("score"),
+                    F.coalesce(F.col("id"), -F.ascii("piece") - 1).alias("id"))
+    by_seg = (found.select("key", "s", own.alias("own"), edge.alias("edge"))
+              .groupBy("key", "s").agg(F.max("own").alias("own"), F.array_sort(F.collect_list("edge")).alias("edges")))
+    return by_seg.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("s", "own", "edges"))).alias("segs"))
+
+
+def viterbi_fold(segs: Column, longest: int) -> Column:
+    """Ids of the path with the largest sum of scores over the segments of
+    ``word_edges``; of equal paths that with the longest last edge."""
+    none = F.array().cast("array<struct<n:int,id:int>>")
+
+    def put(old: Column, new: Column) -> Column:
+        return F.concat(F.slice(old, F.lit(1), F.size(old) - 1), F.array(new))
+
+    def step(acc: Column, e: Column) -> Column:
+        # the edge of one symbol opens its position, longer ones may better it
+        opens, last = e["n"] == 1, F.struct(e["n"].alias("n"), e["id"].alias("id"))
+        total = F.element_at(acc["total"], F.when(opens, F.lit(-1)).otherwise(-e["n"] - 1)) + e["score"]
+        return let(total, lambda t: F.when(opens, F.struct(
+            F.concat(acc["total"], F.array(t)).alias("total"), F.concat(acc["path"], F.array(last)).alias("path"),
+        )).when(t >= F.element_at(acc["total"], -1), F.struct(
+            put(acc["total"], t).alias("total"), put(acc["path"], last).alias("path"))).otherwise(acc))
+
+    def segment(acc: Column, seg: Column) -> Column:
+        start = F.struct(acc["total"].alias("total"), none.alias("path"))
+        return let(F.aggregate(seg["edges"], start, step), lambda r: F.struct(
+            F.slice(r["total"], F.greatest(F.size(r["total"]) - longest, F.lit(0)) + 1, F.lit(longest)).alias("total"),
+            F.concat(acc["paths"], F.array(r["path"])).alias("paths")))
+
+    start = F.struct(F.array(F.lit(0.0)).alias("total"), F.array().cast("array<array<struct<n:int,id:int>>>").alias("paths"))
+    paths = F.aggregate(segs, start, segment, lambda acc: acc["paths"])
+
+    def walk(acc: Column, x: Column) -> Column:
+        return F.when(acc["skip"] > 0, F.struct((acc["skip"] - 1).alias("skip"), acc["out"].alias("out"))).otherwise(
+            F.struct((x["n"] - 1).alias("skip"), F.concat(acc["out"], F.array(x["id"])).alias("out")))
+
+    def back(acc: Column, path: Column) -> Column:
+        begin = F.struct(acc["skip"].alias("skip"), F.array().cast("array<int>").alias("out"))
+        return let(F.aggregate(F.reverse(path), begin, walk), lambda r: F.struct(
+            r["skip"].alias("skip"), F.concat(acc["outs"], F.array(r["out"])).alias("outs")))
+
+    end = F.struct(F.lit(0).alias("skip"), F.array().cast("array<array<int>>").alias("outs"))
+    return F.aggregate(F.reverse(paths), end, back, lambda acc: F.reverse(F.flatten(acc["outs"])))
+
+
+def spelled(ids: Column, first_byte: int) -> Column:
+    """``ids`` with every symbol outside the vocabulary as the ids of its UTF-8 bytes."""
+    def one(x: Column) -> Column:
+        c = -x - 1
+        tail = [F.lit(first_byte + 128) + F.shiftright(c, 6 * k) % 64 for k in range(3)]
+        return (F.when(x >= 0, F.array(x)).when(c < 1 << 7, F.array(c + first_byte))
+                .when(c < 1 << 11, F.array(F.shiftright(c, 6) + (0xC0 + first_byte), tail[0]))
+                .when(c < 1 << 16, F.array(F.shiftright(c, 12) + (0xE0 + first_byte), tail[1], tail[0]))
+                .otherwise(F.array(F.shiftright(c, 18) + (0xF0 + first_byte), tail[2], tail[1], tail[0])))
+
+    return F.when(F.exists(ids, lambda x: x < 0), F.flatten(F.transform(ids, one))).otherwise(ids)
 
 
 def piece_ids(pieces: Column, ids: Column, first_byte: int) -> Column:
@@ -184,43 +237,51 @@ def piece_ids(pieces: Column, ids: Column, first_byte: int) -> Column:
     return F.flatten(F.transform(pieces, one))
 
 
-def encode_words(spark: SparkSession, words: DataFrame, path: str | None = None, lattice: bool = True) -> DataFrame:
-    """(word, ids array<int>) of distinct words, over the relational lattice
-    or, without it, by the same rules word by word inside the tasks."""
+def encode_words(spark: SparkSession, words: DataFrame, path: str | None = None, lattice: bool = True,
+                 rule: str | None = None) -> DataFrame:
+    """(word, ids array<int>) of distinct words by ``rule`` (None: that of the
+    library for this kind of vocabulary), over the relational lattice or word
+    by word inside the tasks."""
     vocab = Vocabulary(path or default_model())
-    if vocab.kind not in (BPE, UNIGRAM):
-        raise ValueError("only unigram and BPE vocabularies have a lattice")
-    alone = _alone(vocab.pieces, vocab.first_byte, vocab.kind)
+    rule = rule or RULES.get(vocab.kind)
+    if rule not in RULES.values() or (rule == "merge" and vocab.kind != BPE):
+        raise ValueError("unigram vocabularies are encoded by the rule viterbi, BPE ones by viterbi or merge")
+    alone = _alone(vocab.pieces, vocab.first_byte, rule)
     if not lattice:
         return words.select("word").mapInArrow(alone, "word string, ids array<int>")
     pieces = spark.createDataFrame([(p, i, float(s)) for p, i, s in vocab.pieces], "piece string, id int, score double")
+    if rule == "viterbi":
+        dealt = words.select("word").repartition(partitions_for(spark, plan_bytes(words), WORD_ROWS), F.md5("word"))
+        got = word_edges(dealt, pieces, vocab.longest)
+        text = F.concat_ws("", F.transform("segs", lambda g: g["own"]))
+        return got.select(text.alias("word"), viterbi_fold(F.col("segs"), vocab.longest).alias("ids")).select(
+            "word", spelled(F.col("ids"), vocab.first_byte).alias("ids"))
     short = words.select("word").where(F.length("word") <= FOLD_SYMBOLS)
     grouped = edges(short, pieces, vocab.longest)
     none_s, none_i = F.create_map().cast("map<string,double>"), F.create_map().cast("map<string,int>")
     grouped = grouped.withColumns({"score": F.coalesce("score", none_s), "id": F.coalesce("id", none_i)})
-    fold = (merge_fold(F.col("word"), F.col("score")) if vocab.kind == BPE
-            else viterbi_fold(F.col("word"), F.col("score"), vocab.longest))
+    fold = merge_fold(F.col("word"), F.col("score"))
     got = grouped.withColumn("pieces", fold).select("word", piece_ids(F.col("pieces"), F.col("id"), vocab.first_byte).alias("ids"))
     long = (words.select("word").where(F.length("word") > FOLD_SYMBOLS)
             .mapInArrow(alone, "word string, ids array<int>"))
     return got.unionByName(long)
 
 
-def _alone(pieces, first_byte: int, kind: int):
+def _alone(pieces, first_byte: int, rule: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = {p: s for p, _, s in pieces}
         ids = {p: i for p, i, _ in pieces}
         for b in batches:
             out = []
             for w in b.column(0).to_pylist():
-                syms = merge_word(w, score) if kind == BPE else best_path(w, score)
+                syms = merge_word(w, score) if rule == "merge" else best_path(w, score)
                 out.append([x for s in syms for x in ([ids[s]] if s in ids else [first_byte + c for c in s.encode()])])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], names=["word", "ids"])
 
     return run
 
 
-def best_path(word: str, score: dict[str, float], unknown: float = -1e4) -> list[str]:
+def best_path(word: str, score: dict[str, float], unknown: float = UNKNOWN) -> list[str]:
     """The Viterbi path of the fold, for words of any length."""
     longest = max(map(len, score), default=1)
     table_: list[tuple[float, int]] = [(0.0, 0)]
@@ -320,7 +381,7 @@ def _block_rows(pieces, first_byte: int, with_ids: bool):
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, path: str | None = None, with_ids: bool = False,
-                     lattice: bool = False) -> DataFrame:
+                     lattice: bool = False, rule: str | None = None) -> DataFrame:
     """(doc_id, n_pieces, ids_crc32, decoded_sha256[, ids]) of whole texts:
     ids little-endian unsigned 32-bit, the text decoded from them hashed."""
     vocab = Vocabulary(path or default_model())
@@ -329,8 +390,11 @@ def encode_documents(spark: SparkSession, docs: DataFrame, path: str | None = No
     rows = rows.withColumn("blk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long"))
     packed = rows.mapInArrow(_pack(blocks), "blk long, blob binary").repartition(blocks, "blk")
     words = (packed.groupBy("blk").applyInArrow(_block_words, "word string, blk long")
-             .groupBy("word").agg(F.collect_list("blk").alias("blks")))
-    coded = words.join(encode_words(spark, words, path, lattice), "word").select(F.explode("blks").alias("blk"), "word", "ids")
+             .groupBy("word", F.expr(f"blk div {BLOCKS_A_ROW}").alias("part")).agg(F.collect_list("blk").alias("blks")))
+    words = persist(spark, words, "words")
+    distinct = words.select("word").distinct() if blocks > BLOCKS_A_ROW else words.select("word")
+    coded = persist(spark, encode_words(spark, distinct, path, lattice, rule), "coded-words")
+    coded = words.join(coded, "word").select(F.explode("blks").alias("blk"), "word", "ids")
     schema = "doc_id long, n_pieces long, ids_crc32 long, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
     return (packed.groupBy("blk").cogroup(coded.repartition(blocks, "blk").groupBy("blk"))
             .applyInArrow(_block_rows(vocab.pieces, vocab.first_byte, with_ids), schema))
@@ -352,4 +416,4 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(spark, table(spark, sf_dir, "documents"), lattice=True)
+    return encode_documents(spark, table(spark, sf_dir, "documents"), lattice=True, rule="viterbi")

@@ -12,6 +12,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
+from pyspark.sql import functions as F
+
 from starweave.llm import bwt_merge, packing, prefix_hash, simhash, subwords, suffix_dedup
 from starweave.llm.common import workers_import
 from starweave.llm.components import components
@@ -201,23 +203,37 @@ def test_subwords_equal_the_library(spark, lattice):
 
 
 def test_the_query_runs_the_lattice(spark, monkeypatch, tmp_path):
-    docs(spark).limit(8).write.parquet(str(tmp_path / "documents.parquet"))
+    data = rows()[:30] + [(900, "x" * 3000 + " \u6f22\U0001f600\x01", "en", "s", 1)]
+    docs(spark, data).write.parquet(str(tmp_path / "documents.parquet"))
     joined = []
-    plain = subwords.edges
-    monkeypatch.setattr(subwords, "edges", lambda *a, **b: joined.append(1) or plain(*a, **b))
-    assert subwords.op10_sentencepiece(spark, str(tmp_path)).count() == 8 and joined
+    plain = subwords.word_edges
+    monkeypatch.setattr(subwords, "word_edges", lambda *a, **b: joined.append(1) or plain(*a, **b))
+    out = {(r["doc_id"], r["decoded_sha256"]): r for r in subwords.op10_sentencepiece(spark, str(tmp_path)).collect()}
+    vocab = subwords.Vocabulary(subwords.default_model())
+    score, ids = {p: s for p, _, s in vocab.pieces}, {p: i for p, i, _ in vocab.pieces}
+    assert joined
+    for i, t, *_ in data:
+        pieces = [p for w in subwords.words_of(t or "") for p in subwords.best_path(w, score)]
+        want = [x for p in pieces for x in ([ids[p]] if p in ids else [vocab.first_byte + c for c in p.encode()])]
+        r = out[i, hashlib.sha256((t or "").replace("\u2581", " ").encode()).hexdigest()]
+        assert (r["n_pieces"], r["ids_crc32"]) == (len(want), zlib.crc32(np.array(want, "<u4").tobytes()))
 
 
 def test_viterbi_fold(spark):
     score = {"a": -1.0, "b": -1.5, "ab": -1.2, "ba": -0.4, "aba": -3.0, "c": -2.0}
-    words = ["abab", "abac", "bbaab", "a", "zab"]
+    rnd = random.Random(3)
+    # segments of 64 symbols: words around and over their borders, unbroken runs, symbols outside the vocabulary
+    words = ["abab", "abac", "bbaab", "a", "zab", "a" * 63, "ab" * 32, "ba" * 64 + "a", "ab" * 5000]
+    words += sorted({"".join(rnd.choice("abcz\u6f22\U0001f600") for _ in range(rnd.randint(1, 200))) for _ in range(40)})
     df = spark.createDataFrame([(w,) for w in words], "word string")
     pieces = spark.createDataFrame([(p, i, s) for i, (p, s) in enumerate(score.items())], "piece string, id int, score double")
-    from pyspark.sql import functions as F
-
-    got = {r["word"]: r["p"] for r in subwords.edges(df, pieces, 3).withColumn(
-        "p", subwords.viterbi_fold(F.col("word"), F.col("score"), 3)).collect()}
-    assert got == {w: subwords.best_path(w, score) for w in words}
+    found = subwords.word_edges(df, pieces, 3).select(
+        F.expr("concat_ws('', transform(segs, g -> g.own))").alias("word"),
+        subwords.spelled(subwords.viterbi_fold(F.col("segs"), 3), 100).alias("ids"))
+    got = {r["word"]: r["ids"] for r in found.collect()}
+    ids = {p: i for i, p in enumerate(score)}
+    assert got == {w: [x for p in subwords.best_path(w, score) for x in ([ids[p]] if p in ids else [100 + c for c in p.encode()])]
+                   for w in words}
 
 
 def test_empty_tables(spark):
