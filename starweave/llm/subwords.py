@@ -43,7 +43,7 @@ BLOCK_BYTES = 8 << 20       # input bytes of one block of documents
 FOLD_SYMBOLS = 48
 SEGMENT = 64                # symbols of a word folded together
 BLOCKS_A_ROW = 1024         # blocks of a word listed in one row
-WORD_ROWS = 4 << 20         # bytes of words of one partition of the lattice
+WORD_ROWS = 256 << 10       # bytes of words of one partition of the lattice
 UNKNOWN = -1e4              # score of a symbol outside the vocabulary
 PACK_ROWS = 2048
 UNIGRAM, BPE = 1, 2
