@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import ALLOWED_VALUES, FOREIGN_KEYS, PRIMARY_KEYS
@@ -75,13 +75,17 @@ def header_vs_lines(transactions: DataFrame, details: DataFrame) -> DataFrame:
     return j.filter(bad)
 
 
+def stock_band(ending: Column, low: int = 20) -> Column:
+    """Status of a stock: 0 -> Out of Stock, below ``low`` -> Low, else Safe."""
+    return F.when(ending == 0, "Out of Stock").when(ending < low, "Low").otherwise("Safe")
+
+
 def stock_violations(inventory: DataFrame, low: int = 20) -> DataFrame:
     """Q8: ending = max(0, beginning + in - out); 0 -> Out of Stock,
     below ``low`` -> Low, else Safe."""
     ending = F.greatest(F.lit(0), F.col("beginning_stock") + F.col("stock_in") - F.col("stock_out"))
-    band = (F.when(F.col("ending_stock") == 0, "Out of Stock")
-             .when(F.col("ending_stock") < low, "Low").otherwise("Safe"))
-    return (inventory.withColumn("expected_ending", ending).withColumn("expected_status", band)
+    return (inventory.withColumn("expected_ending", ending)
+            .withColumn("expected_status", stock_band(F.col("ending_stock"), low))
             .filter((F.col("ending_stock") != F.col("expected_ending"))
                     | (F.col("stock_status") != F.col("expected_status"))))
 

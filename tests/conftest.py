@@ -26,7 +26,7 @@ def tpch_star(spark):
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con
 

@@ -7,8 +7,11 @@ import pytest
 import __spark_entry__ as E
 from starweave.plans.catalogue import CATALOGUE, TESTDATA
 from starweave.plans.load_checks import LOADS
+from starweave.plans.stock_checks import STOCK
+from starweave.plans.two_loads import TWO_LOADS
 
-NAMES = sorted(CATALOGUE) + sorted(LOADS)
+TABLE_QUERIES = LOADS | STOCK
+NAMES = sorted(CATALOGUE) + sorted(TABLE_QUERIES)
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -26,7 +29,7 @@ SPARK_TO_SQL = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "strin
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(name, spark, tpch_star, duck):
-    sdf = LOADS[name](spark, SMALL) if name in LOADS else CATALOGUE[name](tpch_star, TESTDATA)
+    sdf = TABLE_QUERIES[name](spark, SMALL) if name in TABLE_QUERIES else CATALOGUE[name](tpch_star, TESTDATA)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
     sql_types = dict(zip(rel.columns, map(str, rel.types)))
@@ -41,7 +44,7 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     optional = set(E.LLM_QUERIES) | {"pipeline"}
-    assert set(E.queries()) - optional == set(E.oracle_sql()) - optional == set(CATALOGUE) | set(LOADS)
+    assert set(E.queries()) - optional == set(E.oracle_sql()) - optional == {*CATALOGUE, *LOADS, *TWO_LOADS, *STOCK}
 
 
 def test_star_that_cannot_be_written_raises(spark, monkeypatch):
