@@ -71,6 +71,18 @@ def _approx_distinct_measure(name: str, key_col: str, rsd: float = 0.01) -> Meas
     return Measure(name, (Part(key_col, lambda: F.col(key_col), KEY, key_col),), final)
 
 
+TRX_COUNT = "trx__n"
+
+
+def counted_trx() -> Measure:
+    """``trx`` over rows that carry the number of their transactions."""
+    def final(cond):
+        n = F.col(TRX_COUNT)
+        return F.coalesce(F.sum(n if cond is None else F.when(cond, n)), F.lit(0).cast("long"))
+
+    return Measure("trx", (), final)
+
+
 def _count_measure(name: str) -> Measure:
     alias = f"{name}__c"
 

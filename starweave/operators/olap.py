@@ -9,12 +9,13 @@ recognised with GROUPING(), never by a NULL attribute (trap T5).
 
 from __future__ import annotations
 
+from itertools import combinations
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import KEY, MAX, MIN, SUM, Measure, measure
+from ..functions.measures import KEY, MAX, MIN, SUM, Measure, counted_trx, measure
 from ..plans.star import Star
 
 Where = Mapping[str, object] | None
@@ -43,6 +44,8 @@ def _base(star: Star, attrs: Sequence[str], ms: list[Measure], where: Where):
     if (star.approx_distinct or [m.name for m in distinct] != ["trx"] or not dims
             or not dims <= set(star.trx_level)):
         return star.base(attrs, ms, where), ms
+    if star.counts_by_key(attrs, ms, where):
+        return star.counted_base(attrs, ms, where)
     base = star.base(attrs, ms, where)
     outs = list(dict.fromkeys(star.resolve(a).out for a in attrs))
     merge = {SUM: F.sum, MIN: F.min, MAX: F.max}
@@ -59,7 +62,7 @@ def aggregate(star: Star, by: Sequence[str], measures: Iterable[str], where: Whe
     ms = _ms(star, measures)
     # plain GROUP BY: Spark's own distinct plan needs no more shuffles than the
     # collapse (measured), so the collapse is kept for Expand-based operators
-    base = star.base(by, ms, where)
+    base, ms = star.counted_base(by, ms, where)
     outs = [star.resolve(a).out for a in by]
     aggs = [m.agg(alias=names.get(m.name, m.name)) for m in ms]
     return base.groupBy(*outs).agg(*aggs) if outs else base.agg(*aggs)
@@ -94,8 +97,11 @@ def grouped(star: Star, keys: Sequence[str], measures: Iterable[str], mode: str
     """ROLLUP / CUBE / GROUPING SETS with a ``g_<key>`` GROUPING() flag per key."""
     names = dict(names or {})
     ms = _ms(star, measures)
-    base, ms = _base(star, keys, ms, where)
     outs = [star.resolve(k).out for k in keys]
+    split = _split_sets(star, keys, _sets(outs, mode, [[star.resolve(k).out for k in s] for s in sets or ()]))
+    if split and star.counts_by_key(keys, ms, where):
+        return _grouped_by_copies(star, keys, ms, split, where, names)
+    base, ms = _base(star, keys, ms, where)
     if mode == "rollup":
         gd = base.rollup(*outs)
     elif mode == "cube":
@@ -108,6 +114,52 @@ def grouped(star: Star, keys: Sequence[str], measures: Iterable[str], mode: str
     return gd.agg(*[m.agg(alias=names.get(m.name, m.name)) for m in ms], *flags)
 
 
+def _sets(outs: Sequence[str], mode: str, sets: Sequence[Sequence[str]]) -> list[tuple[str, ...]]:
+    """The grouping sets of a mode, written out."""
+    if mode == "rollup":
+        return [tuple(outs[:i]) for i in range(len(outs), -1, -1)]
+    if mode == "cube":
+        return [c for n in range(len(outs), -1, -1) for c in combinations(outs, n)]
+    return [tuple(o for o in outs if o in s) for s in sets]
+
+
+def _split_sets(star: Star, keys: Sequence[str], sets: list[tuple[str, ...]]):
+    """The sets as pairs (attributes of lines, attributes of the transaction
+    header); None where all are of one sort or a set comes twice."""
+    of_header = {star.resolve(k).out for k in keys if star.resolve(k).dim in star.trx_level}
+    pairs = [(tuple(o for o in s if o not in of_header), tuple(o for o in s if o in of_header)) for s in sets]
+    if not of_header or len(set(pairs)) < len(pairs) or not any(line for line, _ in pairs):
+        return None
+    return pairs
+
+
+def _grouped_by_copies(star: Star, keys: Sequence[str], ms: list[Measure], pairs, where: Where,
+                       names: Mapping[str, str]) -> DataFrame:
+    """Grouping sets over attributes of lines and of the header: transactions
+    are counted by the keys of large header dimensions once for each set of line
+    attributes, and those counts add over the header's."""
+    outs = [star.resolve(k).out for k in keys]
+    lines = list(dict.fromkeys(line for line, _ in pairs))
+    of_line = [o for o in outs if any(o in line for line in lines)]
+    of_header = [o for o in outs if o not in of_line]
+    base = star.base(keys, ms, where, count_trx=True, copies=lines)
+    ms = [counted_trx() if m.name == "trx" else m for m in ms]
+    kept = [*of_line, "__copy"]
+    flags = [F.grouping(o).alias(f"g_{o}") for o in of_header]
+    gd = base.groupingSets([[*kept, *h] for h in dict.fromkeys(h for _, h in pairs)], *kept, *of_header)
+    got = gd.agg(*[m.agg(alias=names.get(m.name, m.name)) for m in ms], *flags)
+    asked = F.lit(False)
+    for line, header in pairs:
+        one = F.col("__copy") == lines.index(line)
+        for o in of_header:
+            one = one & (F.col(f"g_{o}") == (0 if o in header else 1))
+        asked = asked | one
+    for o in of_line:
+        holds = F.col("__copy").isin([i for i, line in enumerate(lines) if o in line])
+        got = got.withColumn(f"g_{o}", F.when(holds, 0).otherwise(1).cast("tinyint"))
+    return got.where(asked).select(*outs, *[names.get(m.name, m.name) for m in ms], *[f"g_{o}" for o in outs])
+
+
 def roll_up(star: Star, levels: Sequence[str], measures: Iterable[str], labels: Sequence[str],
             where: Where = None, names: Mapping[str, str] | None = None) -> DataFrame:
     """Hierarchical subtotals, each level labelled when rolled up.

@@ -16,6 +16,10 @@ dimension between
   exchange.  With several large dimensions the fact is re-aggregated after
   each join (filtered and co-located dimensions first).
 
+Distinct transactions are counted by key before a large dimension of the
+transaction header (customer, store) is joined, so the transaction never
+travels through that join; counts of different keys add.
+
 ``scope`` adds filters to every query, ``approx_distinct`` turns distinct
 counts into HyperLogLog++ sketches, and ``join_mode`` forces one strategy
 (tests use it to check both give the same answer).
@@ -24,13 +28,13 @@ counts into HyperLogLog++ sketches, and ``join_mode`` forces one strategy
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Callable, Iterable, Mapping
+from typing import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import iso_year
-from ..functions.measures import KEY, MAX, MIN, SUM, Measure, measure
+from ..functions.measures import KEY, MAX, MIN, SUM, TRX_COUNT, Measure, counted_trx, measure
 
 # dimension name -> (table name, surrogate key)
 DIMENSIONS: dict[str, tuple[str, str]] = {
@@ -164,9 +168,39 @@ class Star:
         return preds
 
     # ------------------------------------------------------------ base
-    def base(self, attrs: Iterable[str], measures: Iterable[str | Measure],
-             where: Mapping | None = None, force: str | None = None) -> DataFrame:
-        """The fact at the grain (attrs + distinct keys), with measure parts.
+    def counts_by_key(self, attrs: Iterable[str], measures: Iterable[Measure], where: Mapping | None = None,
+                      force: str | None = None) -> bool:
+        """Whether transactions can be counted by the keys of the large
+        dimensions of a query, before these are joined: ``trx`` is its only
+        distinct count and every large dimension comes from the transaction
+        header, so the transactions of two keys are disjoint and their counts add."""
+        force = force or self.join_mode
+        parts = [p for m in measures for p in m.parts]
+        if self.approx_distinct or [m.name for m in measures if any(p.kind == KEY for p in m.parts)] != ["trx"]:
+            return False
+        columns = [p.source for p in parts if p.source and p.source not in self.fact.columns]
+        dims = {self.resolve(a).dim for a in (*attrs, *columns, *self.scope, *(where or {}))}
+        large = {d for d in dims if force != "broadcast" and (force == "preagg" or not self.broadcastable(d))}
+        return bool(large) and large <= set(self.trx_level)
+
+    def counted_base(self, attrs: Iterable[str], measures: Iterable[Measure], where: Mapping | None = None,
+                     force: str | None = None) -> tuple[DataFrame, list[Measure]]:
+        """``base`` and the measures to take over it, with the transactions
+        counted before the large dimensions are joined where that is exact for
+        a grouping by all of ``attrs``."""
+        attrs, measures = list(attrs), list(measures)
+        if not self.counts_by_key(attrs, measures, where, force):
+            return self.base(attrs, measures, where, force), measures
+        return (self.base(attrs, measures, where, force, count_trx=True),
+                [counted_trx() if m.name == "trx" else m for m in measures])
+
+    def base(self, attrs: Iterable[str], measures: Iterable[str | Measure], where: Mapping | None = None,
+             force: str | None = None, count_trx: bool = False, copies: Sequence[Sequence[str]] = ()) -> DataFrame:
+        """The fact at the grain (attrs + distinct keys), with measure parts;
+        with ``count_trx`` the number of transactions instead of their key.
+        ``copies`` (lists of attributes of joined-small dimensions) counts once
+        for each list, its number in ``__copy``, with the attributes of other
+        lists null.
 
         ``force`` = "broadcast" | "preagg" overrides the per-dimension choice
         (tests use it to check both plans give the same answer)."""
@@ -223,6 +257,11 @@ class Star:
         for d in small:
             f = f.join(F.broadcast(dim_side(d)), DIMENSIONS[d][1], "inner")
 
+        if copies:
+            f = f.withColumn("__copy", F.explode(F.array(*[F.lit(i) for i in range(len(copies))])))
+            for out in sorted({c for one in copies for c in one}):
+                holds = F.col("__copy").isin([i for i, one in enumerate(copies) if out in one])
+                f = f.withColumn(out, F.when(holds, F.col(out)))
         key_parts = [p.alias for p in parts if p.kind == KEY]
         small_outs = [o for d in small for o in need[d].values()]
         if not large:
@@ -240,8 +279,10 @@ class Star:
                                              self.bounds.get(d) or float("inf")))
         large_keys = [DIMENSIONS[d][1] for d in order]
         out_names = [a.out for a in out_attrs]
+        if count_trx:
+            key_parts = []
         fact_side_keys = [k for k in key_parts if k in fact_cols or k in small_outs]
-        grain = list(dict.fromkeys(small_outs + large_keys + fact_side_keys))
+        grain = list(dict.fromkeys(small_outs + large_keys + fact_side_keys + ["__copy"] * bool(copies)))
         merge = {SUM: F.sum, MIN: F.min, MAX: F.max}
         partial: dict[str, str] = {}                     # alias -> kind, present in g
         late: dict[str, list[tuple[str, str, str]]] = {}  # dim -> (alias, column, kind)
@@ -260,6 +301,9 @@ class Star:
                 continue
             aggs.append(merge[p.kind](line_parts[p.alias]).alias(p.alias))
             partial[p.alias] = p.kind
+        if count_trx:
+            aggs.append(F.count_distinct("transaction_id").alias(TRX_COUNT))
+            partial[TRX_COUNT] = SUM
         if not aggs:
             aggs, partial = [F.count(F.lit(1)).alias("__rows")], {"__rows": SUM}
         g = f.groupBy(*grain).agg(*aggs)
@@ -275,7 +319,7 @@ class Star:
             if i < len(order) - 1:
                 g = g.groupBy(*grain).agg(*[merge[k](F.col(a)).alias(a) for a, k in partial.items()])
         cols = list(dict.fromkeys(out_names + key_parts))
-        return g.select(*cols, *line_parts.keys())
+        return g.select(*cols, *line_parts.keys(), *[TRX_COUNT] * count_trx, *["__copy"] * bool(copies))
 
     # ------------------------------------------------------------ aggregate
     def aggregate(self, by: Iterable[str], measures: Iterable[str], where: Mapping | None = None,
@@ -283,7 +327,7 @@ class Star:
         """GROUP BY ``by`` with the named measures (plain star query)."""
         by = list(by)
         ms = [measure(m, self.approx_distinct) for m in measures]
-        base = self.base(by, ms, where, force)
+        base, ms = self.counted_base(by, ms, where, force)
         outs = [self.resolve(a).out for a in by]
         aggs = [m.agg() for m in ms]
         return base.groupBy(*outs).agg(*aggs) if outs else base.agg(*aggs)
