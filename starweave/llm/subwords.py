@@ -150,13 +150,14 @@ def merge_fold(word: Column, score: Column) -> Column:
     return F.when(F.length(word) > 1, F.aggregate(F.sequence(F.lit(2), F.length(word)), letters, step)).otherwise(letters)
 
 
-def word_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(key, segs) of distinct words, key the MD5 of the word: per segment
+def word_edges(words: DataFrame, pieces: DataFrame, longest: int, partitions: int) -> DataFrame:
+    """(key, segs) of distinct words, key the MD5 of the word.  The words are
+    shuffled once by key; their edges never leave the partition.  Per segment
     (s, own, edges) its own symbols and the pieces that end there, each
     (end, n, score, id) with n symbols, by end and n.  A symbol outside the
     vocabulary is an edge too, its id -1 - code point."""
     back = F.least(F.col("s") * SEGMENT, F.lit(longest - 1))    # symbols before the segment where a piece may start
-    segs = (words.select(F.unhex(F.md5("word")).alias("key"), "word")
+    segs = (words.select(F.unhex(F.md5("word")).alias("key"), "word").repartition(partitions, "key")
             .select("key", "word", F.explode(F.sequence(F.lit(0), F.expr(f"int((length(word) - 1) div {SEGMENT})"))).alias("s"))
             .withColumn("back", back)
             .select("key", "s", "back", F.substring(F.col("word"), F.col("s") * SEGMENT - F.col("back") + 1,
@@ -251,8 +252,7 @@ def encode_words(spark: SparkSession, words: DataFrame, path: str | None = None,
         return words.select("word").mapInArrow(alone, "word string, ids array<int>")
     pieces = spark.createDataFrame([(p, i, float(s)) for p, i, s in vocab.pieces], "piece string, id int, score double")
     if rule == "viterbi":
-        dealt = words.select("word").repartition(partitions_for(spark, plan_bytes(words), WORD_ROWS), F.md5("word"))
-        got = word_edges(dealt, pieces, vocab.longest)
+        got = word_edges(words, pieces, vocab.longest, partitions_for(spark, plan_bytes(words), WORD_ROWS))
         text = F.concat_ws("", F.transform("segs", lambda g: g["own"]))
         return got.select(text.alias("word"), viterbi_fold(F.col("segs"), vocab.longest).alias("ids")).select(
             "word", spelled(F.col("ids"), vocab.first_byte).alias("ids"))

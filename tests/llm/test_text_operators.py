@@ -227,9 +227,10 @@ def test_viterbi_fold(spark):
     words += sorted({"".join(rnd.choice("abcz\u6f22\U0001f600") for _ in range(rnd.randint(1, 200))) for _ in range(40)})
     df = spark.createDataFrame([(w,) for w in words], "word string")
     pieces = spark.createDataFrame([(p, i, s) for i, (p, s) in enumerate(score.items())], "piece string, id int, score double")
-    found = subwords.word_edges(df, pieces, 3).select(
+    found = subwords.word_edges(df, pieces, 3, 4).select(
         F.expr("concat_ws('', transform(segs, g -> g.own))").alias("word"),
         subwords.spelled(subwords.viterbi_fold(F.col("segs"), 3), 100).alias("ids"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
     got = {r["word"]: r["ids"] for r in found.collect()}
     ids = {p: i for i, p in enumerate(score)}
     assert got == {w: [x for p in subwords.best_path(w, score) for x in ([ids[p]] if p in ids else [100 + c for c in p.encode()])]
