@@ -252,5 +252,5 @@ def test_registered_names():
     import __spark_entry__ as E
 
     names = list(E.queries())
-    assert "pipeline" in names and sum(bool(re.match(r"op\d+_", n)) for n in names) == 10
+    assert "pipeline" in names and sum(bool(re.match(r"op\d+_", n)) for n in names) == 13
     assert hashlib.sha256(b"").hexdigest()[:4] == "e3b0"
