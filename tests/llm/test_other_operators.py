@@ -135,6 +135,27 @@ def test_toxicity_learns_and_ignores_held_out(spark):
     assert np.allclose(again.score, got.score)
 
 
+def test_toxicity_trains_on_every_labelled_row(spark):
+    """Also on texts of more than 100,000 characters, and over several shards."""
+    data, _ = _toxic_data(60)
+    long_ones = [(i, "zorgle " * 14_300 + "zorgle", "en", "s", 1) for i in range(100, 106)]
+    data = [row for row in data if "zorgle" not in row[1]] + long_ones
+    lab = spark.createDataFrame([(i, 1, int(i >= 100)) for i, *_ in data], "doc_id long, quality int, toxic int")
+    model = toxicity.train_on(spark, docs(spark, data), lab)
+    got = toxicity.score(spark, docs(spark, data), model).toPandas().set_index("doc_id").score
+    assert (got[got.index >= 100] >= toxicity.DECISION).all() and (got[got.index < 100] < toxicity.DECISION).all()
+
+
+def test_toxicity_of_several_shards(spark):
+    data, labels = _toxic_data(600)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    models = [toxicity.train_on(spark, docs(spark, data).repartition(n), lab, shard_rows=100) for n in (1, 5)]
+    assert np.array_equal(models[0].params, models[1].params) and models[0].thresholds == models[1].thresholds
+    got = toxicity.score(spark, docs(spark, data), models[0]).toPandas()
+    truth = {i: t for i, _, t in labels}
+    assert np.mean([(s >= toxicity.DECISION) == bool(truth[i]) for i, s in zip(got.doc_id, got.score)]) > 0.9
+
+
 KIND_RE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
            "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
