@@ -37,13 +37,14 @@ def version_intervals(versions: DataFrame, key: str, effective: str = "effective
 
 
 def as_of_join(rows: DataFrame, intervals: DataFrame, key: str, when: str, columns: list[str],
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", few: bool = False) -> DataFrame:
     """``rows`` with ``columns`` (of other names than its own) of the version
     of ``key`` in force on the day ``when``.  ``intervals`` come from ``version_intervals``, clipped to the
-    days that occur (one row a month is made of each)."""
+    days that occur (one row a month is made of each); ``few`` broadcasts them."""
     months = F.sequence(F.trunc("in_force_from", "month"), F.trunc("in_force_to", "month"), F.expr("INTERVAL 1 MONTH"))
     side = intervals.select(F.col(key).alias("__key"), *columns, F.col("in_force_from").alias("__from"),
                             F.col("in_force_to").alias("__to"), F.explode(months).alias("__month"))
+    side = F.broadcast(side) if few else side
     match = ((F.col(key) == F.col("__key")) & (F.trunc(when, "month") == F.col("__month"))
              & F.col(when).between(F.col("__from"), F.col("__to")))
     return rows.join(side, match, how).drop("__key", "__from", "__to", "__month")

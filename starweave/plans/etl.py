@@ -33,6 +33,8 @@ from .star import FACT_PARTITION, Star
 
 MONEY = T.DecimalType(15, 2)
 SUCCESS = "Success"
+FEW_ROWS = 200_000       # rows of campaign versions by month that are broadcast
+PART_TRX = 50_000        # transactions of a part of the join of headers, campaigns and lines
 CAMPAIGN_TRACKED = ("campaign_name", "campaign_type", "channel", "target_segment")   # a change opens a version (S12)
 
 
@@ -114,30 +116,46 @@ def headers(src: Mapping[str, DataFrame]) -> DataFrame:
                     "customer_id", "payment_method"))
 
 
-def success_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout", trx: DataFrame | None = None) -> DataFrame:
-    """J1 (detail x Success transaction), S4, J2 and P6: the campaign of
-    each line under the chosen fan-out policy, NO_PROMO when none.  ``trx``
-    are the headers, with or without what was looked up for them."""
-    trx = headers(src) if trx is None else trx
-    promo = src["promotion_usage"].select("transaction_id", "campaign_id").distinct()
-    df = src["sales_transaction_details"].join(trx, "transaction_id", "inner")
+def campaigns_used(src: Mapping[str, DataFrame], promo_policy: str = "fanout", trx: DataFrame | None = None) -> DataFrame:
+    """(transaction_id, campaign_id) under the fan-out policy, of the
+    transactions ``trx`` if given (the join by transaction comes first, so the
+    rows are not shuffled again to drop repeated ones)."""
+    promo = src["promotion_usage"].select("transaction_id", "campaign_id")
+    if trx is not None:
+        promo = promo.join(trx.select("transaction_id"), "transaction_id", "left_semi")
+    promo = promo.distinct()
     if promo_policy == "first":
-        promo = promo.groupBy("transaction_id").agg(F.min("campaign_id").alias("campaign_id"))
-    elif promo_policy == "allocate":
+        return promo.groupBy("transaction_id").agg(F.min("campaign_id").alias("campaign_id"))
+    if promo_policy == "allocate":
         # campaigns per transaction: a handful, so these windows stay small
         w = Window.partitionBy("transaction_id").orderBy("campaign_id")
-        promo = (promo.withColumn("__k", F.count(F.lit(1)).over(Window.partitionBy("transaction_id")))
-                      .withColumn("__i", F.row_number().over(w)))
-    elif promo_policy != "fanout":
+        return (promo.withColumn("__k", F.count(F.lit(1)).over(Window.partitionBy("transaction_id")))
+                     .withColumn("__i", F.row_number().over(w)))
+    if promo_policy != "fanout":
         raise ValueError(f"promo_policy must be fanout, allocate or first, not {promo_policy!r}")
+    return promo
+
+
+def with_campaigns(df: DataFrame, promo: DataFrame) -> DataFrame:
+    """A row for each campaign of the transaction, NO_PROMO when none."""
     df = df.join(promo, "transaction_id", "left")
     return df.withColumn("campaign_id", F.coalesce(F.col("campaign_id"), F.lit(NO_PROMO["campaign_id"])))
 
 
-def fact_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout", trx: DataFrame | None = None) -> DataFrame:
-    """J1 continued: product cost and supplier (S3: three product columns)."""
+def success_lines(src: Mapping[str, DataFrame], promo_policy: str = "fanout") -> DataFrame:
+    """J1 (detail x Success transaction), S4, J2 and P6: the campaign of
+    each line under the chosen fan-out policy."""
+    df = src["sales_transaction_details"].join(headers(src), "transaction_id", "inner")
+    return with_campaigns(df, campaigns_used(src, promo_policy))
+
+
+def costed_lines(src: Mapping[str, DataFrame], trx: DataFrame) -> DataFrame:
+    """J1 continued: the lines of ``trx``, each once, with product cost and
+    supplier (S3: three product columns)."""
     prods = src["products"].select("product_id", "cost_price", "supplier_id")
-    return success_lines(src, promo_policy, trx).join(prods, "product_id", "inner")
+    lines = src["sales_transaction_details"].select(
+        "transaction_id", "detail_id", "product_id", "quantity", "unit_price", "discount_per_item", "subtotal")
+    return lines.join(trx.select("transaction_id"), "transaction_id", "left_semi").join(prods, "product_id", "inner")
 
 
 def _split(x: DataFrame, col: str, scale: int) -> F.Column:
@@ -151,13 +169,19 @@ def _split(x: DataFrame, col: str, scale: int) -> F.Column:
 
 
 def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_policy: str = "fanout",
-         span: tuple | None = None) -> DataFrame:
+         span: tuple | None = None, few_versions: bool = False, n_trx: int = 0) -> DataFrame:
     """J3 + P4: surrogate-key lookups (inner: unmatched lines are reported by
     ``quality.fact_orphans`` instead) and the five measures.  Date, payment,
-    customer and store belong to the header and are looked up there, before
-    the lines and the promotion fan-out multiply the rows.  A sale gets the
-    version of its campaign that was in force on its day (S5, S12); ``span``
-    are the first and last day of the calendar, read from it if not given."""
+    customer and store belong to the header and are looked up there.  The
+    campaigns and their versions in force on the day of the sale (S5, S12) are
+    the header's too: it is fanned out by them, and meets the lines, which have
+    their cost and supplier by then, in one join by transaction at the end.  So
+    no join but that one carries a line more than once, and its rows lie by
+    transaction.  ``span`` are the first and last day of the calendar, read
+    from it if not given; ``few_versions`` tells that the promotion dimension
+    is proven small, and ``n_trx`` how many transactions there are: the join by
+    transaction is cut into parts of ``PART_TRX``, since a part of the shuffle
+    is multiplied there and its memory does not follow from its bytes."""
     first, last = span or dims["time"].agg(F.min("full_date"), F.max("full_date")).first()
     look = {
         "time": (dims["time"].select("time_key", F.col("full_date").alias("transaction_date")), "transaction_date"),
@@ -172,14 +196,17 @@ def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_poli
         # The calendar and the payment map have fixed sizes; other lookups
         # are left to AQE's runtime size check.
         trx = trx.join(F.broadcast(lk) if name in ("time", "payment") else lk, nk, "inner")
-    df = fact_lines(src, promo_policy, trx)
+    if n_trx > PART_TRX:
+        trx = trx.repartition(-(-n_trx // PART_TRX), "transaction_id")
+    trx = with_campaigns(trx, campaigns_used(src, promo_policy, headers(src)))
+    versions = dims["promotion"].select("promotion_key", "campaign_id", "effective_date")
+    trx = as_of_join(trx, version_intervals(versions, "campaign_id", first=first, last=last),
+                     "campaign_id", "transaction_date", ["promotion_key"], few=few_versions)
+    df = costed_lines(src, headers(src))
     # The product key is a function of product_id and the lines were already
     # joined to the products table, so no second product lookup (no shuffle).
     df = df.withColumn("product_key", surrogate_key(df, "product_id"))
-    df = df.join(look["supplier"][0], look["supplier"][1], "inner")
-    versions = dims["promotion"].select("promotion_key", "campaign_id", "effective_date")
-    df = as_of_join(df, version_intervals(versions, "campaign_id", first=first, last=last),
-                    "campaign_id", "transaction_date", ["promotion_key"])
+    df = df.join(look["supplier"][0], look["supplier"][1], "inner").join(trx, "transaction_id", "inner")
 
     qty = F.col("quantity")
     measures = {
@@ -201,8 +228,8 @@ def fact(src: Mapping[str, DataFrame], dims: Mapping[str, DataFrame], promo_poli
 
 
 def sale_dates(src: Mapping[str, DataFrame]) -> tuple:
-    """First and last date of the Success transactions (one row)."""
-    return headers(src).agg(F.min("transaction_date"), F.max("transaction_date")).first()
+    """First and last date of the Success transactions, and how many these are (one row)."""
+    return headers(src).agg(F.min("transaction_date"), F.max("transaction_date"), F.count(F.lit(1))).first()
 
 
 def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start=None,
@@ -215,8 +242,8 @@ def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start
 
     The calendar covers all sales unless ``calendar_start`` is given; sales
     outside a given range are dropped and listed by ``quality.fact_orphans``."""
+    lo, hi, n_trx = sale_dates(src)
     if calendar_start is None:
-        lo, hi = sale_dates(src)
         if lo is not None:
             calendar_start, calendar_end = lo, calendar_end or hi
         else:
@@ -230,7 +257,16 @@ def build_star(spark: SparkSession, src: Mapping[str, DataFrame], calendar_start
     # campaign is single-valued only when one campaign is kept per transaction
     trx_level = {"time", "customer", "store", "payment"} | ({"promotion"} if promo_policy == "first" else set())
     span = calendar_span(calendar_start, calendar_days, calendar_end)
-    return Star(fact(src, dims, promo_policy, span), dims, bounds, trx_level=frozenset(trx_level))
+    # versions are counted first: their join with the sales is then no shuffle of all sales
+    bounds["promotion"] = dims["promotion"].count()
+    return Star(fact(src, dims, promo_policy, span, few_versions(bounds["promotion"], span), n_trx), dims, bounds,
+                trx_level=frozenset(trx_level))
+
+
+def few_versions(n: int, span: tuple) -> bool:
+    """Whether ``n`` versions, cut into the months of ``span``, stay a small table."""
+    days = (dt.date.fromisoformat(str(span[1])[:10]) - dt.date.fromisoformat(str(span[0])[:10])).days
+    return n * (days // 28 + 2) <= FEW_ROWS
 
 
 def load_warehouse(spark: SparkSession, src: Mapping[str, DataFrame], out: str | None = None,

@@ -19,19 +19,20 @@ and status belong to the transaction.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.asof import as_of_join, version_intervals
 from ..session import new_table_path
-from .etl import build_star, day_of_load, fact, headers, next_promotions
+from .etl import build_star, day_of_load, fact, few_versions, headers, next_promotions
 from .materialize import fact_parts, manifest_value, read_parts, read_star, write_dimensions, write_fact, write_manifest
 from .star import DIMENSIONS, FACT_PARTITION, Star
 
-DIGESTS = "_digests"
+DIGESTS = "_transaction_digests"     # another name than those hashed otherwise
 MAX_PARTS = 12     # folders of a fact before a load writes all years again
 
 
@@ -50,18 +51,26 @@ def transaction_digests(src: Mapping[str, DataFrame]) -> DataFrame:
     Rows of three tables meet in one aggregation by transaction; sums of hashes
     are combined before the shuffle, so one transaction with very many lines
     sends few rows."""
-    def rows(df: DataFrame, kind: str, year=None) -> DataFrame:
+    def hashed(df: DataFrame) -> Column:
         cols = [F.col(c) for c in sorted(df.columns) if c != "transaction_id"]
+        return F.xxhash64(*[c.isNull() for c in cols], *cols)
+
+    def rows(df: DataFrame, kind: str, h: Column, year=None) -> DataFrame:
         return df.select("transaction_id", (F.lit(None).cast("int") if year is None else year).alias(FACT_PARTITION),
-                         F.lit(kind == "H").alias("header"),
-                         F.xxhash64(F.lit(kind), *[c.isNull() for c in cols], *cols).cast("decimal(20,0)").alias("h"))
+                         F.lit(kind == "H").alias("header"), F.xxhash64(F.lit(kind), h).cast("decimal(20,0)").alias("h"))
 
+    # lines and products meet as hashes: the join by product carries two numbers and its key
     made_of = src["products"].select("product_id", "cost_price", "supplier_id")
+    made_of = made_of.select("product_id", hashed(made_of).alias("__made_of"))
     lines = src["sales_transaction_details"].select(
         "transaction_id", "detail_id", "product_id", "quantity", "unit_price", "discount_per_item", "subtotal")
-    usage = src["promotion_usage"].select("transaction_id", "campaign_id").distinct()
-    parts = (rows(headers(src), "H", F.year("transaction_date"))
-             .unionByName(rows(lines.join(made_of, "product_id", "left"), "L")).unionByName(rows(usage, "U")))
+    lines = lines.select("transaction_id", "product_id", hashed(lines).alias("__line")).join(made_of, "product_id", "left")
+    # shuffled by transaction, so that dropping repeated campaigns leaves one row a transaction to the aggregation
+    usage = src["promotion_usage"].select("transaction_id", "campaign_id").repartition("transaction_id").distinct()
+    trx = headers(src)
+    parts = (rows(trx, "H", hashed(trx), F.year("transaction_date"))
+             .unionByName(rows(lines, "L", F.xxhash64("__line", "__made_of")))
+             .unionByName(rows(usage, "U", hashed(usage))))
     return (parts.groupBy("transaction_id")
             .agg(F.max(FACT_PARTITION).alias(FACT_PARTITION), F.max("header").alias("header"),
                  F.sum("h").alias("digest"), F.count(F.lit(1)).alias("n"))
@@ -96,10 +105,19 @@ def changed_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.unionByName(new).join(keys, key, "left_semi")
 
 
+def found(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as files: its size is then known to the joins that look it up, so
+    a few changed rows are broadcast and the transactions not shuffled for them."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def touched_transactions(src: Mapping[str, DataFrame], old: Star, new: Star, before: DataFrame, after: DataFrame,
-                         span: tuple) -> DataFrame:
+                         span: tuple, path: str) -> DataFrame:
     """(transaction_id, kind, sale_year, was_year): added, removed, changed,
-    or 'dimension' where only a dimension row that it uses differs."""
+    or 'dimension' where only a dimension row that it uses differs.  The
+    differing rows of the dimensions are written below ``path``; transactions
+    are looked through only for dimensions that have some."""
     was = before.select("transaction_id", F.col("digest").alias("was"), F.col("n").alias("was_n"),
                         F.col(FACT_PARTITION).alias("was_year"))
     both = after.join(was, "transaction_id", "full_outer")
@@ -108,25 +126,32 @@ def touched_transactions(src: Mapping[str, DataFrame], old: Star, new: Star, bef
     both = both.withColumn("kind", kind)
 
     trx, lines = headers(src), src["sales_transaction_details"].select("transaction_id", "product_id")
-    ids = []
+    ids = [both.where("false").select("transaction_id")]
     for dim, natural in (("store", "store_id"), ("customer", "customer_id")):
-        rows = changed_rows(old.dims[dim], new.dims[dim], DIMENSIONS[dim][1]).select(natural).distinct()
-        ids.append(trx.join(rows, natural, "left_semi").select("transaction_id"))
+        rows = found(changed_rows(old.dims[dim], new.dims[dim], DIMENSIONS[dim][1]).select(natural).distinct(), f"{path}/{dim}")
+        if not rows.isEmpty():
+            ids.append(trx.join(rows, natural, "left_semi").select("transaction_id"))
     products = changed_rows(old.dims["product"], new.dims["product"], "product_key").select("product_id")
     suppliers = changed_rows(old.dims["supplier"], new.dims["supplier"], "supplier_key").select("supplier_id").distinct()
+    suppliers = found(suppliers, f"{path}/supplier")
     supplied = src["products"].join(suppliers, "supplier_id", "left_semi").select("product_id")
-    ids.append(lines.join(products.union(supplied).distinct(), "product_id", "left_semi").select("transaction_id"))
+    products = found(products.union(supplied).distinct(), f"{path}/product")
+    if not products.isEmpty():
+        ids.append(lines.join(products, "product_id", "left_semi").select("transaction_id"))
     # A version that closed still stands for the days before: what counts is a
     # version that is new, for the days on which it is in force.
     told = ["promotion_key", "campaign_id", "campaign_name", "campaign_type", "channel", "target_segment"]
     known = old.dims["promotion"].select(*told)
     in_force = version_intervals(new.dims["promotion"].select(*told, "effective_date"), "campaign_id", first=span[0], last=span[1])
-    opened = in_force.join(known, [in_force[c].eqNullSafe(known[c]) for c in told], "left_anti")
-    used = (src["promotion_usage"].select("transaction_id", "campaign_id").distinct()
-            .join(trx.select("transaction_id", "transaction_date"), "transaction_id"))
-    ids.append(as_of_join(used, opened, "campaign_id", "transaction_date", ["promotion_key"]).select("transaction_id"))
-
-    by_dimension = ids[0].unionByName(ids[1]).unionByName(ids[2]).unionByName(ids[3]).distinct().withColumn("dim", F.lit(True))
+    opened = found(in_force.join(known, [in_force[c].eqNullSafe(known[c]) for c in told], "left_anti"), f"{path}/promotion")
+    lo, hi, n = opened.agg(F.min("in_force_from"), F.max("in_force_to"), F.count(F.lit(1))).first()
+    if n:
+        sold = trx.where(F.col("transaction_date").between(F.lit(lo), F.lit(hi))).select("transaction_id", "transaction_date")
+        used = src["promotion_usage"].select("transaction_id", "campaign_id").join(sold, "transaction_id").distinct()
+        used = as_of_join(used, opened, "campaign_id", "transaction_date", ["promotion_key"], few=few_versions(n, (lo, hi)))
+        ids.append(used.select("transaction_id"))
+
+    by_dimension = reduce(DataFrame.unionByName, ids).distinct().withColumn("dim", F.lit(True))
     return (both.join(by_dimension, "transaction_id", "left")
             .withColumn("kind", F.coalesce("kind", F.when(F.col("dim"), "dimension"))).where("kind is not null")
             .select("transaction_id", "kind", FACT_PARTITION, "was_year"))
@@ -155,7 +180,8 @@ def advance(spark: SparkSession, src: Mapping[str, DataFrame], previous: str, lo
     span = dims["time"].agg(F.min("full_date"), F.max("full_date")).first()
 
     after = write_digests(spark, src, path)
-    touched_transactions(src, old, new, read_digests(spark, previous), after, span).write.mode("overwrite").parquet(f"{path}/_touched")
+    touched_transactions(src, old, new, read_digests(spark, previous), after, span,
+                         f"{path}/_changed").write.mode("overwrite").parquet(f"{path}/_touched")
     touched = spark.read.parquet(f"{path}/_touched")
     years = sorted({y for r in touched.select(FACT_PARTITION, "was_year").distinct().collect() for y in r if y is not None})
 
@@ -170,7 +196,7 @@ def advance(spark: SparkSession, src: Mapping[str, DataFrame], previous: str, lo
     left = [(folder, own) for folder, own in left if own]
 
     kept = old.fact.where(F.col(FACT_PARTITION).isin(years)).join(ids, "transaction_id", "left_anti")
-    fresh = fact(restrict(src, ids), dims, promo_policy, span)
+    fresh = fact(restrict(src, ids), dims, promo_policy, span, few_versions(counts["dim_promotion"], span), touched.count())
     rows = write_fact(kept.unionByName(fresh), path)
     rows += read_parts(spark, left, schema).count() if left else 0       # file footers
     values = {"trx_level": ",".join(sorted(plan.trx_level)), "promo_policy": promo_policy, "fact_schema": schema.json()}

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import olap as O
 from ..session import app_id, new_table_path
-from ..sources.retail_tpch import campaign_id, campaigns, discounts, retail_from_tpch
+from ..sources.retail_tpch import campaigns, discounts, retail_from_tpch
 from ..sources.tpch import read_tpch
 from .catalogue import TESTDATA, edge
 from .etl import build_star
@@ -43,10 +43,9 @@ def counted_campaigns(tables: dict[str, DataFrame], before: str | None = None) -
         F.col("o_orderkey").alias("transaction_id"), F.to_date("o_orderdate").alias("day")), "transaction_id")
     if before:
         used = used.where(F.col("day") < F.lit(before).cast("date"))
-    n = used.groupBy(campaign_id(F.col("pct")).alias("campaign_id")).agg(F.count(F.lit(1)).alias("n"))
-    table = campaigns(used)
-    return (table.join(n, "campaign_id")
-            .withColumn("campaign_name", F.concat_ws(" ", "campaign_name", F.col("n").cast("string"))).select(*table.columns))
+    n = used.groupBy("pct").agg(F.count(F.lit(1)).alias("n"))       # the only pass over the orders
+    named = F.concat_ws(" ", "campaign_name", F.col("n").cast("string"))
+    return campaigns(n, "n").withColumn("campaign_name", named).drop("n")
 
 
 def landed(spark: SparkSession, src: dict[str, DataFrame]) -> dict[str, DataFrame]:

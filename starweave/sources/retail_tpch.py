@@ -47,20 +47,25 @@ def campaign_id(pct: Column) -> Column:
     return F.format_string("CAM%03d", pct)
 
 
+def discounted(src: dict[str, DataFrame]) -> DataFrame:
+    """(transaction_id, pct) of the lines with a non-zero discount."""
+    return src["lineitem"].select(F.col("l_orderkey").alias("transaction_id"), _cents("l_discount").alias("pct")).where("pct > 0")
+
+
 def discounts(src: dict[str, DataFrame]) -> DataFrame:
-    """(transaction_id, pct): the distinct non-zero discounts of each order."""
-    return (src["lineitem"].select(F.col("l_orderkey").alias("transaction_id"), _cents("l_discount").alias("pct"))
-            .where("pct > 0").distinct())
+    """(transaction_id, pct): the distinct non-zero discounts of each order,
+    shuffled by the order alone, so a join by it needs no further shuffle."""
+    return discounted(src).repartition("transaction_id").distinct()
 
 
-def campaigns(pcts: DataFrame) -> DataFrame:
-    """One campaign for each value of ``pct``."""
+def campaigns(pcts: DataFrame, *more: str) -> DataFrame:
+    """One campaign for each value of ``pct``, with the columns ``more`` that depend on it."""
     i = ((F.col("pct") - 1) % 4 + 1).cast("int")
-    return pcts.select("pct").distinct().select(
+    return pcts.select("pct", *more).distinct().select(
         campaign_id(F.col("pct")).alias("campaign_id"), F.format_string("Campaign %d", F.col("pct")).alias("campaign_name"),
         _pick(CAMPAIGN_TYPES, i).alias("campaign_type"), F.lit(CAMPAIGN_DATES[0]).cast("date").alias("start_date"),
         F.lit(CAMPAIGN_DATES[1]).cast("date").alias("end_date"), _pick(CHANNELS, i).alias("channel"),
-        F.lit(0).cast(MONEY).alias("campaign_budget"), F.lit("All").alias("target_segment"))
+        F.lit(0).cast(MONEY).alias("campaign_budget"), F.lit("All").alias("target_segment"), *more)
 
 
 def retail_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -119,4 +124,4 @@ def retail_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         campaign_id(F.col("pct")).alias("campaign_id"), "transaction_id", "customer_id", "usage_date")
     return {"customers": customers, "stores": stores, "suppliers": suppliers, "products": products,
             "sales_transactions": transactions, "sales_transaction_details": details,
-            "marketing_campaigns": campaigns(used), "promotion_usage": usage}
+            "marketing_campaigns": campaigns(discounted(src)), "promotion_usage": usage}
