@@ -59,15 +59,17 @@ def transaction_digests(src: Mapping[str, DataFrame]) -> DataFrame:
         return df.select("transaction_id", (F.lit(None).cast("int") if year is None else year).alias(FACT_PARTITION),
                          F.lit(kind == "H").alias("header"), F.xxhash64(F.lit(kind), h).cast("decimal(20,0)").alias("h"))
 
+    trx = headers(src)
+    known = trx.select("transaction_id")
     # lines and products meet as hashes: the join by product carries two numbers and its key
     made_of = src["products"].select("product_id", "cost_price", "supplier_id")
     made_of = made_of.select("product_id", hashed(made_of).alias("__made_of"))
     lines = src["sales_transaction_details"].select(
         "transaction_id", "detail_id", "product_id", "quantity", "unit_price", "discount_per_item", "subtotal")
-    lines = lines.select("transaction_id", "product_id", hashed(lines).alias("__line")).join(made_of, "product_id", "left")
-    # shuffled by transaction, so that dropping repeated campaigns leaves one row a transaction to the aggregation
-    usage = src["promotion_usage"].select("transaction_id", "campaign_id").repartition("transaction_id").distinct()
-    trx = headers(src)
+    lines = lines.select("transaction_id", "product_id", hashed(lines).alias("__line"))
+    lines = lines.join(known, "transaction_id", "left_semi").join(made_of, "product_id", "left")
+    # by transaction before repeated campaigns are dropped: no second shuffle for that
+    usage = src["promotion_usage"].select("transaction_id", "campaign_id").join(known, "transaction_id", "left_semi").distinct()
     parts = (rows(trx, "H", hashed(trx), F.year("transaction_date"))
              .unionByName(rows(lines, "L", F.xxhash64("__line", "__made_of")))
              .unionByName(rows(usage, "U", hashed(usage))))
