@@ -108,8 +108,16 @@ def shard_strings(strings: list[bytes], symbols: int = SHARD_SYMBOLS) -> list[li
 
 def least_owner(strings: list[bytes], owner: np.ndarray, depth: int,
                 symbols: int = SHARD_SYMBOLS) -> list[np.ndarray]:
+    """``least_owners`` string by string."""
+    least, windows = least_owners(strings, owner, depth, symbols)
+    return np.split(least, np.cumsum(windows)[:-1])
+
+
+def least_owners(strings: list[bytes], owner: np.ndarray, depth: int,
+                 symbols: int = SHARD_SYMBOLS) -> tuple[np.ndarray, np.ndarray]:
     """For every string the least owner of any string that holds the same
-    ``depth`` characters, per start of a window of that many characters."""
+    ``depth`` characters, per start of a window of that many characters: one
+    array of all, and how many windows each string has."""
     groups = [g for g in shard_strings(strings, symbols) if g]
     shards = [Shard([strings[i] for i in g]) for g in groups]
     label, start = merge(shards, depth)
@@ -127,7 +135,5 @@ def least_owner(strings: list[bytes], owner: np.ndarray, depth: int,
         pos = np.repeat(first - np.concatenate(([0], np.cumsum(windows)[:-1])), windows) + np.arange(windows.sum())
         np.minimum.at(least, inverse[pos], np.repeat(owner[g], windows))
         where.append((inverse[pos], windows))
-    out: list[np.ndarray] = []
-    for blocks, windows in where:
-        out += np.split(least[blocks], np.cumsum(windows)[:-1])
-    return out                                   # groups hold consecutive strings, so this is their order
+    blocks, windows = (np.concatenate(x) for x in zip(*where))     # groups hold consecutive strings, so this is their order
+    return least[blocks], windows

@@ -7,7 +7,9 @@ segment.  Keys that occur in one document only cannot repeat and are set
 aside; the segments of the other keys are dealt out by key, so that equal
 windows meet in one bucket.  There the Burrows-Wheeler transforms of shards of
 segments are merged (``bwt_merge``), and the blocks of suffixes with WIDTH
-common characters give the least document of every window.
+common characters give the least document of every window.  Keys, segments and
+spans travel in compressed blocks, one from a task to a part, and a part is as
+much as a few MB of texts make.
 
 Skew: equal segments are combined to the least document before they are
 shuffled, so a passage held by a third of all documents costs one row a batch;
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .bwt_merge import least_owner
+from .bwt_merge import least_owners
 from .common import frugal, partitions_for, persist, plan_bytes, table
 
 WIDTH = 50
@@ -42,6 +44,8 @@ BUCKET_SYMBOLS = 1 << 20    # segment bytes merged at once
 HOT_DOCS = 5_000            # documents of a key before it is dealt out by window
 HOT_KEYS = 1_000_000        # the threshold rises so that at most so many keys can be hot
 SEEN_KEYS = 200_000
+HELD_ROWS = 4_000_000       # keys, and bytes of segments, that a task holds before it sends them
+HELD_BYTES = 64 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -109,25 +113,73 @@ def text_batches(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) ->
             yield batch.slice(a, b - a)
 
 
+# -- rows in blocks ----------------------------------------------------------------
+
+BLOCK = "part int, kind byte, blob binary"
+
+
+def parts_of(x: np.ndarray, parts: int) -> np.ndarray:
+    """The part, of 0 to parts - 1, of each of some integers."""
+    mixed = (x.astype(np.int64).view(np.uint64) * np.uint64(BASE)) >> np.uint64(32)
+    return ((mixed * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+
+
+def blocks(rows: pa.RecordBatch, part: np.ndarray, parts: int, kind: int = 1) -> Iterator[pa.RecordBatch]:
+    """``rows`` as one row (part, kind, blob) a part that has any: what a task
+    sends grows with its rows in bytes, not in rows for the JVM to sort."""
+    order = np.argsort(part, kind="stable")
+    rows = rows.take(pa.array(order))
+    at = np.searchsorted(part[order], np.arange(parts + 1))
+    full = np.flatnonzero(np.diff(at))
+    for i in range(0, len(full), 64):
+        blobs = []
+        for k in full[i:i + 64].tolist():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                w.write_batch(rows.slice(at[k], at[k + 1] - at[k]))
+            blobs.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(full[i:i + 64], pa.int32()), pa.array(np.full(len(blobs), kind, np.int8)), pa.array(blobs, pa.binary())],
+            names=["part", "kind", "blob"])
+
+
+def unblocked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(kind, rows) of ``blocks``."""
+    for batch in batches:
+        for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob")):
+            for rows in pa.ipc.open_stream(blob.as_buffer()):
+                yield kind, rows
+
+
+def one_batch(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
+
+
 # -- keys that occur in several documents ---------------------------------------
 
-def _keys(width: int, gram: int):
-    """(route, key, doc_id, docs): one row with the number of documents a key
-    has in the batch, routed by key, and rows with docs = 0 for the other
-    documents, whose key is known to repeat, routed by document."""
-    def rows(route, key, doc, docs):
-        return pa.RecordBatch.from_arrays([pa.array(route), pa.array(key), pa.array(doc), pa.array(docs)],
-                                          names=["route", "key", "doc_id", "docs"])
+def _keys(width: int, gram: int, parts: int):
+    """Blocks of (key, doc_id, docs): one row with the number of documents a
+    key has in the batch, dealt out by key, and rows with docs = 0 for the other
+    documents, whose key is known to repeat, dealt out by document."""
+    names = ["key", "doc_id", "docs"]
 
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}       # keys this task has told to repeat, with documents not counted yet
+        held, total = [], 0
 
         def told():
             k = np.fromiter((k for k, n in seen.items() if n), np.int64)
             n = np.fromiter((n for n in seen.values() if n), np.int32)
             seen.clear()
-            return rows(k, k, np.full(len(k), np.iinfo(np.int64).min), n)
+            return k, np.full(len(k), np.iinfo(np.int64).min), n
+
+        def sent():
+            key, doc, docs = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            route = np.where(docs > 0, key, doc)
+            yield from blocks(pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(docs)], names=names),
+                              parts_of(route, parts), parts)
 
         for batch in batches:
             for b in text_batches(batch, "text"):
@@ -153,12 +205,17 @@ def _keys(width: int, gram: int):
                         docs[i] = 0
                 for i in np.flatnonzero(docs > 1).tolist():
                     seen[int(k[i])] = 0
-                route = np.where(docs > 0, k, d * np.int64(0x5851F42D4C957F2D - (1 << 63)))
-                yield rows(route, k, d, docs)
+                held.append((k, d, docs))
+                total += len(k)
                 if len(seen) > SEEN_KEYS:
-                    yield told()
+                    held.append(told())
+                if total > HELD_ROWS:
+                    yield from sent()
+                    total = 0
         if seen:
-            yield told()
+            held.append(told())
+        if held:
+            yield from sent()
 
     return run
 
@@ -173,10 +230,11 @@ def _repeated(hot: int):
     each hot key."""
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [tuple(b.column(c).to_numpy() for c in ("key", "doc_id", "docs")) for b in batches]
+        got = [tuple(b.column(c).to_numpy() for c in ("key", "doc_id", "docs")) for _, b in unblocked(batches)]
         if not got:
             return
         key, doc, docs = (np.concatenate(c) for c in zip(*got))
+        got.clear()
         known = docs == 0
         yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(short_key(key[known])),
                                           pa.array(np.zeros(int(known.sum()), np.int8))], names=["doc_id", "key", "hot"])
@@ -199,17 +257,65 @@ def _repeated(hot: int):
 
 # -- segments of those keys -------------------------------------------------------
 
-def _segment_rows(hot_keys, width: int, gram: int, versions: bool):
-    """kind 1: a segment's bytes for its bucket (route); kind 0: bytes of a
-    document already known to be covered by a smaller one of the batch."""
+def slices(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The strings of some places of a text, as a binary array."""
+    ends = np.cumsum(length)
+    at = np.repeat(start - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+    offsets = np.concatenate(([0], ends)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(flat[at])])
+
+
+def windows_of(flat: np.ndarray, start: np.ndarray, width: int) -> pa.Array:
+    """The same for strings of one length."""
+    if not len(start):
+        return pa.array([], pa.binary(width))
+    rows = np.lib.stride_tricks.sliding_window_view(flat, width)[start]
+    return pa.Array.from_buffers(pa.binary(width), len(start), [None, pa.py_buffer(rows)])
+
+
+def least_holders(strings: pa.Array, doc: np.ndarray):
+    """(distinct strings, code of each, least document of each distinct one)."""
+    coded = strings.dictionary_encode()
+    code = coded.indices.to_numpy()
+    least = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
+    np.minimum.at(least, code, doc)
+    return coded.dictionary.cast(pa.binary()), code, least
+
+
+def lists_by(code: np.ndarray, n: int, *values: np.ndarray) -> list[pa.ListArray]:
+    """Per value array the list of each of n codes."""
+    order = np.argsort(code, kind="stable")
+    bounds = pa.array(np.concatenate(([0], np.cumsum(np.bincount(code, minlength=n)))).astype(np.int32))
+    return [pa.ListArray.from_arrays(bounds, pa.array(v[order])) for v in values]
+
+
+def _segment_blocks(hot_keys, width: int, gram: int, versions: bool, parts: int):
+    """Blocks of kind 1: distinct segments (route, content, doc_id, ths,
+    starts) with the least document of a text batch that holds them, by route;
+    of kind 0: spans (doc_id, th, start, end) already known to be covered by a
+    smaller document of the batch, by document."""
+    names = ["route", "content", "doc_id", "ths", "starts"]
+
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = hot_keys.value
+        held, known, total = [], [], 0
+
+        def sent():
+            if held:
+                rows = one_batch(held)
+                held.clear()
+                yield from blocks(rows, parts_of(rows.column("route").to_numpy(), parts), parts)
+            if known:
+                spans = union_spans(*(np.concatenate(x) for x in zip(*known)))
+                known.clear()
+                yield from blocks(span_batch(*spans), parts_of(spans[0], parts), parts, 0)
+
         for batch in batches:
             for b in text_batches(batch, "text"):
                 texts = [x.as_buffer().to_pybytes() for x in b.column("text")]
-                doc = b.column("doc_id").to_pylist()
-                th = [text_version(t, versions) for t in texts]
+                doc = b.column("doc_id").to_numpy()
+                th = np.array([text_version(t, versions) for t in texts], np.int64)
                 row, start, end, key = segments(texts, width, gram)
                 key = short_key(key.view(np.int64))
                 lists = b.column("keys")
@@ -219,40 +325,38 @@ def _segment_rows(hot_keys, width: int, gram: int, versions: bool):
                 keep = np.isin(pair(row, key), wanted)
                 row, start, end, key = row[keep], start[keep], end[keep], key[keep]
                 by_window = np.isin(key, hot) if len(hot) else np.zeros(len(key), bool)
-                content: dict[bytes, tuple[int, dict]] = {}
-                for r, s, e, k, w in zip(row.tolist(), start.tolist(), end.tolist(), key.tolist(), by_window.tolist()):
-                    t = texts[r]
-                    for a, z in (((i, i + width) for i in range(s, e - width + 1)) if w else ((s, e),)):
-                        c = t[a:z]
-                        route, holders = content.setdefault(
-                            c, (xxhash.xxh32_intdigest(c) - (1 << 31) if w else k, {}))
-                        holders.setdefault(r, []).append(a)
-                spans: dict[int, list] = {}
-                out = []
-                for c, (route, holders) in content.items():
-                    least = min(doc[r] for r in holders)
-                    for r, starts in holders.items():
-                        if doc[r] > least:
-                            spans.setdefault(r, []).extend((a, a + len(c)) for a in starts)
-                        else:
-                            out.append((1, route, c, doc[r], th[r], starts, None))
-                for r, got in spans.items():
-                    a, z = merge_spans(got)
-                    out.append((0, r, None, doc[r], th[r], a, z))
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*out), (
-                            pa.int8(), pa.int32(), pa.binary(), pa.int64(), pa.int64(),
-                            pa.list_(pa.int32()), pa.list_(pa.int32())))],
-                        names=["kind", "route", "content", "doc_id", "th", "starts", "ends"])
+                flat = np.frombuffer(b"".join(texts), np.uint8)
+                lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+                first = np.cumsum(lengths) - lengths
+                n = (end - start - width + 1)[by_window]
+                at = np.repeat(start[by_window] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                wide = ~by_window
+                for r, a, z, k in ((row[wide], start[wide], end[wide], key[wide]),
+                                   (np.repeat(row[by_window], n), at, at + width, None)):
+                    if not len(r):
+                        continue
+                    found = windows_of(flat, first[r] + a, width) if k is None else slices(flat, first[r] + a, z - a)
+                    content, code, least = least_holders(found, doc[r])
+                    route = np.empty(len(content), np.int32)
+                    if k is None:
+                        route[:] = [xxhash.xxh32_intdigest(c) - (1 << 31) for c in content.to_pylist()]
+                    else:
+                        route[code] = k
+                    own = doc[r] == least[code]
+                    ths, starts = lists_by(code[own], len(content), th[r[own]], a[own].astype(np.int32))
+                    held.append(pa.RecordBatch.from_arrays([pa.array(route), content, pa.array(least), ths, starts], names=names))
+                    total += held[-1].nbytes
+                    if not own.all():
+                        r, a, z = r[~own], a[~own], z[~own]
+                        known.append(union_spans(doc[r], th[r], a, z))
+                if total > HELD_BYTES:
+                    yield from sent()
+                    total = 0
+        yield from sent()
 
     return run
 
 
-SEGMENT_ROWS = "kind byte, route int, content binary, doc_id long, th long, starts array<int>, ends array<int>"
-SPANS = "doc_id long, th long, starts array<int>, ends array<int>"
-
-
 def text_version(text: bytes, versions: bool) -> int:
     """Tells rows with one doc_id apart by their text; 0 where none repeats."""
     return xxhash.xxh64_intdigest(text) - (1 << 63) if versions else 0
@@ -270,6 +374,33 @@ def merge_spans(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
     return starts, ends
 
 
+def union_spans(doc: np.ndarray, th: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The spans of ``merge_spans`` for every (doc, th), sorted."""
+    if not len(doc):
+        return doc, th, start.astype(np.int32), end.astype(np.int32)
+    order = np.lexsort((start, th, doc))
+    doc, th, start, end = doc[order], th[order], start[order].astype(np.int64), end[order].astype(np.int64)
+    base = (np.cumsum(changes(doc, th)) - 1) * (int(end.max()) + 1)     # spans of two texts never touch
+    reach = np.maximum.accumulate(base + end)
+    new = np.ones(len(doc), bool)
+    new[1:] = (base + start)[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    last = np.append(at[1:], len(doc)) - 1
+    return doc[at], th[at], start[at].astype(np.int32), (reach - base)[last].astype(np.int32)
+
+
+def changes(*columns: np.ndarray) -> np.ndarray:
+    """True where a row differs from the one before it."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
+
+
+def span_batch(doc: np.ndarray, th: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(th), pa.array(start), pa.array(end)],
+                                      names=["doc_id", "th", "start", "end"])
+
+
 def route_chunks(batches: Iterator[pa.RecordBatch], size: int = BUCKET_SYMBOLS) -> Iterator[pa.Table]:
     """Rows sorted by route in tables of about ``size`` content bytes that hold
     whole routes."""
@@ -297,93 +428,114 @@ def route_chunks(batches: Iterator[pa.RecordBatch], size: int = BUCKET_SYMBOLS)
         yield pa.Table.from_batches(held)
 
 
+def may_share(strings: pa.Array, width: int) -> np.ndarray:
+    """Whether a string may share a window with another one: False only where
+    the hashes of all its windows are its own."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+    flat = np.frombuffer(strings.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    windows = np.diff(offsets) - width + 1
+    of = np.repeat(np.arange(len(strings)), windows)
+    h = gram_hashes(flat, width)[np.arange(len(of)) + of * (width - 1)]
+    order = np.argsort(h, kind="stable")
+    h, of = h[order], of[order]
+    met = np.flatnonzero((h[1:] == h[:-1]) & (of[1:] != of[:-1]))
+    out = np.zeros(len(strings), bool)
+    out[of[met]] = out[of[met + 1]] = True
+    return out
+
+
 def _merged(rows: pa.Table, width: int) -> tuple[np.ndarray, ...]:
     """(doc_id, th, start, end) of covered bytes from the segments of some
     whole routes.
 
     Equal segments are one string with the least document that holds it.  The
-    strings of a route are merged; a string alone under its route has no other
-    to share a window with."""
+    strings of a route are merged; a string alone under its route, or alone
+    with the hash of each of its windows, has no other to share one with."""
     rows = rows.combine_chunks()
-    doc, th, route = (rows.column(c).to_numpy() for c in ("doc_id", "th", "route"))
-    lists = rows.column("starts").combine_chunks()
-    coded = rows.column("content").combine_chunks().dictionary_encode()
-    code, strings = coded.indices.to_numpy(), coded.dictionary
-    offsets, flat = lists.offsets.to_numpy(), lists.flatten().to_numpy()
-    offsets = offsets - offsets[0]
-    owner = np.full(len(strings), np.iinfo(np.int64).max)
-    np.minimum.at(owner, code, doc)
+    doc, route = (rows.column(c).to_numpy() for c in ("doc_id", "route"))
+    ths, starts = (rows.column(c).combine_chunks() for c in ("ths", "starts"))
+    strings, code, owner = least_holders(rows.column("content").combine_chunks(), doc)
     of = np.zeros(len(strings), np.int64)
     of[code] = route
-    length = pc.binary_length(strings).to_numpy()
+    length = pc.binary_length(strings).to_numpy().astype(np.int64)
     order = np.argsort(of, kind="stable")
-    lead = np.flatnonzero(np.concatenate(([True], of[order][1:] != of[order][:-1])))
+    lead = np.flatnonzero(changes(of[order]))
     several = np.zeros(len(strings), bool)
     size = np.diff(np.append(lead, len(order)))
     several[order] = np.repeat(size > 1, size)
-    # rows whose string is alone: covered where a smaller document has it
-    per = np.diff(offsets)
-    whole = np.repeat(~several[code] & (doc > owner[code]), per)
-    at = np.repeat(np.arange(len(code)), per)
-    parts = [(at[whole], flat[whole], flat[whole] + length[code[at[whole]]])]
     todo = order[several[order]]
     if len(todo):
-        by_code = np.argsort(code, kind="stable")
-        first = np.searchsorted(code[by_code], np.arange(len(strings) + 1))
-        held = strings.take(pa.array(todo)).to_pylist()
-        for c, least in zip(todo.tolist(), least_owner(held, owner[todo], width)):
-            for r in by_code[first[c]:first[c + 1]].tolist():
-                hit = least < doc[r]
-                if hit.any():
-                    edge = np.diff(np.concatenate(([0], hit.view(np.int8), [0])))
-                    s, z = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1 + width
-                    for a in flat[offsets[r]:offsets[r + 1]].tolist():
-                        parts.append((np.full(len(s), r), s + a, z + a))
-    at, start, end = (np.concatenate(x) for x in zip(*parts))
-    return doc[at], th[at], start.astype(np.int32), end.astype(np.int32)
-
-
-def _merge_buckets(width: int):
-    """(doc_id, th, starts, ends) from the segments of a partition, sorted by
-    route.  Some routes are held at a time, of all others only the
-    spans found: one row a document is made of them at the end."""
+        lone = todo[~may_share(strings.take(pa.array(todo)), width)]
+        several[lone] = False
+        todo = todo[several[todo]]
+    # occurrences: covered as a whole where a smaller document has the string
+    at = np.repeat(np.arange(len(doc)), np.diff(starts.offsets.to_numpy()))
+    doc, th, start, code = doc[at], ths.flatten().to_numpy(), starts.flatten().to_numpy(), code[at]
+    whole = doc > owner[code]
+    found = [(doc[whole], th[whole], start[whole], start[whole] + length[code[whole]])]
+    if len(todo):
+        # the others, window by window
+        least, windows = least_owners(strings.take(pa.array(todo)).to_pylist(), owner[todo], width)
+        first = np.zeros(len(strings), np.int64)
+        first[todo] = np.cumsum(windows) - windows
+        rest = np.flatnonzero(~whole & several[code])
+        n = length[code[rest]] - width + 1
+        to = np.cumsum(n)
+        place = np.arange(int(to[-1]) if len(to) else 0) - np.repeat(to - n, n)
+        occurrence = np.repeat(rest, n)
+        hit = np.flatnonzero(least[first[code[occurrence]] + place] < doc[occurrence])
+        o, a = occurrence[hit], start[occurrence[hit]] + place[hit]
+        found.append((doc[o], th[o], a, a + width))
+    return union_spans(*(np.concatenate(x) for x in zip(*found)))
+
+
+def _merge_buckets(width: int, parts: int):
+    """Blocks of spans (doc_id, th, start, end), by document, from the segments
+    of a part, merged some routes at a time."""
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready: list[pa.RecordBatch] = []
-
-        def segment_batches():
-            for batch in batches:
-                known = batch.column("kind").to_numpy() == 0
-                if known.any():
-                    ready.append(batch.filter(pa.array(known)).select(["doc_id", "th", "starts", "ends"]))
-                if not known.all():
-                    yield batch.filter(pa.array(~known)) if known.any() else batch
-
-        found = []
-        for chunk in route_chunks(segment_batches()):
-            yield from ready
-            ready.clear()
-            found.append(_merged(chunk, width))
-        yield from ready
-        if not found:
-            return
-        doc, th, start, end = (np.concatenate(x) for x in zip(*found))
-        found.clear()
-        order = np.lexsort((start, th, doc))
-        doc, th, start, end = doc[order], th[order], start[order], end[order]
-        lead = np.ones(len(doc), bool)
-        lead[1:] = (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])
-        cut = np.flatnonzero(lead)
-        bounds = pa.array(np.append(cut, len(doc)).astype(np.int32))
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(doc[cut]), pa.array(th[cut]), pa.ListArray.from_arrays(bounds, pa.array(start)),
-             pa.ListArray.from_arrays(bounds, pa.array(end))], names=["doc_id", "th", "starts", "ends"])
-        for a in range(0, out.num_rows, 5000):
-            yield out.slice(a, 5000)
+        held, found = [], []
+        for kind, rows in unblocked(batches):
+            if kind:
+                held.append(rows)
+            else:
+                found.append(tuple(rows.column(c).to_numpy() for c in ("doc_id", "th", "start", "end")))
+        if held:
+            rows = one_batch(held)
+            held.clear()
+            rows = rows.take(pa.array(np.argsort(rows.column("route").to_numpy(), kind="stable")))
+            found += [_merged(chunk, width) for chunk in route_chunks(iter([rows]))]
+        if found:
+            spans = union_spans(*(np.concatenate(x) for x in zip(*found)))
+            found.clear()
+            yield from blocks(span_batch(*spans), parts_of(spans[0], parts), parts, 0)
 
     return run
 
 
+SPANS = "doc_id long, spans array<struct<th:long,starts:array<int>,ends:array<int>>>"
+
+
+@frugal
+def _doc_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a document from the blocks of its part: per text version the
+    starts and ends of its spans."""
+    got = [tuple(rows.column(c).to_numpy() for c in ("doc_id", "th", "start", "end")) for _, rows in unblocked(batches)]
+    if not got:
+        return
+    doc, th, start, end = union_spans(*(np.concatenate(x) for x in zip(*got)))
+    text = np.flatnonzero(changes(doc, th))
+    top = np.flatnonzero(changes(doc[text]))
+    bounds = pa.array(np.append(text, len(doc)).astype(np.int32))
+    spans = pa.StructArray.from_arrays([pa.array(th[text]), *(pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (start, end))],
+                                       names=["th", "starts", "ends"])
+    out = pa.RecordBatch.from_arrays(
+        [pa.array(doc[text][top]), pa.ListArray.from_arrays(pa.array(np.append(top, len(text)).astype(np.int32)), spans)],
+        names=["doc_id", "spans"])
+    for a in range(0, out.num_rows, 5000):
+        yield out.slice(a, 5000)
+
+
 def _cut(extra: list[str], as_text: bool, versions: bool):
     """Rows with their covered bytes removed."""
     @frugal
@@ -425,17 +577,16 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, gra
     n = partitions_for(spark, size)
     able = rows.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= width)).select("doc_id", "text")
     hot = max(HOT_DOCS, 4 * size // (width - gram) // HOT_KEYS)
-    refs = persist(spark, able.mapInArrow(_keys(width, gram), "route long, key long, doc_id long, docs int")
-                   .repartition(n, "route").mapInArrow(_repeated(hot), "doc_id long, key int, hot byte"), "repeated-keys")
+    refs = persist(spark, able.mapInArrow(_keys(width, gram, n), BLOCK).repartitionById(n, "part")
+                   .mapInArrow(_repeated(hot), "doc_id long, key int, hot byte"), "repeated-keys")
     hot_keys = np.array([r["key"] for r in refs.where("hot = 1").select("key").collect()], np.int32)  # <= HOT_KEYS
     versions = not rows.groupBy("doc_id").count().where("doc_id is not null and count > 1").isEmpty()
     by_doc = refs.groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
     whole = rows.select(*extra, "text").repartition(n, "doc_id")
     found = (whole.select("doc_id", "text").join(by_doc, "doc_id").where(F.octet_length("text") >= width)
-             .mapInArrow(_segment_rows(spark.sparkContext.broadcast(np.sort(hot_keys)), width, gram, versions), SEGMENT_ROWS)
-             .repartition(n, "route").sortWithinPartitions("route").mapInArrow(_merge_buckets(width), SPANS))
-    spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("th", "starts", "ends")).alias("spans")))
-    spans = persist(spark, spans, "repeat-spans")
+             .mapInArrow(_segment_blocks(spark.sparkContext.broadcast(np.sort(hot_keys)), width, gram, versions, n), BLOCK)
+             .repartitionById(n, "part").mapInArrow(_merge_buckets(width, n), BLOCK))
+    spans = persist(spark, found.repartitionById(n, "part").mapInArrow(_doc_spans, SPANS), "repeat-spans")
     out = whole.join(spans, "doc_id", "left")
     made_types = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()),
                   ("kept_sha256", T.StringType()), ("kept", T.StringType() if as_text else T.BinaryType())]
