@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 from starweave.llm import suffix_dedup as sd
+from starweave.llm import toxicity
 
 
 def passages(n, seed=4):
@@ -66,3 +67,28 @@ def test_strings_set_aside_share_no_window():
         got = sd.may_share(pa.array(s, pa.binary()), 6)
         grams = [{x[i:i + 6] for i in range(len(x) - 5)} for x in s]
         assert got.tolist() == [any(g & h for j, h in enumerate(grams) if j != i) for i, g in enumerate(grams)]
+
+
+class Start:
+    model = toxicity.Model(7)
+    value = (model.params, np.full_like(model.params, 1e-6))
+
+
+def test_a_task_sends_the_sum_of_its_shards():
+    r = random.Random(8)
+    rows = [(k, " ".join(r.choice("abcdefgh") * r.randint(1, 3) for _ in range(r.randint(0, 30))), r.randint(0, 1), r.random() < 0.25)
+            for k in range(5) for _ in range(70)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.string(), pa.int32(), pa.bool_()))],
+                                       names=["shard", "text", "toxic", "held"])
+    packed = list(toxicity._blocked(iter([batch])))
+    assert [b.column("shard")[0].as_py() for b in packed] == list(range(5))
+    assert sum(b.column(f"n{int(h)}{y}")[0].as_py() for b in packed for h in (0, 1) for y in (0, 1)) == len(rows)
+    for held in (False, True, None):
+        want = [(t, y) for k, t, y, h in rows if held in (None, h)]
+        got = [x for _, own in toxicity._shards(iter(packed)) for s in toxicity._slices(own, held) for x in zip(*s)]
+        assert got == want
+    run = toxicity._shard(Start, (1.0, 1.0), 0, 3, 7, False)
+    together = pa.Table.from_batches(list(run(iter(packed)))).to_pandas()
+    apart = pa.Table.from_batches([x for b in packed for x in run(iter([b]))]).to_pandas()
+    assert len(together) < len(apart) and together["row"].is_unique and together["n"].max() == 5
+    assert together.set_index("row").equals(apart.groupby("row").sum())
