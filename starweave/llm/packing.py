@@ -21,18 +21,19 @@ import re
 import zlib
 from bisect import bisect_right
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import persist, table
+from .common import persist, sizes, table
 
 CAPACITY = 1024
 END_ID = 2
 BLOCK_ROWS = 20_000
+TEXTS_ROWS, TEXTS_BYTES = 64, 1 << 18   # texts encoded at once; a longer one is alone
 CACHE_ENTRIES = 700_000     # chunk -> ids, per Python worker: about 150 MB
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RESULT = PIECES + ", sequence_id long, offset long"
@@ -53,7 +54,6 @@ class TextEncoder:
     cache."""
 
     _cut = re.compile(r"(?=[ \n]\S)")
-    _space_run = re.compile(r"[ \n](?:\s|\Z)|\0")
 
     def __init__(self, path: str):
         import os
@@ -64,40 +64,69 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()     # byte-level: a character of a token is a byte of the text
         self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.token_bytes[i] = len(token)
 
-    def chunks(self, text: str) -> list[str]:
-        if self._space_run.search(text):
-            return self._cut.split(text)
+    @staticmethod
+    def chunks(text: str) -> list[str]:
+        """The text cut before each blank and line break."""
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
-    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each of distinct chunks in the order of a text.  They are
-        encoded as one string, which pre-tokenization cuts where it would cut
-        their text; the bytes of its tokens say which chunk each belongs to."""
-        got = self.tokenizer.encode_batch_fast(["".join(chunks)], add_special_tokens=False)[0].ids
-        ids = np.array(got, dtype="<u4")
+    @staticmethod
+    def odd(chunks: set[str]) -> set[str]:
+        """The chunks with a blank or line break that no non-space follows.
+        They are never kept, so they are found among the new ones; their texts
+        are cut before non-spaces only."""
+        return {c for c in chunks if c[1:2].isspace()} | chunks & {" ", "\n"}
+
+    def encode_chunks(self, chunks: set[str], odd: set[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks.  Those that start at a blank or line break
+        before a non-space are encoded as one string, which pre-tokenization
+        cuts where it would cut their text; the bytes of its tokens say which
+        chunk each belongs to."""
+        joined = [c for c in chunks - odd if c[:1] in " \n"]
+        alone = list(chunks.difference(joined))
+        got = self.tokenizer.encode_batch_fast([*alone, "".join(joined)], add_special_tokens=False)
+        ids = np.concatenate([np.array(x.ids, "<u4") for x in got])
         token_ends = np.cumsum(self.token_bytes[ids])
-        sizes = np.fromiter((len(c) if c.isascii() else len(c.encode()) for c in chunks), np.int64, len(chunks))
+        alone += joined
+        sizes = np.fromiter(map(len, map(str.encode, alone)), np.int64, len(alone))
         ends = (4 * np.searchsorted(token_ends, np.cumsum(sizes), side="right")).tolist()
         raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+        return dict(zip(alone, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def new_chunks(self, cut: list[list[str]]) -> set[str]:
+        """Chunks without ids; those of the older half of the cache that occur
+        again move to the younger one, so frequent chunks are kept."""
+        new = set().union(*cut).difference(self.cache)
+        older = self.older
+        again = {c: older[c] for c in new if c in older}
+        self.cache.update(again)
+        return new.difference(again)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of some texts; their new chunks are encoded together."""
+        cut = [self._cut.split(t) if "\0" in t else self.chunks(t) for t in texts]
+        new = self.new_chunks(cut)
+        if odd := self.odd(new):
+            cut = [c if odd.isdisjoint(c) else self._cut.split(t) for c, t in zip(cut, texts)]
+            new = self.new_chunks(cut)
+        if len(self.cache) + len(new) > CACHE_ENTRIES // 2:
+            self.older, self.cache = self.cache, {}
+            new = self.new_chunks(cut)
+        odd, cache = self.odd(new), self.cache
+        if new:
+            cache.update(self.encode_chunks(new, odd))
+        out = [b"".join(map(cache.__getitem__, c)) for c in cut]
+        for c in odd.union([c for c in new if len(c) > 64]):
+            del cache[c]
+        return out
 
     def encode(self, text: str) -> bytes:
-        chunks, cache = self.chunks(text), self.cache
-        ids = list(map(cache.get, chunks))
-        if None in ids:
-            new = list(dict.fromkeys(c for c, v in zip(chunks, ids) if v is None))
-            if len(cache) + len(new) > CACHE_ENTRIES:
-                cache.clear()
-                new = list(dict.fromkeys(chunks))
-            fresh = dict(zip(new, self.encode_chunks(new)))
-            cache.update((c, v) for c, v in fresh.items() if len(c) <= 64)
-            ids = [v or fresh.get(c, b"") for c, v in zip(chunks, ids)]
-        return b"".join(ids)
+        return self.encode_all([text])[0]
 
 
 def encoder(path: str) -> TextEncoder:
@@ -120,11 +149,12 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at, n in sizes(batch.column(1), TEXTS_ROWS, TEXTS_BYTES):
+                part = batch.slice(at, n)
                 out = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    ids = enc.encode(text) + end if text else end
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                for doc, ids in zip(part.column(0).to_pylist(), enc.encode_all(texts)):
+                    ids += end
                     for k, (s, n) in enumerate(piece_bounds(len(ids) // 4, capacity)):
                         raw = ids[4 * s:4 * (s + n)]
                         out.append((doc, k, s, n, zlib.crc32(raw), *([np.frombuffer(raw, "<i4")] * with_ids)))

@@ -6,8 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from starweave.llm import packing, toxicity
 from starweave.llm import suffix_dedup as sd
-from starweave.llm import toxicity
 
 
 def passages(n, seed=4):
@@ -92,3 +92,17 @@ def test_a_task_sends_the_sum_of_its_shards():
     apart = pa.Table.from_batches([x for b in packed for x in run(iter([b]))]).to_pandas()
     assert len(together) < len(apart) and together["row"].is_unique and together["n"].max() == 5
     assert together.set_index("row").equals(apart.groupby("row").sum())
+
+
+def test_texts_encoded_together(monkeypatch):
+    enc, r = packing.TextEncoder(packing.default_vocabulary()), random.Random(5)
+    parts = ["a", "b", " ", "  ", "\n", "\n\n", "\t", "\0", "é", "漢", "'s", "1", "\xa0", ".", " the", "\r\n", "x" * 70]
+    monkeypatch.setattr(packing, "CACHE_ENTRIES", 80)
+    calls, frequent = [], [" kept", " words"]
+    encode = enc.encode_chunks
+    monkeypatch.setattr(enc, "encode_chunks", lambda chunks, odd: calls.append(chunks) or encode(chunks, odd))
+    for _ in range(200):
+        texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) + "".join(frequent) for _ in range(5)]
+        want = [np.array(enc.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert enc.encode_all(texts) == want, texts
+    assert len(enc.cache) <= 80 and sum(frequent[1] in c for c in calls) == 1 and len(calls) <= 200
