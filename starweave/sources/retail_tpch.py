@@ -68,8 +68,10 @@ def campaigns(pcts: DataFrame, *more: str) -> DataFrame:
         F.lit(0).cast(MONEY).alias("campaign_budget"), F.lit("All").alias("target_segment"), *more)
 
 
-def retail_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The raw tables that the load and the audits read."""
+def retail_from_tpch(spark: SparkSession, sf_dir: str, dated: bool = False) -> dict[str, DataFrame]:
+    """The raw tables that the load and the audits read.  With ``dated`` the
+    transactions carry the day of their last shipment (``shipped``), the usage
+    its ``pct`` and whether its order is there (``known``)."""
     src = read_tpch(spark, sf_dir)
     nation, region = src["nation"].select("n_nationkey", "n_name", "n_regionkey"), src["region"]
     places = (src["supplier"].join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
@@ -98,13 +100,14 @@ def retail_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.col("p_brand").alias("brand"), "supplier_id", price.alias("unit_price"), price.alias("cost_price"),
         F.lit("Active").alias("product_status"))
 
-    seller = li.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("store_id"))
+    seller = li.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("store_id"),
+                                          F.max(F.to_date("l_shipdate")).alias("shipped"))
     total = _money(_cents("o_totalprice"))
     transactions = src["orders"].join(seller, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.col("o_orderkey").alias("transaction_id"), F.to_date("o_orderdate").alias("transaction_date"), "store_id",
         F.col("o_custkey").alias("customer_id"), _map("o_orderpriority", METHODS).alias("payment_method"),
         total.alias("total_amount"), F.lit(0).cast(MONEY).alias("discount_amount"), total.alias("final_amount"),
-        _map("o_orderstatus", STATUS).alias("transaction_status"))
+        _map("o_orderstatus", STATUS).alias("transaction_status"), *["shipped"] * dated)
 
     lines = li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("detail_id"),
@@ -118,10 +121,11 @@ def retail_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     used = discounts(src)
     header = src["orders"].select(F.col("o_orderkey").alias("transaction_id"), F.col("o_custkey").alias("customer_id"),
-                                  F.to_date("o_orderdate").alias("usage_date"))
+                                  F.to_date("o_orderdate").alias("usage_date"), F.lit(True).alias("known"))
     usage = used.join(header, "transaction_id", "left").select(
         F.concat_ws("-", F.col("transaction_id").cast("string"), F.col("pct").cast("string")).alias("promo_usage_id"),
-        campaign_id(F.col("pct")).alias("campaign_id"), "transaction_id", "customer_id", "usage_date")
+        campaign_id(F.col("pct")).alias("campaign_id"), "transaction_id", "customer_id", "usage_date",
+        *["pct", "known"] * dated)
     return {"customers": customers, "stores": stores, "suppliers": suppliers, "products": products,
             "sales_transactions": transactions, "sales_transaction_details": details,
             "marketing_campaigns": campaigns(discounted(src)), "promotion_usage": usage}
