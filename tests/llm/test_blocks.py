@@ -106,3 +106,30 @@ def test_texts_encoded_together(monkeypatch):
         want = [np.array(enc.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
         assert enc.encode_all(texts) == want, texts
     assert len(enc.cache) <= 80 and sum(frequent[1] in c for c in calls) == 1 and len(calls) <= 200
+
+
+def test_changes_of_parameters_travel_in_small_blocks():
+    rng = np.random.default_rng(3)
+    rows = np.sort(rng.choice(toxicity.ROWS_TOGETHER, 700, replace=False)).astype(np.int64) + toxicity.ROWS_TOGETHER
+    n, values = rng.integers(1, 4, 700), rng.normal(0, 1 << 28, (700, len(toxicity.VALUES))).astype(np.int64)
+    values[0, :4] = (2**63 - 1, -2**63, 0, -1)
+    blob = toxicity._packed(rows, n, values)
+    assert np.array_equal(toxicity._unpacked(blob), np.concatenate((rows[:, None], n[:, None], values), axis=1))
+    assert len(blob) < 0.6 * 8 * (2 + len(toxicity.VALUES)) * 700
+    some = toxicity._packed(rows[:300], n[:300], values[:300])
+    got = toxicity._summed(pa.table({"block": pa.array([1, 1], pa.int32()), "blob": pa.array([blob, some], pa.binary())}))
+    assert got["row"].to_pylist() == rows.tolist()
+    assert got["n"].to_pylist() == np.concatenate((2 * n[:300], n[300:])).tolist()
+    with np.errstate(over="ignore"):
+        assert np.array_equal(got["p5"].to_numpy(), np.concatenate((2 * values[:300, 5], values[300:, 5])))
+
+
+def test_blocks_of_changes_hold_what_a_task_sends():
+    rows = [0, 5, 1023, 1024, 5000]
+    sent = pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([1, 2, 1, 3, 1]),
+                                       *[pa.array([i - 2, i, -i, 0, i << 40]) for i in range(len(toxicity.VALUES))]],
+                                      names=["row", "n", *toxicity.VALUES])
+    blocks = list(toxicity._together(iter)([sent]))
+    assert [b.column("block")[0].as_py() for b in blocks] == [0, 1, 4]
+    back = pa.concat_tables([toxicity._summed(pa.Table.from_batches([b])) for b in blocks])
+    assert back.to_pydict() == sent.to_pydict()
